@@ -54,4 +54,4 @@ def parse_amount(c) -> Column:
 def parse_date(c) -> Column:
     """'dd.MM.yyyy' or ISO 'yyyy-MM-dd' → DATE; anything else (incl. 31.02) → NULL."""
     s = F.trim(col_of(c))
-    return F.coalesce(*[F.try_to_date(s, F.lit(fmt)) for fmt in DATE_FORMATS])
+    return F.coalesce(*[F.try_to_date(s, fmt) for fmt in DATE_FORMATS])

@@ -89,12 +89,12 @@ def monthly_dynamics(apps: DataFrame, decisions: DataFrame, key: str = "applicat
                      approved: str = "Одобрено") -> DataFrame:
     """Per month — applications and approved % (undecided applications
     stay in the denominator).  The last month may be partial."""
-    joined = (apps.select(key, month_label(ts).alias("month"))
+    joined = (apps.select(key, month_label(ts).alias("year_month"))
               .join(decisions.select(key, decision), key, "left"))
-    return (joined.groupBy("month").agg(
+    return (joined.groupBy("year_month").agg(
         F.count(F.lit(1)).alias("applications"),
         pct(F.count_if(F.col(decision) == approved), F.count(F.lit(1))).alias("approved_pct"))
-        .orderBy("month"))
+        .orderBy("year_month"))
 
 
 def distribution_summary(df: DataFrame, x: str, method: str = "exact") -> DataFrame:
@@ -104,7 +104,7 @@ def distribution_summary(df: DataFrame, x: str, method: str = "exact") -> DataFr
     return df.agg(round_half_up(F.avg(v), 1).alias("mean"),
                   round_half_up(med, 1).alias("median"),
                   round_half_up(quantile(x, 0.9, method), 1).alias("p90"),
-                  round_half_up(F.max(v), 1).alias("max"),
+                  round_half_up(F.max(v), 1).alias("max_value"),
                   F.count(v).alias("n"),
                   round_half_up(F.avg(v) - med, 1).alias("mean_minus_median"))
 
@@ -170,4 +170,4 @@ def bucket_counts(df: DataFrame, x: str, edges: Sequence[float], labels: Sequenc
                   name: str = "bucket") -> DataFrame:
     """Counts per half-open bucket, ordered by label."""
     return (df.groupBy(bucket(F.col(x), edges, labels).alias(name))
-            .agg(F.count(F.lit(1)).alias("rows")).orderBy(name))
+            .agg(F.count(F.lit(1)).alias("n_rows")).orderBy(name))

@@ -13,7 +13,7 @@ from stagewise.functions.temporal import day
 from stagewise.operators.relational import key_profile
 
 
-def _n(name: str = "rows") -> Column:
+def _n(name: str = "n_rows") -> Column:
     return F.count(F.lit(1)).alias(name)
 
 
@@ -30,27 +30,27 @@ def clean_predicate(flag: str = "is_test", client: str = "client_id", technical:
 
 def overview(df: DataFrame, key: str, ts: str) -> DataFrame:
     """Q1 / A1: rows, distinct keys, first and last day."""
-    return df.agg(_n("rows"), F.countDistinct(key).alias("keys"),
+    return df.agg(_n("n_rows"), F.countDistinct(key).alias("n_keys"),
                   day(F.min(ts)).alias("first_day"), day(F.max(ts)).alias("last_day"))
 
 
 def missing_report(df: DataFrame, cols: list[str], names: dict[str, str] | None = None) -> DataFrame:
     """Q2 / A4: total rows and NULL count per column, one scan (FILTER clauses)."""
     names = names or {}
-    return df.agg(_n("rows"), *[F.count_if(F.col(c).isNull()).alias(names.get(c, f"missing_{c}"))
+    return df.agg(_n("n_rows"), *[F.count_if(F.col(c).isNull()).alias(names.get(c, f"missing_{c}"))
                                 for c in cols])
 
 
 def repeat_summary(df: DataFrame, key: str) -> DataFrame:
     """Q3 / A3: rows, distinct keys, excess rows = rows - distinct keys."""
-    return (df.agg(_n("rows"), F.countDistinct(key).alias("keys"))
-            .withColumn("excess", F.col("rows") - F.col("keys")))
+    return (df.agg(_n("n_rows"), F.countDistinct(key).alias("n_keys"))
+            .withColumn("excess", F.col("n_rows") - F.col("n_keys")))
 
 
 def repeat_list(df: DataFrame, key: str, n: int = 5) -> DataFrame:
     """Keys with more than one row, most repeated first (top-n report)."""
-    return (df.groupBy(key).agg(_n("rows")).where(F.col("rows") > 1)
-            .orderBy(F.col("rows").desc(), F.col(key).asc_nulls_last()).limit(n))
+    return (df.groupBy(key).agg(_n("n_rows")).where(F.col("n_rows") > 1)
+            .orderBy(F.col("n_rows").desc(), F.col(key).asc_nulls_last()).limit(n))
 
 
 def service_records(df: DataFrame, key: str = "application_id", flag: str = "is_test",
@@ -66,8 +66,8 @@ def interval_check(df: DataFrame, start: str, end: str) -> DataFrame:
     """Total, end before start, end missing, usable (end after start).
     An end equal to the start falls in none of the buckets."""
     s, e = F.col(start), F.col(end)
-    return df.agg(_n("total"), F.count_if(e < s).alias("reversed"),
-                  F.count_if(e.isNull()).alias("open"), F.count_if(e > s).alias("usable"))
+    return df.agg(_n("total"), F.count_if(e < s).alias("time_reversed"),
+                  F.count_if(e.isNull()).alias("not_closed"), F.count_if(e > s).alias("usable"))
 
 
 def _tagged_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -81,7 +81,7 @@ def _tagged_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def source_gap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct left keys, with a match on the right, without one."""
     k = _tagged_keys(left, right, key).where(F.col("_l") == 1)
-    return k.agg(_n("keys"), F.count_if(F.col("_r") == 1).alias("matched"),
+    return k.agg(_n("n_keys"), F.count_if(F.col("_r") == 1).alias("matched"),
                  F.count_if(F.col("_r") == 0).alias("unmatched"))
 
 
@@ -105,14 +105,16 @@ def defect_summary(apps: DataFrame, events: DataFrame, decisions: DataFrame,
                    F.count_if(F.col(end).isNull()).alias("open"))
     u = keys_without_match(apps, decisions, key).agg(_n("undecided"))
     one = a.crossJoin(e).crossJoin(u)
+    def row(pos, label, n, action):
+        return F.struct(F.lit(pos).alias("pos"), F.lit(label).alias("defect"),
+                        F.col(n).alias("n"), F.lit(action).alias("action"))
+
     return one.select(F.inline(F.array(
-        F.struct(F.lit(1).alias("pos"), F.lit("row repeats").alias("defect"),
-                 F.col("repeats").alias("n"), F.lit("removed").alias("action")),
-        F.struct(F.lit(2), F.lit("test applications"), F.col("tests"), F.lit("removed")),
-        F.struct(F.lit(3), F.lit("exit before entry"), F.col("reversed"), F.lit("removed")),
-        F.struct(F.lit(4), F.lit("stage not closed"), F.col("open"), F.lit("kept with caveat")),
-        F.struct(F.lit(5), F.lit("applications without decision"), F.col("undecided"),
-                 F.lit("kept with caveat")))))
+        row(1, "row repeats", "repeats", "removed"),
+        row(2, "test applications", "tests", "removed"),
+        row(3, "exit before entry", "reversed", "removed"),
+        row(4, "stage not closed", "open", "kept with caveat"),
+        row(5, "applications without decision", "undecided", "kept with caveat"))))
 
 
 def conversion_before_after(apps: DataFrame, disb: DataFrame, key: str = "application_id",

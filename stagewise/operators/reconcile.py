@@ -53,8 +53,8 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[int] | None = None,
                                     for c in vals]), lambda x: x.isNotNull())
     side = (F.when(F.col("_r").isNull(), "left_only").when(F.col("_l").isNull(), "right_only")
             .otherwise("differs"))
-    out = j.select(*kcols, side.alias("side"), F.array_join(diff_cols, ",").alias("columns"))
-    return out.where((F.col("side") != "differs") | (F.col("columns") != ""))
+    out = j.select(*kcols, side.alias("side"), F.array_join(diff_cols, ",").alias("diff_columns"))
+    return out.where((F.col("side") != "differs") | (F.col("diff_columns") != ""))
 
 
 def reconcile_verdict(diff: DataFrame) -> bool:

@@ -16,7 +16,7 @@ def list_tables(spark: SparkSession) -> DataFrame:
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table, ``UNION ALL`` of ``count(*)``."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
              for name, df in tables.items()]
     return reduce(DataFrame.unionByName, parts)
 
