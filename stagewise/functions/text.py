@@ -26,7 +26,9 @@ CHANNEL_ALIASES = {
     "партнер": "Партнёрская сеть",
 }
 MISSING_MARKERS = ["", "н/д"]
-DATE_FORMATS = ["dd.MM.yyyy", "yyyy-MM-dd"]
+# Accepted shapes, each with its parse pattern: day.month.year or ISO.
+DATE_SHAPES = [(r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"), (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d")]
+NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 # ---------------------------------------------------------------------------
 
 _SPACES = "[\\s\\u00a0\\u202f]"
@@ -34,7 +36,7 @@ _SPACES = "[\\s\\u00a0\\u202f]"
 
 def normalize_text(c) -> Column:
     """trim + lower-case + 'ё' → 'е' (comparison key for category spellings)."""
-    return F.translate(F.lower(F.trim(col_of(c))), "ё", "е")
+    return F.replace(F.lower(F.trim(col_of(c))), F.lit("ё"), F.lit("е"))
 
 
 def normalize_channel(c, aliases: dict[str, str] | None = None) -> Column:
@@ -48,10 +50,19 @@ def normalize_channel(c, aliases: dict[str, str] | None = None) -> Column:
 def parse_amount(c) -> Column:
     """'12 000' → 12000, '12000,50' / '12000.5' → 12000.5, '' / 'н/д' → NULL."""
     cleaned = F.regexp_replace(F.regexp_replace(col_of(c), _SPACES, ""), ",", ".")
-    return cleaned.try_cast("double")
+    # Only number-shaped text reaches the cast: a failing cast costs a JVM
+    # exception per row, and most unparsable cells are markers like 'н/д'.
+    return F.when(cleaned.rlike(NUMBER_SHAPE), cleaned.try_cast("double"))
 
 
 def parse_date(c) -> Column:
     """'dd.MM.yyyy' or ISO 'yyyy-MM-dd' → DATE; anything else (incl. 31.02) → NULL."""
     s = F.trim(col_of(c))
-    return F.coalesce(*[F.try_to_date(s, fmt) for fmt in DATE_FORMATS])
+    # The shape picks the pattern, so a parse is only attempted where it can
+    # succeed (a failed parse is an exception inside the JVM); impossible
+    # calendar dates such as 31.02 still come out NULL.
+    expr = None
+    for shape, fmt in DATE_SHAPES:
+        branch = F.try_to_date(s, fmt)
+        expr = F.when(s.rlike(shape), branch) if expr is None else expr.when(s.rlike(shape), branch)
+    return expr

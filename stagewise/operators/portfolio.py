@@ -4,10 +4,11 @@ Model: spending is spread evenly over the months before profitability; the
 monthly profit is the smallest whole amount whose discounted stream pays the
 discounted spending back by the payback month.
 
-Per-initiative work is per-row array arithmetic (``sequence`` + higher-order
-functions): the plan, the 0..horizon cash flow and the running NPV of an
-initiative are built inside its own row, so nothing is shuffled until the
-portfolio sums by month (≤ horizon+1 groups, map-side combined).
+The plan is per-row arithmetic (no shuffle).  Curves are generated per
+initiative with ``explode(sequence(0, horizon))`` after hash-partitioning the
+one-row-per-initiative plan, so the running sum per initiative needs no
+further exchange; the portfolio then sums by month (≤ horizon+1 groups,
+map-side combined).
 """
 
 from __future__ import annotations
@@ -62,16 +63,23 @@ def _discounted(flow: Column, m: Column, rate: float) -> Column:
 def initiative_npv(plan: DataFrame, horizon: int = HORIZON, rate: float = RATE) -> DataFrame:
     """N2+N3: one row per initiative and month 0..horizon with the cash flow,
     its discounted value (rounded to kopecks) and the running NPV, which sums
-    the *rounded* discounted values.  Built per row, no shuffle."""
-    months = F.sequence(F.lit(0), F.lit(horizon))
-    disc = F.transform(months, lambda m: _discounted(_flow(m), m, rate))
-    curve = F.transform(months, lambda m: F.struct(
-        m.alias("month_index"),
-        _flow(m).alias("cash_flow_rub"),
-        F.element_at(disc, m + 1).alias("discounted_rub"),
-        F.aggregate(F.slice(disc, 1, m + 1), F.lit(0).cast(_DISC),
-                    lambda acc, x: (acc + x).cast(_DISC)).alias("cum_npv_rub")))
-    return plan.select("initiative_id", "name", "direction", F.inline(curve))
+    the *rounded* discounted values.
+
+    The plan (one row per initiative) is hash-partitioned by initiative before
+    the months are generated, so the exploded rows already sit in their
+    window partition: the only shuffle moves plan rows, not horizon+1 times as
+    many curve rows."""
+    m = F.col("month_index")
+    rows = (plan.repartition("initiative_id")
+            .select("initiative_id", "name", "direction", "start_month", "months_to_profit",
+                    "monthly_cost_rub", "monthly_profit_rub",
+                    F.explode(F.sequence(F.lit(0), F.lit(horizon))).alias("month_index"))
+            .withColumn("cash_flow_rub", _flow(m))
+            .withColumn("discounted_rub", _discounted(F.col("cash_flow_rub"), m, rate)))
+    w = (Window.partitionBy("initiative_id").orderBy("month_index")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.select("initiative_id", "name", "direction", "month_index", "cash_flow_rub",
+                       "discounted_rub", F.sum("discounted_rub").over(w).cast(_DISC).alias("cum_npv_rub"))
 
 
 def cashflow(plan: DataFrame, horizon: int = HORIZON, rate: float = RATE) -> DataFrame:

@@ -53,23 +53,24 @@ def stage_sla(events: DataFrame, stage: str = "stage", hours: str = "hours",
             .orderBy(F.col("median_hours").desc_nulls_first(), F.col(stage)))
 
 
-def stage_sla_by(events: DataFrame, apps: DataFrame, dim: str, stage_value: str | None = None,
+def stage_sla_by(events: DataFrame, apps: DataFrame | None, dim: str, stage_value: str | None = None,
                  key: str = "application_id", stage: str = "stage", hours: str = "hours",
                  method: str = "exact") -> DataFrame:
     """The same measures by an application attribute, optionally for one
     stage (the stage filter is applied before the join)."""
     ev = events if stage_value is None else events.where(F.col(stage) == stage_value)
-    joined = ev.select(key, hours).join(apps.select(key, dim), key)
+    joined = ev if apps is None else ev.select(key, hours).join(apps.select(key, dim), key)
     return (joined.groupBy(dim).agg(*_sla_aggs(hours, method, "events"))
             .orderBy(F.col("median_hours").desc_nulls_first(), F.col(dim)))
 
 
-def channel_stage_sla(events: DataFrame, apps: DataFrame, dim: str = "channel",
+def channel_stage_sla(events: DataFrame, apps: DataFrame | None, dim: str = "channel",
                       key: str = "application_id", stage: str = "stage", hours: str = "hours",
                       method: str = "exact") -> DataFrame:
     """The published panel — dim × stage: applications (= events), median
-    and P90 hours."""
-    joined = events.select(key, stage, hours).join(apps.select(key, dim), key)
+    and P90 hours.  Pass ``apps=None`` when ``events`` already carry ``dim``
+    (``clean_stage_events(..., attach=(dim,))``)."""
+    joined = events if apps is None else events.select(key, stage, hours).join(apps.select(key, dim), key)
     return joined.groupBy(dim, stage).agg(*_sla_aggs(hours, method, "applications"))
 
 

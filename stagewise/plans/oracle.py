@@ -39,13 +39,16 @@ def alias_case(c: str) -> str:
 
 
 def parse_amount_sql(c: str) -> str:
-    return (f"TRY_CAST(replace(regexp_replace({c}, '[\\s\\x{{00a0}}\\x{{202f}}]', '', 'g'), ',', '.')"
-            " AS DOUBLE)")
+    x = f"replace(regexp_replace({c}, '[\\s\\x{{00a0}}\\x{{202f}}]', '', 'g'), ',', '.')"
+    return f"CASE WHEN regexp_full_match({x}, '[+-]?(\\d+\\.?\\d*|\\.\\d+)') THEN TRY_CAST({x} AS DOUBLE) END"
 
 
 def parse_date_sql(c: str) -> str:
-    return (f"CAST(coalesce(try_strptime(trim({c}), '%d.%m.%Y'), try_strptime(trim({c}), '%Y-%m-%d'))"
-            " AS DATE)")
+    s = f"trim({c})"
+    return (f"CAST(CASE WHEN regexp_full_match({s}, '\\d{{1,2}}\\.\\d{{1,2}}\\.\\d{{4}}') "
+            f"THEN try_strptime({s}, '%d.%m.%Y') "
+            f"WHEN regexp_full_match({s}, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') "
+            f"THEN try_strptime({s}, '%Y-%m-%d') END AS DATE)")
 
 
 EXPORT_MOMENT = "(SELECT max(o_orderdate) FROM orders)"

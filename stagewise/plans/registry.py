@@ -79,6 +79,11 @@ class Layer:
     def events_clean(self) -> DataFrame:
         return clean.clean_stage_events(self.events, self.apps_clean)
 
+    @cached_property
+    def events_by_channel(self) -> DataFrame:
+        """Clean events with the application channel attached in the same join."""
+        return clean.clean_stage_events(self.events, self.apps_clean, attach=("channel",))
+
     @cached_property
     def plan(self) -> DataFrame:
         return portfolio.initiative_plan(self.passport)
@@ -488,13 +493,13 @@ _EV_APPS = ("v_stage_events_clean e JOIN v_applications_clean a "
 
 @query("r3_stage_sla_by_channel", _sla_sql("a.channel", _EV_APPS, f"e.stage = '{SLOW}'"))
 def r3(L: Layer) -> DataFrame:
-    return process.stage_sla_by(L.events_clean, L.apps_clean, "channel", SLOW)
+    return process.stage_sla_by(L.events_by_channel, None, "channel", SLOW)
 
 
 @query("r4_channel_stage_sla", _sla_sql("a.channel, e.stage", _EV_APPS, n="applications"))
 def r4(L: Layer) -> DataFrame:
     """The published panel: channel × stage durations."""
-    return process.channel_stage_sla(L.events_clean, L.apps_clean)
+    return process.channel_stage_sla(L.events_by_channel, None)
 
 
 @query("r5_rejection_reasons", f"""
@@ -547,9 +552,7 @@ SELECT q.channel, q.n, {R('q.q1', 1)} AS q1, {R('q.med', 1)} AS median, {R('q.q3
        {R('max(CASE WHEN d.hours <= q.q3 + 1.5 * (q.q3 - q.q1) THEN d.hours END)', 1)} AS whisker_hi
 FROM d JOIN q ON q.channel = d.channel GROUP BY q.channel, q.n, q.q1, q.med, q.q3""")
 def r9(L: Layer) -> DataFrame:
-    ev = L.events_clean.where(F.col("stage") == SLOW).join(L.apps_clean.select("application_id", "channel"),
-                                                          "application_id")
-    return process.box_stats(ev, "channel", "hours")
+    return process.box_stats(L.events_by_channel.where(F.col("stage") == SLOW), "channel", "hours")
 
 
 @query("r10_iqr_outliers", f"""
