@@ -46,6 +46,11 @@ APPROVED, REJECTED = "F", "P"
 SLOW_STAGE = "RF"
 
 
+# A table of at least this size that scans into fewer splits than the cluster
+# has cores is spread round-robin first (a single-row-group file is one task).
+SPREAD_MIN_BYTES = 1 << 20
+
+
 class Tables(dict):
     """Lazily loaded parquet tables of one scale-factor folder."""
 
@@ -54,11 +59,42 @@ class Tables(dict):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def __missing__(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
         self[name] = df
         return df
 
 
+_SPREAD_DECISION: dict[tuple[str, int], bool] = {}
+
+
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Use every core on a large input that arrives as too few splits.
+
+    Multi-file inputs (the normal case at scale) already yield many splits and
+    pass through unchanged; only an oversized single split is re-spread, by a
+    hash of its leading key column (deterministic under task retries and,
+    unlike a round-robin repartition, without a sort before the exchange).
+    Filters and column pruning still reach the parquet reader."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = tuple(df.inputFiles())
+    key = (",".join(files), cores)
+    if key not in _SPREAD_DECISION:
+        _SPREAD_DECISION[key] = (df.rdd.getNumPartitions() < cores and _scan_bytes(files) >= min_bytes)
+    return df.repartition(cores, df.columns[0]) if _SPREAD_DECISION[key] else df
+
+
+def _scan_bytes(files: tuple[str, ...]) -> int:
+    import os
+    total = 0
+    for f in files:
+        path = f[len("file:"):] if f.startswith("file:") else f
+        try:
+            total += os.path.getsize(path)
+        except OSError:
+            return 1 << 62  # remote file system: assume large
+    return total
+
+
 def load(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir)
 
