@@ -1,0 +1,70 @@
+"""Percentiles, histogram, box statistics and outliers against numpy."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stagewise.operators import process, relational
+
+
+@pytest.fixture(scope="module")
+def values(spark):
+    rng = np.random.default_rng(7)
+    xs = np.round(rng.lognormal(3, 0.8, 997), 3)
+    groups = np.where(np.arange(len(xs)) % 3 == 0, "a", np.where(np.arange(len(xs)) % 3 == 1, "b", "c"))
+    df = spark.createDataFrame([(str(g), float(x)) for g, x in zip(groups, xs)], "g string, x double")
+    return df, xs, groups
+
+
+def test_distribution_summary(values):
+    df, xs, _ = values
+    r = process.distribution_summary(df, "x").first()
+    assert r.median == pytest.approx(np.quantile(xs, 0.5), abs=0.051)
+    assert r.p90 == pytest.approx(np.quantile(xs, 0.9), abs=0.051)
+    assert r.n == len(xs) and r.max_value == pytest.approx(xs.max(), abs=0.051)
+
+
+def test_histogram_matches_numpy(values):
+    df, xs, _ = values
+    h = process.histogram(df, "x", 45).collect()
+    counts, edges = np.histogram(xs, bins=45)
+    assert len(h) == 45 and sum(r.n for r in h) == len(xs)
+    assert [r.n for r in h] == list(counts)
+    assert h[0].bin_lo == pytest.approx(edges[0]) and h[-1].bin_hi == pytest.approx(edges[-1])
+
+
+def test_box_stats(values):
+    df, xs, groups = values
+    b = {r.g: r for r in process.box_stats(df, "g", "x").collect()}
+    for g in "abc":
+        v = xs[groups == g]
+        q1, q3 = np.quantile(v, [0.25, 0.75])
+        assert b[g].q1 == pytest.approx(q1, abs=0.051)
+        assert b[g].whisker_hi == pytest.approx(v[v <= q3 + 1.5 * (q3 - q1)].max(), abs=0.051)
+        assert b[g].whisker_lo == pytest.approx(v[v >= q1 - 1.5 * (q3 - q1)].min(), abs=0.051)
+
+
+def test_iqr_outliers(values):
+    df, xs, _ = values
+    q1, q3 = np.quantile(xs, [0.25, 0.75])
+    r = process.iqr_outliers(df, "x").first()
+    assert r.outliers == int((xs > q3 + 1.5 * (q3 - q1)).sum())
+
+
+def test_approx_method_close(values):
+    df, xs, _ = values
+    r = process.distribution_summary(df, "x", method="approx").first()
+    assert abs(r.median - np.quantile(xs, 0.5)) < 1.0
+
+
+def test_share_sums_to_100(values):
+    df, _, _ = values
+    g = df.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    assert sum(r.share_pct for r in relational.with_share(g, "n").collect()) == pytest.approx(100, abs=0.2)
+
+
+def test_buckets_half_open(spark):
+    df = spark.createDataFrame([(x,) for x in [499999.99, 500000.0, 1999999.0, 2000000.0, None]], "a double")
+    got = {r.bucket: r.n_rows for r in process.bucket_counts(
+        df, "a", [500000, 2000000], ["1. small", "2. mid", "3. large"]).collect()}
+    assert got == {"1. small": 1, "2. mid": 2, "3. large": 2}   # NULL falls to the last label (CASE ... ELSE)
