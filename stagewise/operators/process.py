@@ -1,9 +1,15 @@
 """Process analytics over the clean layer.
 
-Percentiles: ``method="exact"`` (default) uses Spark's exact ``percentile``
-(linear interpolation, same as ``percentile_cont``); it is map-side combined,
-and its per-group state is the set of distinct values.  For continuous
-measures of very large groups pass ``method="approx"`` (bounded GK sketch).
+Percentiles (all linear interpolation, same as ``percentile_cont``):
+
+* ``method="exact"`` (default) — Spark's exact ``percentile``: one pass,
+  map-side combined; its per-group state is the set of distinct values, merged
+  in one task per group.
+* ``method="exact_split"`` — the same exact values without ever holding a
+  group in one task (``operators.quantiles``): for crowded groups of a
+  continuous measure at scale.
+* ``method="approx"`` — GK sketch (``percentile_approx``), bounded memory,
+  rank error ≤ n/accuracy.
 """
 
 from __future__ import annotations
@@ -15,10 +21,11 @@ from pyspark.sql import functions as F
 
 from stagewise.functions.numeric import pct, round_half_up
 from stagewise.functions.temporal import month_label
+from stagewise.operators.quantiles import split_exact_quantiles
 from stagewise.operators.relational import bucket, first_per_key, with_share
 
 
-def quantile(x: str | Column, p: float, method: str = "exact", accuracy: int = 100_000) -> Column:
+def quantile(x: str | Column, p: float, method: str = "exact", accuracy: int = 10_000) -> Column:
     xc = (x if isinstance(x, Column) else F.col(x)).cast("double")
     if method == "exact":
         return F.percentile(xc, F.lit(p))
@@ -27,11 +34,28 @@ def quantile(x: str | Column, p: float, method: str = "exact", accuracy: int = 1
     raise ValueError(f"unknown method {method!r}")
 
 
-def _sla_aggs(hours: str, method: str, n_name: str, med: str = "median_hours",
-              p90: str = "p90_hours") -> list[Column]:
-    return [F.count(F.lit(1)).alias(n_name),
-            round_half_up(quantile(hours, 0.5, method), 1).alias(med),
-            round_half_up(quantile(hours, 0.9, method), 1).alias(p90)]
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], x: str, qs: dict[str, float],
+                      method: str = "exact", extra: Sequence[Column] = (),
+                      accuracy: int = 10_000) -> DataFrame:
+    """Per group: ``extra`` aggregates plus one raw (unrounded) column per
+    quantile in ``qs`` (name → probability), computed with ``method``."""
+    keys = list(keys)
+    if method != "exact_split":
+        aggs = list(extra) + [quantile(x, p, method, accuracy).alias(n) for n, p in qs.items()]
+        return df.groupBy(*keys).agg(*aggs)
+    q = split_exact_quantiles(df, keys, x, list(qs.values()), list(qs), accuracy)
+    if not extra:
+        return q
+    e = df.groupBy(*keys).agg(*extra)
+    return e.join(q, keys, "left") if keys else e.crossJoin(q)
+
+
+def _sla(df: DataFrame, keys: Sequence[str], hours: str, method: str, n_name: str,
+         accuracy: int = 10_000) -> DataFrame:
+    g = grouped_quantiles(df, keys, hours, {"_med": 0.5, "_p90": 0.9}, method,
+                          [F.count(F.lit(1)).alias(n_name)], accuracy)
+    return g.select(*keys, n_name, round_half_up(F.col("_med"), 1).alias("median_hours"),
+                    round_half_up(F.col("_p90"), 1).alias("p90_hours"))
 
 
 def funnel(events: DataFrame, apps: DataFrame, key: str = "application_id",
@@ -47,31 +71,31 @@ def funnel(events: DataFrame, apps: DataFrame, key: str = "application_id",
 
 
 def stage_sla(events: DataFrame, stage: str = "stage", hours: str = "hours",
-              method: str = "exact") -> DataFrame:
+              method: str = "exact", accuracy: int = 10_000) -> DataFrame:
     """R2: per stage — events, median and P90 hours (1 decimal)."""
-    return (events.groupBy(stage).agg(*_sla_aggs(hours, method, "events"))
+    return (_sla(events, [stage], hours, method, "events", accuracy)
             .orderBy(F.col("median_hours").desc_nulls_first(), F.col(stage)))
 
 
 def stage_sla_by(events: DataFrame, apps: DataFrame | None, dim: str, stage_value: str | None = None,
                  key: str = "application_id", stage: str = "stage", hours: str = "hours",
-                 method: str = "exact") -> DataFrame:
+                 method: str = "exact", accuracy: int = 10_000) -> DataFrame:
     """The same measures by an application attribute, optionally for one
     stage (the stage filter is applied before the join)."""
     ev = events if stage_value is None else events.where(F.col(stage) == stage_value)
     joined = ev if apps is None else ev.select(key, hours).join(apps.select(key, dim), key)
-    return (joined.groupBy(dim).agg(*_sla_aggs(hours, method, "events"))
+    return (_sla(joined, [dim], hours, method, "events", accuracy)
             .orderBy(F.col("median_hours").desc_nulls_first(), F.col(dim)))
 
 
 def channel_stage_sla(events: DataFrame, apps: DataFrame | None, dim: str = "channel",
                       key: str = "application_id", stage: str = "stage", hours: str = "hours",
-                      method: str = "exact") -> DataFrame:
+                      method: str = "exact", accuracy: int = 10_000) -> DataFrame:
     """The published panel — dim × stage: applications (= events), median
     and P90 hours.  Pass ``apps=None`` when ``events`` already carry ``dim``
     (``clean_stage_events(..., attach=(dim,))``)."""
     joined = events if apps is None else events.select(key, stage, hours).join(apps.select(key, dim), key)
-    return joined.groupBy(dim, stage).agg(*_sla_aggs(hours, method, "applications"))
+    return _sla(joined, [dim, stage], hours, method, "applications", accuracy)
 
 
 def rejection_reasons(decisions: DataFrame, apps: DataFrame, key: str = "application_id",
@@ -98,16 +122,16 @@ def monthly_dynamics(apps: DataFrame, decisions: DataFrame, key: str = "applicat
         .orderBy("year_month"))
 
 
-def distribution_summary(df: DataFrame, x: str, method: str = "exact") -> DataFrame:
+def distribution_summary(df: DataFrame, x: str, method: str = "exact", accuracy: int = 10_000) -> DataFrame:
     """Mean, median, P90, max, n and the mean − median gap (1 decimal)."""
     v = F.col(x).cast("double")
-    med = quantile(x, 0.5, method)
-    return df.agg(round_half_up(F.avg(v), 1).alias("mean"),
-                  round_half_up(med, 1).alias("median"),
-                  round_half_up(quantile(x, 0.9, method), 1).alias("p90"),
-                  round_half_up(F.max(v), 1).alias("max_value"),
-                  F.count(v).alias("n"),
-                  round_half_up(F.avg(v) - med, 1).alias("mean_minus_median"))
+    g = grouped_quantiles(df, [], x, {"_med": 0.5, "_p90": 0.9}, method,
+                          [F.avg(v).alias("_mean"), F.max(v).alias("_max"), F.count(v).alias("n")], accuracy)
+    return g.select(round_half_up(F.col("_mean"), 1).alias("mean"),
+                    round_half_up(F.col("_med"), 1).alias("median"),
+                    round_half_up(F.col("_p90"), 1).alias("p90"),
+                    round_half_up(F.col("_max"), 1).alias("max_value"), "n",
+                    round_half_up(F.col("_mean") - F.col("_med"), 1).alias("mean_minus_median"))
 
 
 def histogram(df: DataFrame, x: str, bins: int = 45) -> DataFrame:
@@ -131,15 +155,15 @@ def histogram(df: DataFrame, x: str, bins: int = 45) -> DataFrame:
             .orderBy("bin"))
 
 
-def box_stats(df: DataFrame, group: str, x: str, k: float = 1.5, method: str = "exact") -> DataFrame:
+def box_stats(df: DataFrame, group: str, x: str, k: float = 1.5, method: str = "exact",
+              accuracy: int = 10_000) -> DataFrame:
     """Box-plot numbers per group: quartiles and whiskers (the most extreme
     values inside ``k``·IQR of the box), groups ordered by median.  The
     quartiles are joined back by group; AQE broadcasts them when small and
     splits a crowded group otherwise."""
     v = F.col(x).cast("double")
-    q = df.groupBy(group).agg(F.count(v).alias("n"), quantile(x, 0.25, method).alias("_q1"),
-                              quantile(x, 0.5, method).alias("_med"),
-                              quantile(x, 0.75, method).alias("_q3"))
+    q = grouped_quantiles(df, [group], x, {"_q1": 0.25, "_med": 0.5, "_q3": 0.75}, method,
+                          [F.count(v).alias("n")], accuracy)
     iqr = F.col("_q3") - F.col("_q1")
     w = (df.select(group, v.alias("_x")).join(q, group)
          .groupBy(group, "n", "_q1", "_med", "_q3").agg(
@@ -151,10 +175,11 @@ def box_stats(df: DataFrame, group: str, x: str, k: float = 1.5, method: str = "
                     ).orderBy(F.col("median").asc_nulls_last(), F.col(group))
 
 
-def iqr_outliers(df: DataFrame, x: str, k: float = 1.5, method: str = "exact") -> DataFrame:
+def iqr_outliers(df: DataFrame, x: str, k: float = 1.5, method: str = "exact",
+                 accuracy: int = 10_000) -> DataFrame:
     """Upper fence ``q3 + k·IQR`` (1 decimal) and the number of values
     strictly above it.  Quartiles are one row, broadcast to the scan."""
-    stats = df.agg(quantile(x, 0.25, method).alias("_q1"), quantile(x, 0.75, method).alias("_q3"))
+    stats = grouped_quantiles(df, [], x, {"_q1": 0.25, "_q3": 0.75}, method, accuracy=accuracy)
     fence = F.col("_q3") + F.lit(k) * (F.col("_q3") - F.col("_q1"))
     n = (df.select(F.col(x).cast("double").alias("_x")).crossJoin(F.broadcast(stats))
          .agg(F.count_if(F.col("_x") > fence).alias("outliers")))

@@ -818,6 +818,39 @@ def v1(L: Layer) -> DataFrame:
     return frames.chart_frame(L.port, "month_index", "cum_npv_rub")
 
 
+
+
+# ------------------------------------------------------------------ exact quantiles, split method
+# Same semantics (and oracle) as the exact-percentile keys above, computed with
+# ``method="exact_split"``: no task ever holds a whole group's values.  The
+# sketch accuracy is set low (SPLIT_ACCURACY) so that the test-data groups take
+# the bracketed path rather than the small-group shortcut; results are exact
+# either way.
+SPLIT_ACCURACY = 50
+
+def _same_sql(key: str) -> str:
+    return REGISTRY[key][1]
+
+
+def _split(key: str, fn):
+    build, _ = REGISTRY[key]
+
+    def b(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(Layer(spark, sf_dir))
+    b.__name__ = key + "_split"
+    REGISTRY[key + "_split"] = (b, _same_sql(key))
+
+
+_SPLIT = dict(method="exact_split", accuracy=SPLIT_ACCURACY)
+_split("r2_stage_sla", lambda L: process.stage_sla(L.events_clean, **_SPLIT))
+_split("r4_channel_stage_sla", lambda L: process.channel_stage_sla(L.events_by_channel, None, **_SPLIT))
+_split("r7_distribution", lambda L: process.distribution_summary(
+    L.events_clean.where(F.col("stage") == SLOW), "hours", **_SPLIT))
+_split("r9_box_stats", lambda L: process.box_stats(
+    L.events_by_channel.where(F.col("stage") == SLOW), "channel", "hours", **_SPLIT))
+_split("r10_iqr_outliers", lambda L: process.iqr_outliers(L.t["events"], "value", **_SPLIT))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

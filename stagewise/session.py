@@ -14,29 +14,44 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Semantics this package relies on (applied to every session it is given).
+_SEMANTICS = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true"}
+# Performance defaults, applied only where the launch configuration is silent.
+_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "stagewise") -> SparkSession:
     """Return (or create) a session configured for this package.
 
-    On a cluster the master and resources come from ``spark-submit``; the
-    settings here only pin semantics (UTC, ANSI) and turn on AQE.
-    """
+    On a cluster, master, resources and ``spark.sql.shuffle.partitions`` come
+    from ``spark-submit`` and are left alone; only the semantics (UTC, ANSI)
+    are pinned and AQE is switched on where the launch did not decide.
+    Locally the shuffle partitions default to the core count."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("STAGEWISE_SHUFFLE_PARTITIONS", "8"))
-    builder = (
-        builder.config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.ansi.enabled", "true")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
+    if SparkSession.getActiveSession() is None:
+        builder = (builder.config("spark.ui.enabled", "false")
+                   .config("spark.ui.showConsoleProgress", "false"))
     spark = builder.getOrCreate()
+    launch = spark.sparkContext.getConf()
+    for k, v in _SEMANTICS.items():
+        spark.conf.set(k, v)
+    for k, v in _DEFAULTS.items():
+        if not launch.contains(k):
+            spark.conf.set(k, v)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    elif not launch.contains("spark.sql.shuffle.partitions"):
+        env = os.environ.get("STAGEWISE_SHUFFLE_PARTITIONS")
+        spark.conf.set("spark.sql.shuffle.partitions",
+                       env or str(spark.sparkContext.defaultParallelism))
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

@@ -68,3 +68,24 @@ def test_buckets_half_open(spark):
     got = {r.bucket: r.n_rows for r in process.bucket_counts(
         df, "a", [500000, 2000000], ["1. small", "2. mid", "3. large"]).collect()}
     assert got == {"1. small": 1, "2. mid": 2, "3. large": 2}   # NULL falls to the last label (CASE ... ELSE)
+
+
+def test_split_exact_quantiles_equal_exact(spark):
+    """Hot group (a third of the rows, many ties), mid and tiny groups, one-row group, NULLs."""
+    from stagewise.operators.quantiles import split_exact_quantiles
+    rng = np.random.default_rng(11)
+    rows = [("hot", float(v)) for v in rng.integers(0, 40, 3000)]            # ties galore
+    rows += [("mid", float(v)) for v in np.round(rng.normal(100, 15, 2000), 2)]
+    rows += [("tiny", float(v)) for v in [5.0, 1.0, 3.0]] + [("one", 7.0), ("mid", None)]
+    rows += [(f"g{i}", float(v)) for i in range(30) for v in rng.random(100)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    ps = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
+    names = [f"q{i}" for i in range(len(ps))]
+    want = {r.g: tuple(r[n] for n in names) for r in
+            df.groupBy("g").agg(*[F.percentile("x", p).alias(n) for p, n in zip(ps, names)]).collect()}
+    for acc in (10, 50, 10_000):          # coarse sketches exercise the bracketed path
+        got = {r.g: tuple(r[n] for n in names) for r in
+               split_exact_quantiles(df, ["g"], "x", ps, names, accuracy=acc).collect()}
+        assert got == want, acc
+    glob = split_exact_quantiles(df, [], "x", [0.5], ["m"], accuracy=10).first().m
+    assert glob == df.agg(F.percentile("x", 0.5)).first()[0]
