@@ -13,6 +13,13 @@ from stagewise.functions.numeric import pct
 _UNORDERABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
 
 
+def with_labels(df: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """present columns under display labels (any characters: spaces, ₽, %,
+    Cyrillic).  DataFrame aliases need no quoting; in Spark SQL text such
+    labels must be back-quoted."""
+    return df.select(*[F.col(c).alias(labels.get(c, c)) for c in df.columns])
+
+
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 

@@ -137,10 +137,31 @@ def s7_row_counts(L: Layer) -> DataFrame:
 
 @query("s8_columns")
 def s8_columns(L: Layer) -> DataFrame:
-    """S8 (P#2): column names and types in ordinal order (metadata; rows-only check)."""
+    """Column names and types in ordinal order (metadata; rows-only check)."""
     return catalog.columns_of(L.apps)
 
 
+@query("p02_columns")
+def p02(L: Layer) -> DataFrame:
+    """P#2: columns and types of the applications (metadata; rows-only check,
+    as in the reference, which does not compare this pair either)."""
+    return catalog.columns_of(L.apps)
+
+
+# Display labels of the overview (F1): fixed values, shown as the reference shows them.
+OVERVIEW_LABELS = {"n_rows": "Строк в выгрузке", "n_keys": "Уникальных заявок",
+                   "first_day": "Первая заявка", "last_day": "Последняя заявка"}
+
+
+@query("f1_labelled_overview", """
+SELECT count(*) AS "Строк в выгрузке", count(DISTINCT application_id) AS "Уникальных заявок",
+       CAST(min(submitted_at) AS DATE) AS "Первая заявка", CAST(max(submitted_at) AS DATE) AS "Последняя заявка"
+FROM raw_applications""")
+def f1(L: Layer) -> DataFrame:
+    """projection under display labels (spaces, Cyrillic)."""
+    return relational.with_labels(quality.overview(L.apps, "application_id", "submitted_at"), OVERVIEW_LABELS)
+
+
 # ------------------------------------------------------------------ the 21 paired operations
 
 
@@ -741,19 +762,31 @@ def c2(L: Layer) -> DataFrame:
                               parse_amount("credit_limit").alias("amount"))
 
 
+def _iso(c: str):
+    return F.date_format(c, "yyyy-MM-dd").alias(c)
+
+
+# Parsed dates leave these two checks as ISO text ('' never occurs; NULL stays NULL).
 @query("c3_dates", f"""
-SELECT issued AS raw_issued, {parse_date_sql('issued')} AS issued,
-       first_purchase AS raw_first_purchase, {parse_date_sql('first_purchase')} AS first_purchase
+SELECT issued AS raw_issued, strftime({parse_date_sql('issued')}, '%Y-%m-%d') AS issued,
+       first_purchase AS raw_first_purchase,
+       strftime({parse_date_sql('first_purchase')}, '%Y-%m-%d') AS first_purchase
 FROM cards_export""")
 def c3(L: Layer) -> DataFrame:
-    return L.cards_raw.select(F.col("issued").alias("raw_issued"), parse_date("issued").alias("issued"),
-                              F.col("first_purchase").alias("raw_first_purchase"),
-                              parse_date("first_purchase").alias("first_purchase"))
+    p = L.cards_raw.select(F.col("issued").alias("raw_issued"), parse_date("issued").alias("issued"),
+                           F.col("first_purchase").alias("raw_first_purchase"),
+                           parse_date("first_purchase").alias("first_purchase"))
+    return p.select("raw_issued", _iso("issued"), "raw_first_purchase", _iso("first_purchase"))
 
 
-@query("c4_clean_cards", "SELECT * FROM cards_clean")
+@query("c4_clean_cards", """
+SELECT card_id, strftime(issued, '%Y-%m-%d') AS issued, channel, tariff, credit_limit,
+       strftime(first_purchase, '%Y-%m-%d') AS first_purchase, status
+FROM cards_clean""")
 def c4(L: Layer) -> DataFrame:
-    return L.cards_clean
+    c = L.cards_clean
+    return c.select("card_id", _iso("issued"), "channel", "tariff", "credit_limit",
+                    _iso("first_purchase"), "status")
 
 
 def _activation_sql(dim: str) -> str:
