@@ -3,8 +3,9 @@
 Columns are matched by position (names ignored).  Numeric columns are compared
 as doubles rounded to ``ndp`` decimals, others as trimmed text; NULL equals
 NULL.  Row order is ignored (a distributed frame has none): without keys the
-two sides are compared as bags (``exceptAll`` both ways); with keys by a full
-outer join on them.
+two sides are compared as bags (``exceptAll`` both ways); with keys, each
+distinct row is counted per side in one aggregation and the differing rows are
+summarised per key — no join, so a crowded key never becomes one join task.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[int] | None = None,
     """Differences between ``left`` and ``right`` (empty DataFrame = they match).
 
     Without ``keys``: rows present more often on one side, with ``side``
-    ('left_only' / 'right_only').  With ``keys`` (column positions): one row per
-    key that is missing on a side or differs, with the differing positions."""
+    ('left_only' / 'right_only').  With ``keys`` (column positions, expected
+    to identify a row on each side): one row per key that is missing on a side
+    or differs, with the differing positions in ``diff_columns``."""
     if len(left.columns) != len(right.columns):
         raise ValueError(f"shapes differ: {len(left.columns)} vs {len(right.columns)} columns")
     a, b = _normalise(left, ndp), _normalise(right, ndp)
@@ -44,17 +46,21 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[int] | None = None,
     names = a.columns
     kcols = [names[i] for i in keys]
     vals = [c for c in names if c not in kcols]
-    la = a.select(*kcols, *[F.col(c).alias(f"l_{c}") for c in vals], F.lit(True).alias("_l"))
-    rb = b.select(*kcols, *[F.col(c).alias(f"r_{c}") for c in vals], F.lit(True).alias("_r"))
-    j = la.join(rb, [la[k].eqNullSafe(rb[k]) for k in kcols], "full_outer").select(
-        *[F.coalesce(la[k], rb[k]).alias(k) for k in kcols],
-        *[F.col(f"l_{c}") for c in vals], *[F.col(f"r_{c}") for c in vals], "_l", "_r")
-    diff_cols = F.filter(F.array(*[F.when(~F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}")), F.lit(c))
-                                    for c in vals]), lambda x: x.isNotNull())
-    side = (F.when(F.col("_r").isNull(), "left_only").when(F.col("_l").isNull(), "right_only")
+    # each distinct row with its count per side: one shuffle on whole rows,
+    # identical copies combined map-side (no join, so no skewed join task)
+    counted = (a.withColumn("_l", F.lit(1)).withColumn("_r", F.lit(0))
+               .unionByName(b.withColumn("_l", F.lit(0)).withColumn("_r", F.lit(1)))
+               .groupBy(*names).agg(F.sum("_l").alias("_nl"), F.sum("_r").alias("_nr"))
+               .where(F.col("_nl") != F.col("_nr")))
+    row = F.struct(*[F.col(c) for c in vals]) if vals else F.struct(F.lit(1).alias("_"))
+    per_key = counted.groupBy(*kcols).agg(
+        F.max(F.when(F.col("_nl") > F.col("_nr"), row)).alias("_L"),
+        F.max(F.when(F.col("_nr") > F.col("_nl"), row)).alias("_R"))
+    diff_cols = F.filter(F.array(*[F.when(~F.col(f"_L.{c}").eqNullSafe(F.col(f"_R.{c}")), F.lit(c))
+                                    for c in vals]), lambda x: x.isNotNull()) if vals else F.array()
+    side = (F.when(F.col("_R").isNull(), "left_only").when(F.col("_L").isNull(), "right_only")
             .otherwise("differs"))
-    out = j.select(*kcols, side.alias("side"), F.array_join(diff_cols, ",").alias("diff_columns"))
-    return out.where((F.col("side") != "differs") | (F.col("diff_columns") != ""))
+    return per_key.select(*kcols, side.alias("side"), F.array_join(diff_cols, ",").alias("diff_columns"))
 
 
 def reconcile_verdict(diff: DataFrame) -> bool:

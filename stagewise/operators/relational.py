@@ -45,10 +45,16 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Colum
 
 def flag_repeats(df: DataFrame, key: str | Sequence[str], order: Sequence[Column],
                  name: str = "is_repeat") -> DataFrame:
-    """Mark every row of a key except the first (pandas ``duplicated``)."""
-    keys = _keys(key)
-    w = Window.partitionBy(*keys).orderBy(*full_order(df, order, skip=keys))
-    return df.withColumn(name, F.row_number().over(w) > 1)
+    """Every row of a key except the first is flagged (pandas ``duplicated``).
+
+    Numbering all rows of a key would sort a crowded key in one task.  Instead
+    the first row per key comes from ``first_per_key`` (limited before the
+    shuffle) and everything else is ``df EXCEPT ALL first``: a bag difference
+    hashed on whole rows, where identical copies are combined map-side.  The
+    result holds exactly the rows of ``df``, one per key unflagged."""
+    first = first_per_key(df, key, order)
+    return (first.withColumn(name, F.lit(False))
+            .unionByName(df.exceptAll(first).withColumn(name, F.lit(True))))
 
 
 def with_share(grouped: DataFrame, count_col: str, out: str = "share_pct", n: int = 1) -> DataFrame:

@@ -113,3 +113,13 @@ def test_funnel_and_shares(apps, events):
     ev = clean.clean_stage_events(events, c)
     f = {r.stage: (r.reached, r.share_pct) for r in process.funnel(ev, c).collect()}
     assert f == {"s1": (3, 100.0)}
+
+
+def test_flag_repeats_keeps_every_row(apps):
+    from pyspark.sql import functions as F
+    from stagewise.operators.relational import flag_repeats
+    f = flag_repeats(apps, "application_id", [F.col("submitted_at").asc_nulls_last()])
+    assert f.count() == apps.count()
+    unflagged = {r.application_id: r.amount for r in f.where(~F.col("is_repeat")).collect()}
+    assert len(unflagged) == 7 and unflagged["A2"] == 250.0
+    assert f.where("is_repeat").count() == 3
