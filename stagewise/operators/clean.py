@@ -20,6 +20,15 @@ def clean_applications(df: DataFrame, key: str = "application_id", ts: str = "su
     return first_per_key(kept, key, [F.col(ts).asc_nulls_last()])
 
 
+def clean_keys(df: DataFrame, key: str = "application_id", flag: str = "is_test",
+               client: str = "client_id", technical: str = "CL-TEST") -> DataFrame:
+    """The keys of ``clean_applications`` without building its rows: a key is
+    clean iff some row of it passes F3 (the earliest-row choice does not change
+    membership).  A distinct aggregation — no whole-row sort — and the same
+    count as the clean layer (a NULL key, if any, is one group there too)."""
+    return df.where(clean_predicate(flag, client, technical)).select(key).distinct()
+
+
 def clean_stage_events(events: DataFrame, clean_apps: DataFrame, key: str = "application_id",
                        start: str = "entered_at", end: str = "left_at",
                        attach: tuple[str, ...] = ()) -> DataFrame:

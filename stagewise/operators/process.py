@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from stagewise.functions.numeric import pct, round_half_up
 from stagewise.functions.temporal import month_label
 from stagewise.operators.quantiles import split_exact_quantiles
+from stagewise.session import materialize
 from stagewise.operators.relational import bucket, first_per_key, with_share
 
 
@@ -156,11 +157,15 @@ def histogram(df: DataFrame, x: str, bins: int = 45) -> DataFrame:
 
 
 def box_stats(df: DataFrame, group: str, x: str, k: float = 1.5, method: str = "exact",
-              accuracy: int = 10_000) -> DataFrame:
+              accuracy: int = 10_000, persist: bool = False) -> DataFrame:
     """Box-plot numbers per group: quartiles and whiskers (the most extreme
     values inside ``k``·IQR of the box), groups ordered by median.  The
     quartiles are joined back by group; AQE broadcasts them when small and
-    splits a crowded group otherwise."""
+    splits a crowded group otherwise.  Two passes read the input; with
+    ``persist`` its narrow (group, x) projection is written once to the shared
+    checkpoint folder first, so an expensive upstream plan is not run twice."""
+    if persist:
+        df = materialize(df.select(group, F.col(x).cast("double").alias(x)), "box-input")
     v = F.col(x).cast("double")
     q = grouped_quantiles(df, [group], x, {"_q1": 0.25, "_med": 0.5, "_q3": 0.75}, method,
                           [F.count(v).alias("n")], accuracy)

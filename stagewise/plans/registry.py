@@ -75,9 +75,14 @@ class Layer:
     def apps_clean(self) -> DataFrame:
         return clean.clean_applications(self.apps)
 
+    @cached_property
+    def clean_keys(self) -> DataFrame:
+        return clean.clean_keys(self.apps)
+
     @cached_property
     def events_clean(self) -> DataFrame:
-        return clean.clean_stage_events(self.events, self.apps_clean)
+        # membership needs the clean keys only, not the deduplicated rows
+        return clean.clean_stage_events(self.events, self.clean_keys)
 
     @cached_property
     def events_by_channel(self) -> DataFrame:
@@ -492,7 +497,7 @@ SELECT stage, count(DISTINCT application_id) AS reached,
        {PCT('count(DISTINCT application_id)', '(SELECT count(*) FROM v_applications_clean)')} AS share_pct
 FROM v_stage_events_clean GROUP BY stage""")
 def r1(L: Layer) -> DataFrame:
-    return process.funnel(L.events_clean, L.apps_clean)
+    return process.funnel(L.events_clean, L.clean_keys)
 
 
 def _sla_sql(group: str, source: str, where: str = "", n: str = "events") -> str:
@@ -528,7 +533,7 @@ SELECT d.reason, count(*) AS applications, {PCT('count(*)', 'sum(count(*)) OVER
 FROM raw_decisions d JOIN v_applications_clean a ON a.application_id = d.application_id
 WHERE d.decision = '{REJ}' GROUP BY d.reason""")
 def r5(L: Layer) -> DataFrame:
-    return process.rejection_reasons(L.decisions, L.apps_clean, rejected=REJ)
+    return process.rejection_reasons(L.decisions, L.clean_keys, rejected=REJ)
 
 
 @query("r6_monthly_dynamics", f"""
@@ -573,7 +578,8 @@ SELECT q.channel, q.n, {R('q.q1', 1)} AS q1, {R('q.med', 1)} AS median, {R('q.q3
        {R('max(CASE WHEN d.hours <= q.q3 + 1.5 * (q.q3 - q.q1) THEN d.hours END)', 1)} AS whisker_hi
 FROM d JOIN q ON q.channel = d.channel GROUP BY q.channel, q.n, q.q1, q.med, q.q3""")
 def r9(L: Layer) -> DataFrame:
-    return process.box_stats(L.events_by_channel.where(F.col("stage") == SLOW), "channel", "hours")
+    return process.box_stats(L.events_by_channel.where(F.col("stage") == SLOW), "channel", "hours",
+                             persist=True)
 
 
 @query("r10_iqr_outliers", f"""
