@@ -75,11 +75,14 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     hash of its leading key column (deterministic under task retries and,
     unlike a round-robin repartition, without a sort before the exchange).
     Filters and column pruning still reach the parquet reader."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    files = tuple(df.inputFiles())
-    key = (",".join(files), cores)
-    if key not in _SPREAD_DECISION:
-        _SPREAD_DECISION[key] = (df.rdd.getNumPartitions() < cores and _scan_bytes(files) >= min_bytes)
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        files = tuple(df.inputFiles())
+        key = (",".join(files), cores)
+        if key not in _SPREAD_DECISION:
+            _SPREAD_DECISION[key] = (df.rdd.getNumPartitions() < cores and _scan_bytes(files) >= min_bytes)
+    except Exception:  # noqa: BLE001 — e.g. a Spark Connect session has no RDD view: leave as is
+        return df
     return df.repartition(cores, df.columns[0]) if _SPREAD_DECISION[key] else df
 
 
