@@ -160,22 +160,31 @@ OVERVIEW_LABELS = {"n_rows": "Строк в выгрузке", "n_keys": "Уни
 
 @query("f1_labelled_overview", """
 SELECT count(*) AS "Строк в выгрузке", count(DISTINCT application_id) AS "Уникальных заявок",
-       CAST(min(submitted_at) AS DATE) AS "Первая заявка", CAST(max(submitted_at) AS DATE) AS "Последняя заявка"
+       strftime(min(submitted_at), '%Y-%m-%d') AS "Первая заявка",
+       strftime(max(submitted_at), '%Y-%m-%d') AS "Последняя заявка"
 FROM raw_applications""")
 def f1(L: Layer) -> DataFrame:
     """projection under display labels (spaces, Cyrillic)."""
-    return relational.with_labels(quality.overview(L.apps, "application_id", "submitted_at"), OVERVIEW_LABELS)
+    o = _iso_days(quality.overview(L.apps, "application_id", "submitted_at"), "first_day", "last_day")
+    return relational.with_labels(o, OVERVIEW_LABELS)
 
 
 # ------------------------------------------------------------------ the 21 paired operations
 
 
+# Check queries hand dates over as ISO text and nullable integers as DOUBLE,
+# so that both engines' pandas conversions render them identically.
+def _iso_days(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in cols})
+
+
 @query("p01_overview", """
 SELECT count(*) AS n_rows, count(DISTINCT application_id) AS n_keys,
-       CAST(min(submitted_at) AS DATE) AS first_day, CAST(max(submitted_at) AS DATE) AS last_day
+       strftime(min(submitted_at), '%Y-%m-%d') AS first_day,
+       strftime(max(submitted_at), '%Y-%m-%d') AS last_day
 FROM raw_applications""")
 def p01(L: Layer) -> DataFrame:
-    return quality.overview(L.apps, "application_id", "submitted_at")
+    return _iso_days(quality.overview(L.apps, "application_id", "submitted_at"), "first_day", "last_day")
 
 
 @query("p03_preview", """
@@ -368,10 +377,11 @@ def p21(L: Layer) -> DataFrame:
 
 @query("q1_overview_events", """
 SELECT count(*) AS n_rows, count(DISTINCT application_id) AS n_keys,
-       CAST(min(entered_at) AS DATE) AS first_day, CAST(max(entered_at) AS DATE) AS last_day
+       strftime(min(entered_at), '%Y-%m-%d') AS first_day,
+       strftime(max(entered_at), '%Y-%m-%d') AS last_day
 FROM raw_stage_events""")
 def q1(L: Layer) -> DataFrame:
-    return quality.overview(L.events, "application_id", "entered_at")
+    return _iso_days(quality.overview(L.events, "application_id", "entered_at"), "first_day", "last_day")
 
 
 @query("q2_missing", """
@@ -665,8 +675,8 @@ WITH m AS (SELECT {k}min(cum_npv_rub) AS tv FROM {source} {'GROUP BY ' + key if
 t AS (SELECT {'n.' + key + ', ' if key else ''}min(n.month_index) AS trough_month, min(m.tv) AS trough_npv_rub
       FROM {source} n JOIN m ON {on}n.cum_npv_rub = m.tv {grp})
 SELECT {'t.' + key + ', ' if key else ''}t.trough_month, CAST(t.trough_npv_rub AS DOUBLE) AS trough_npv_rub,
-       min(CASE WHEN n.cum_npv_rub >= 0 AND n.month_index > t.trough_month THEN n.month_index END)
-         AS breakeven_month
+       CAST(min(CASE WHEN n.cum_npv_rub >= 0 AND n.month_index > t.trough_month THEN n.month_index END)
+            AS DOUBLE) AS breakeven_month
 FROM {source} n JOIN t ON {on2}
 GROUP BY {'t.' + key + ', ' if key else ''}t.trough_month, t.trough_npv_rub"""
 
@@ -674,13 +684,13 @@ GROUP BY {'t.' + key + ', ' if key else ''}t.trough_month, t.trough_npv_rub"""
 @query("n6_breakeven", _breakeven_sql("v_initiative_npv", "initiative_id"))
 def n6(L: Layer) -> DataFrame:
     """Per initiative, first month after the trough with cumulative NPV ≥ 0."""
-    return _dbl(portfolio.breakeven_month(L.npv, ["initiative_id"]), "trough_npv_rub")
+    return _dbl(portfolio.breakeven_month(L.npv, ["initiative_id"]), "trough_npv_rub", "breakeven_month")
 
 
 @query("n6_portfolio_breakeven", _breakeven_sql("v_portfolio_npv", None))
 def n6p(L: Layer) -> DataFrame:
     """N6 on the portfolio curve."""
-    return _dbl(portfolio.breakeven_month(L.port), "trough_npv_rub")
+    return _dbl(portfolio.breakeven_month(L.port), "trough_npv_rub", "breakeven_month")
 
 
 @query("n7_latest_payback", """
