@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from stagewise.functions.text import CHANNEL_ALIASES, normalize_channel, parse_amount, parse_date
 from stagewise.operators import cards

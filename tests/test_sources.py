@@ -1,9 +1,7 @@
 """Sources, sinks, catalog helpers, views and the streaming monitor."""
 
-import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from stagewise.plans.registry import Layer
