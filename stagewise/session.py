@@ -26,7 +26,7 @@ _DEFAULTS = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "stagewise") -> SparkSession:
+              app_name: str = "stagewise", driver_memory: str | None = None) -> SparkSession:
     """Return (or create) a session configured for this package.
 
     On a cluster, master, resources and ``spark.sql.shuffle.partitions`` come
@@ -39,6 +39,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if SparkSession.getActiveSession() is None:
         builder = (builder.config("spark.ui.enabled", "false")
                    .config("spark.ui.showConsoleProgress", "false"))
+        if driver_memory:               # only meaningful before the JVM starts (local mode)
+            builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     launch = spark.sparkContext.getConf()
     for k, v in _SEMANTICS.items():
@@ -84,4 +86,4 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/{name or 'table'}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -48,7 +48,7 @@ SLOW_STAGE = "RF"
 
 # A table of at least this size that scans into fewer splits than the cluster
 # has cores is spread round-robin first (a single-row-group file is one task).
-SPREAD_MIN_BYTES = 1 << 20
+SPREAD_MIN_BYTES = 4 << 20
 
 
 class Tables(dict):
@@ -59,11 +59,31 @@ class Tables(dict):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def __missing__(self, name: str) -> DataFrame:
-        df = spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+        df = spread(read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet"))
         self[name] = df
         return df
 
 
+_SCHEMA_CACHE: dict[tuple[str, float], object] = {}
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet`` with the footer-derived schema remembered per file
+    version, so repeated reads skip the schema-discovery job."""
+    import os
+    try:
+        version = os.path.getmtime(path)
+    except OSError:
+        version = -1.0                      # remote store: infer every time
+    key = (path, version)
+    if version >= 0 and key in _SCHEMA_CACHE:
+        return spark.read.schema(_SCHEMA_CACHE[key]).parquet(path)
+    df = spark.read.parquet(path)
+    if version >= 0:
+        _SCHEMA_CACHE[key] = df.schema
+    return df
+
+
 _SPREAD_DECISION: dict[tuple[str, int], bool] = {}
 
 
