@@ -34,19 +34,24 @@ def _pow(rate: float, m: Column) -> Column:
 def initiative_plan(passport: DataFrame, rate: float = RATE) -> DataFrame:
     """Monthly cost = floor(cost / mp); monthly profit = ceil(spend_pv / unit_pv)
     with spend_pv = Σ_{t=0}^{mp-1} (cost/mp)/(1+r)^(start+t) and
-    unit_pv = Σ_{t=mp}^{pb} 1/(1+r)^(start+t) (both ends inclusive)."""
+    unit_pv = Σ_{t=mp}^{pb} 1/(1+r)^(start+t) (both ends inclusive).
+
+    Policy for an impossible passport (months_to_profit ≤ 0, or payback
+    before profitability, where the SQL original divides by zero): the
+    monthly amounts are NULL instead of failing the whole job."""
     cost, mp, pb, start = (F.col("cost_rub").cast("double"), F.col("months_to_profit"),
                            F.col("months_to_payback"), F.col("start_month"))
     zero = F.lit(0.0)
     spend_pv = F.aggregate(month_series(F.lit(0), mp - 1), zero,
-                           lambda acc, t: acc + (cost / mp) / _pow(rate, start + t))
+                           lambda acc, t: acc + F.try_divide(cost, mp) / _pow(rate, start + t))
     unit_pv = F.aggregate(month_series(mp, pb), zero,
                           lambda acc, t: acc + F.lit(1.0) / _pow(rate, start + t))
     return passport.select(
         "initiative_id", "name", "direction", "start_month", "cost_rub",
         "months_to_profit", "months_to_payback",
-        F.floor(cost / mp).cast("bigint").alias("monthly_cost_rub"),
-        F.ceil(spend_pv / unit_pv).cast("bigint").alias("monthly_profit_rub"))
+        F.floor(F.try_divide(cost, F.when(mp > 0, mp))).cast("bigint").alias("monthly_cost_rub"),
+        F.ceil(F.try_divide(spend_pv, F.when((unit_pv > 0) & (mp > 0), unit_pv))).cast("bigint")
+         .alias("monthly_profit_rub"))
 
 
 def _flow(m: Column) -> Column:

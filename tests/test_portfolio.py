@@ -104,3 +104,23 @@ def test_empty_series_guard(spark):
     r = spark.range(1).select(month_series(F.lit(0), F.lit(-1)).alias("s"),
                               month_series(F.lit(2), F.lit(4)).alias("t")).first()
     assert r.s == [] and r.t == [2, 3, 4]
+
+
+def test_edge_passports(spark):
+    rows = [("Z0", "d", 0, 1000000, 0, 5),      # months_to_profit = 0
+            ("Z1", "d", 0, 1000000, 6, 4),      # payback before profitability
+            ("Z2", "d", 40, 1000000, 2, 5),     # starts beyond the horizon
+            ("Z3", "d", 0, 1000000, 2, 5)]
+    pp = spark.createDataFrame(
+        [(i, i, d, s, c, mp, pb) for i, d, s, c, mp, pb in rows],
+        "initiative_id string, name string, direction string, start_month int, cost_rub long,"
+        " months_to_profit int, months_to_payback int").withColumn("cost_rub", F.col("cost_rub").cast("decimal(18,2)"))
+    plan = {r.initiative_id: r for r in P.initiative_plan(pp).collect()}
+    assert plan["Z0"].monthly_cost_rub is None and plan["Z0"].monthly_profit_rub is None
+    assert plan["Z1"].monthly_profit_rub is None and plan["Z1"].monthly_cost_rub == 166666
+    assert plan["Z3"].monthly_cost_rub == 500000
+    curve = P.initiative_npv(P.initiative_plan(pp))
+    z2 = [r.cash_flow_rub for r in curve.where("initiative_id = 'Z2'").collect()]
+    assert len(z2) == 37 and set(z2) == {0}           # nothing happens inside the horizon
+    be = {r.initiative_id: r.breakeven_month for r in P.breakeven_month(curve, ["initiative_id"]).collect()}
+    assert be["Z3"] == 5

@@ -123,3 +123,18 @@ def test_flag_repeats_keeps_every_row(apps):
     unflagged = {r.application_id: r.amount for r in f.where(~F.col("is_repeat")).collect()}
     assert len(unflagged) == 7 and unflagged["A2"] == 250.0
     assert f.where("is_repeat").count() == 3
+
+
+def test_clean_rows_equal_clean_keys(apps):
+    assert clean.clean_applications(apps).count() == clean.clean_keys(apps).count()
+
+
+def test_rejection_reasons_null_reason_and_missing_decision(spark, apps):
+    dec = spark.createDataFrame([("A1", "Отказ", None), ("A2", "Отказ", "score"), ("A7", "Одобрено", None),
+                                 ("A5", "Отказ", "score")],          # A5 is a test record: ignored
+                                "application_id string, decision string, reason string")
+    c = clean.clean_applications(apps)
+    got = {r.reason: (r.applications, r.share_pct) for r in process.rejection_reasons(dec, c).collect()}
+    assert got == {None: (1, 50.0), "score": (1, 50.0)}
+    m = {r.year_month: (r.applications, r.approved_pct) for r in process.monthly_dynamics(c, dec).collect()}
+    assert m == {"2025-03": (3, 33.3)}                  # undecided stays in the denominator
