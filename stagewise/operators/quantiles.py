@@ -39,7 +39,8 @@ def split_exact_quantiles(df: DataFrame, keys: Sequence[str], x: str, ps: Sequen
 
     With ``persist`` the narrow (keys, value) projection is written once to the
     shared checkpoint folder, so the three passes read it instead of
-    recomputing the upstream plan (and a lost executor costs no recompute)."""
+    recomputing the upstream plan (and a lost executor costs no recompute).
+    The per-group brackets (one small row per group) are always written once."""
     if not keys:                       # the whole frame is one group
         out = split_exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], x, ps, names, accuracy, persist)
         return out.drop("_g")
@@ -56,6 +57,10 @@ def split_exact_quantiles(df: DataFrame, keys: Sequence[str], x: str, ps: Sequen
     stats = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_x", F.array(*[F.lit(q) for q in probes]), accuracy).alias("_b"))
+    # The brackets feed two consumers (rows below, rows inside).  A sketch's
+    # merge order can differ between re-executions, so the small per-group
+    # table is written once and both read the same brackets.
+    stats = materialize(stats, "quantile-brackets")
     small_n = 4 * accuracy
 
     # small groups: exact value maps, bounded by small_n values each
