@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,12 +22,14 @@ def interval_counts_stream(events: DataFrame, start: str = "entered_at", end: st
         F.count_if(e.isNull()).alias("not_closed"), F.count_if(e > s).alias("usable"))
 
 
-def run_available(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
+def run_available(stream: DataFrame, name: str, mode: str = "complete",
+                  checkpoint: str | None = None) -> DataFrame:
     """Process everything available now into an in-memory table ``name`` and
-    return it.  Progress is checkpointed under the shared checkpoint dir, so a
-    restarted query resumes instead of recounting."""
+    return it.  Progress and state are checkpointed under the shared
+    checkpoint dir at a path fixed by ``name`` (or ``checkpoint``), so running
+    it again resumes from the last committed batch instead of recounting."""
     spark: SparkSession = stream.sparkSession
-    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}"
     q = (stream.writeStream.outputMode(mode).format("memory").queryName(name)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
