@@ -22,11 +22,12 @@ def register_views(raw: dict[str, DataFrame], persist_clean: bool = False,
         apps = materialize(apps, "v_applications_clean")
     views: dict[str, DataFrame] = {}
     views["v_applications_clean"] = publish_view(apps, "v_applications_clean")
-    ev = clean.clean_stage_events(raw["raw_stage_events"], views["v_applications_clean"])
+    ev = clean.clean_stage_events(raw["raw_stage_events"], clean.clean_keys(raw["raw_applications"]))
     views["v_stage_events_clean"] = publish_view(ev, "v_stage_events_clean")
+    # the panel looks the channel up in the same join that keeps clean events
+    ev_dim = clean.clean_stage_events(raw["raw_stage_events"], views["v_applications_clean"], attach=(dim,))
     views["v_stage_sla_panel"] = publish_view(
-        process.channel_stage_sla(ev, views["v_applications_clean"], dim).withColumnRenamed(dim, "channel"),
-        "v_stage_sla_panel")
+        process.channel_stage_sla(ev_dim, None, dim).withColumnRenamed(dim, "channel"), "v_stage_sla_panel")
     plan = portfolio.initiative_plan(raw["initiative_passport"])
     views["v_initiative_plan"] = publish_view(plan, "v_initiative_plan")
     npv = portfolio.initiative_npv(plan)
