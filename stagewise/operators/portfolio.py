@@ -120,15 +120,18 @@ def breakeven_month(curve: DataFrame, keys: list[str] | None = None, month: str
                     cum: str = "cum_npv_rub") -> DataFrame:
     """First month after the trough where the running NPV is ≥ 0 (NULL if
     never).  A curve is 0 before its start, so 'first month with cum ≥ 0' would
-    be wrong.  Trough = earliest month of the minimum."""
+    be wrong.  Trough = earliest month of the minimum.
+
+    One pass: the trough comes from a window over each curve (horizon+1 rows;
+    a curve from ``initiative_npv`` is already partitioned by initiative, so
+    neither the window nor the grouping shuffles again).  Without ``keys`` the
+    input is a single (portfolio) curve."""
     keys = keys or []
-    trough = (curve.groupBy(*keys).agg(F.min(F.struct(F.col(cum), F.col(month))).alias("_t"))
-              .select(*keys, F.col("_t")[month].alias("trough_month"),
-                      F.col("_t")[cum].alias("trough_npv_rub")))
-    joined = curve.join(trough, keys) if keys else curve.crossJoin(F.broadcast(trough))
-    return joined.groupBy(*keys, "trough_month", "trough_npv_rub").agg(
-        F.min(F.when((F.col(cum) >= 0) & (F.col(month) > F.col("trough_month")), F.col(month)))
-        .alias("breakeven_month"))
+    w = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    t = curve.withColumn("_t", F.min(F.struct(F.col(cum), F.col(month))).over(w))
+    trough_m = F.col("_t")[month]
+    return t.groupBy(*keys, trough_m.alias("trough_month"), F.col("_t")[cum].alias("trough_npv_rub")).agg(
+        F.min(F.when((F.col(cum) >= 0) & (F.col(month) > trough_m), F.col(month))).alias("breakeven_month"))
 
 
 def latest_payback(passport: DataFrame, n: int = 3, with_ties: bool = False) -> DataFrame:
