@@ -7,25 +7,38 @@ from pyspark.sql import DataFrame
 from stagewise.operators import clean, portfolio, process
 from stagewise.session import materialize
 from stagewise.sources.catalog import publish_view
+from stagewise.sources.sinks import write_bucketed
 
 
 def register_views(raw: dict[str, DataFrame], persist_clean: bool = False,
-                   dim: str = "channel") -> dict[str, DataFrame]:
+                   dim: str = "channel", bucket_clean: int | None = None,
+                   key: str = "application_id") -> dict[str, DataFrame]:
     """Publish the clean layer, the stage-SLA panel and the portfolio views.
 
     ``raw`` holds raw_applications, raw_stage_events, initiative_passport and
     initiative_fact.  With ``persist_clean`` the clean applications are written
     once under the shared checkpoint dir (lineage cut, survives executor loss)
-    and every later view reads the written table."""
+    and every later view reads the written table.  With ``bucket_clean=n``
+    the clean applications and clean events are saved as tables bucketed by
+    the key into ``n`` buckets, so every later join between them (the panel,
+    any ad-hoc query) runs without a shuffle."""
     apps = clean.clean_applications(raw["raw_applications"])
-    if persist_clean:
+    if bucket_clean:
+        apps = write_bucketed(apps, "clean_applications_b", key, bucket_clean)
+    elif persist_clean:
         apps = materialize(apps, "v_applications_clean")
     views: dict[str, DataFrame] = {}
     views["v_applications_clean"] = publish_view(apps, "v_applications_clean")
     ev = clean.clean_stage_events(raw["raw_stage_events"], clean.clean_keys(raw["raw_applications"]))
+    if bucket_clean:
+        ev = write_bucketed(ev, "clean_stage_events_b", key, bucket_clean)
+        # co-located join: both sides are bucketed by the key
+        ev_dim = ev.join(views["v_applications_clean"].select(key, dim), key)
+    else:
+        # the panel looks the channel up in the same join that keeps clean events
+        ev_dim = clean.clean_stage_events(raw["raw_stage_events"], views["v_applications_clean"],
+                                          attach=(dim,))
     views["v_stage_events_clean"] = publish_view(ev, "v_stage_events_clean")
-    # the panel looks the channel up in the same join that keeps clean events
-    ev_dim = clean.clean_stage_events(raw["raw_stage_events"], views["v_applications_clean"], attach=(dim,))
     views["v_stage_sla_panel"] = publish_view(
         process.channel_stage_sla(ev_dim, None, dim).withColumnRenamed(dim, "channel"), "v_stage_sla_panel")
     plan = portfolio.initiative_plan(raw["initiative_passport"])

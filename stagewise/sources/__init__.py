@@ -7,10 +7,10 @@ from stagewise.sources.readers import (
 from stagewise.sources.catalog import (
     list_tables, row_counts, columns_of, preview, publish_view, read_view,
 )
-from stagewise.sources.sinks import write_csv
+from stagewise.sources.sinks import write_csv, write_bucketed
 
 __all__ = [
     "SCHEMAS", "TABLE_COMMENTS", "read_declared_csv", "read_text_export", "read_table",
     "infer_numeric", "run_sql", "list_tables", "row_counts", "columns_of", "preview",
-    "publish_view", "read_view", "write_csv",
+    "publish_view", "read_view", "write_csv", "write_bucketed",
 ]

@@ -11,3 +11,14 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True,
     parallel, one file per partition (a spreadsheet BOM is not emitted)."""
     (df.write.mode(mode).option("header", header).option("sep", sep)
        .option("quoteAll", False).option("encoding", "UTF-8").csv(path))
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite") -> DataFrame:
+    """Save ``df`` as a catalog table hash-bucketed (and sorted) by ``key``.
+
+    Two tables bucketed by the same key into the same number of buckets join
+    without any shuffle: each task reads matching buckets of both.  The table
+    lands in the session's warehouse (``spark.sql.warehouse.dir``, shared
+    storage on a cluster)."""
+    (df.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    return df.sparkSession.table(table)

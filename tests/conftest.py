@@ -16,6 +16,7 @@ def spark():
     from stagewise.session import get_spark
     # tests are the one place where this package sets its own checkpoint dir
     b = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4")
+    b = b.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="stagewise-test-wh-"))
     b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="stagewise-test-ckpt-")).getOrCreate()
     s = get_spark("local[4]", shuffle_partitions=4)
     yield s
