@@ -2,10 +2,12 @@
 
 Columns are matched by position (names ignored).  Numeric columns are compared
 as doubles rounded to ``ndp`` decimals, others as trimmed text; NULL equals
-NULL.  Row order is ignored (a distributed frame has none): without keys the
-two sides are compared as bags (``exceptAll`` both ways); with keys, each
-distinct row is counted per side in one aggregation and the differing rows are
-summarised per key — no join, so a crowded key never becomes one join task.
+NULL.  Row order is ignored (a distributed frame has none).  Both modes count each
+distinct row per side in one aggregation (one shuffle, identical copies
+combined map-side): without keys the two sides are compared as bags and each
+surplus row is reported once with its number of extra copies; with keys the
+differing rows are summarised per key — no join, so a crowded key never
+becomes one join task.
 """
 
 from __future__ import annotations
@@ -33,25 +35,25 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[int] | None = None,
               ndp: int = 3) -> DataFrame:
     """Differences between ``left`` and ``right`` (empty DataFrame = they match).
 
-    Without ``keys``: rows present more often on one side, with ``side``
-    ('left_only' / 'right_only').  With ``keys`` (column positions, expected
+    Without ``keys``: each distinct row present more often on one side, once,
+    with ``side`` ('left_only' / 'right_only') and ``copies`` (how many more).  With ``keys`` (column positions, expected
     to identify a row on each side): one row per key that is missing on a side
     or differs, with the differing positions in ``diff_columns``."""
     if len(left.columns) != len(right.columns):
         raise ValueError(f"shapes differ: {len(left.columns)} vs {len(right.columns)} columns")
     a, b = _normalise(left, ndp), _normalise(right, ndp)
-    if not keys:
-        return (a.exceptAll(b).withColumn("side", F.lit("left_only"))
-                .unionByName(b.exceptAll(a).withColumn("side", F.lit("right_only"))))
     names = a.columns
-    kcols = [names[i] for i in keys]
-    vals = [c for c in names if c not in kcols]
     # each distinct row with its count per side: one shuffle on whole rows,
     # identical copies combined map-side (no join, so no skewed join task)
     counted = (a.withColumn("_l", F.lit(1)).withColumn("_r", F.lit(0))
                .unionByName(b.withColumn("_l", F.lit(0)).withColumn("_r", F.lit(1)))
                .groupBy(*names).agg(F.sum("_l").alias("_nl"), F.sum("_r").alias("_nr"))
                .where(F.col("_nl") != F.col("_nr")))
+    if not keys:
+        side = F.when(F.col("_nl") > F.col("_nr"), "left_only").otherwise("right_only")
+        return counted.select(*names, side.alias("side"), F.abs(F.col("_nl") - F.col("_nr")).alias("copies"))
+    kcols = [names[i] for i in keys]
+    vals = [c for c in names if c not in kcols]
     row = F.struct(*[F.col(c) for c in vals]) if vals else F.struct(F.lit(1).alias("_"))
     per_key = counted.groupBy(*kcols).agg(
         F.max(F.when(F.col("_nl") > F.col("_nr"), row)).alias("_L"),

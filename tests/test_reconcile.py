@@ -12,8 +12,8 @@ def test_equal_bags_in_other_order(spark):
 def test_fourth_decimal_and_extra_row(spark):
     a = spark.createDataFrame([(1, 1.0001), (2, 2.0)], "k int, v double")
     b = spark.createDataFrame([(1, 1.0009), (2, 2.0), (3, 3.0)], "k int, v double")
-    d = {(r.c0, r.side) for r in reconcile(a, b).collect()}
-    assert d == {(1.0, "left_only"), (1.0, "right_only"), (3.0, "right_only")}
+    d = {(r.c0, r.side, r.copies) for r in reconcile(a, b).collect()}
+    assert d == {(1.0, "left_only", 1), (1.0, "right_only", 1), (3.0, "right_only", 1)}
     keyed = {(r.c0, r.side, r.diff_columns) for r in reconcile(a, b, keys=[0]).collect()}
     assert keyed == {(1.0, "differs", "c1"), (3.0, "right_only", "c1")}
 

@@ -54,8 +54,11 @@ def test_identical_copies_reconcile(spark):
     same = [(1, "x")] * 1000
     a = spark.createDataFrame(same + [(2, "y")], "k int, v string")
     b = spark.createDataFrame(same[:-1] + [(2, "y"), (3, "z")], "k int, v string")
-    d = sorted((r.c0, r.c1, r.side) for r in reconcile(a, b).collect())
-    assert d == [(1.0, "x", "left_only"), (3.0, "z", "right_only")]
+    d = sorted((r.c0, r.c1, r.side, r.copies) for r in reconcile(a, b).collect())
+    assert d == [(1.0, "x", "left_only", 1), (3.0, "z", "right_only", 1)]
+    many = spark.createDataFrame([(1, "x")] * 700, "k int, v string")
+    got = sorted((r.c0, r.side, r.copies) for r in reconcile(a, many).collect())
+    assert got == [(1.0, "left_only", 300), (2.0, "left_only", 1)]
 
 
 def test_skew_settings_on(spark):
