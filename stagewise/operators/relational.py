@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagewise.functions.numeric import pct
+from stagewise.session import materialize
 
 _UNORDERABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
 
@@ -47,14 +48,18 @@ def flag_repeats(df: DataFrame, key: str | Sequence[str], order: Sequence[Column
                  name: str = "is_repeat") -> DataFrame:
     """Every row of a key except the first is flagged (pandas ``duplicated``).
 
-    Numbering all rows of a key would sort a crowded key in one task.  Instead
-    the first row per key comes from ``first_per_key`` (limited before the
-    shuffle) and everything else is ``df EXCEPT ALL first``: a bag difference
-    hashed on whole rows, where identical copies are combined map-side.  The
-    result holds exactly the rows of ``df``, one per key unflagged."""
-    first = first_per_key(df, key, order)
-    return (first.withColumn(name, F.lit(False))
-            .unionByName(df.exceptAll(first).withColumn(name, F.lit(True))))
+    Numbering all rows of a key would sort a crowded key in one task, and a
+    bag difference would regenerate a crowded group of identical copies in
+    one task.  Instead every row gets an id (written once to the shared
+    checkpoint folder, so ids survive re-execution), the first row per key is
+    chosen with the id breaking ties between identical copies (limited before
+    the shuffle), and rows are flagged by a join on the unique id — no key, so
+    no skew; the chosen ids are broadcast by AQE when they are few."""
+    d = materialize(df.withColumn("_rid", F.monotonically_increasing_id()), "repeat-flags")
+    firsts = first_per_key(d, key, order).select("_rid", F.lit(False).alias(name))
+    return (d.join(firsts, "_rid", "left")
+            .withColumn(name, F.coalesce(F.col(name), F.lit(True)))
+            .select(*df.columns, name))
 
 
 def with_share(grouped: DataFrame, count_col: str, out: str = "share_pct", n: int = 1) -> DataFrame:
