@@ -3,23 +3,26 @@
 Spark's exact ``percentile`` merges, per group, a map of every distinct value
 in one task.  For a crowded group of a continuous measure that map grows with
 the data.  ``split_exact_quantiles`` returns the same exact, linearly
-interpolated quantiles while no task ever holds more than a narrow slice of
+interpolated quantiles while no task ever holds more than a bounded slice of
 a group:
 
-1. one aggregation per group: the row count and, from a mergeable GK sketch
-   (``percentile_approx``), a value bracket around each target rank;
-2. one pass over the rows (the per-group brackets are small and joined by
-   the planner — broadcast when small): rows below each bracket are only
-   counted (map-side combined); rows inside a bracket — about
-   6·n/accuracy per target — are kept;
-3. the kept rows are ranked per (group, target) and the two values around the
-   target position are interpolated.
-
-Groups of at most ``4·accuracy`` rows skip the bracket and use Spark's exact
-``percentile`` directly (their value map is bounded by that size); for larger
-groups the bracket (±3n/accuracy ranks) exceeds the sketch's rank error
-(≤ n/accuracy) by at least 8 rows on each side.  Should a bracket still miss
-its target the result is NULL rather than wrong.
+1. one aggregation counts each group; groups of at most ``4·accuracy`` rows
+   take Spark's exact ``percentile`` directly (their value map is bounded);
+2. for larger groups each target quantile starts with all of the group's rows
+   as candidates and its rank inside them.  A round sketches the candidates
+   of every (group, target) with a mergeable GK sketch on a fixed grid of
+   percentages, keeps only the rows between the grid points that safely
+   enclose the target rank (the sketch's rank error is ≤ m/accuracy), counts
+   the rows below them (map-side combined) and shifts the rank.  Each round
+   shrinks the candidates about 450-fold; rounds repeat until every candidate
+   set has at most ``max_rank_rows`` rows;
+3. the remaining candidates are ranked per (group, target) and the two values
+   around the target position are interpolated.
+
+Sketch results feed two consumers per round (rows below, rows kept), and a
+sketch's merge order can differ between re-executions, so each round's small
+bracket table is written once to the shared checkpoint folder.  If a bracket
+ever missed its rank the result is NULL, never a wrong value.
 """
 
 from __future__ import annotations
@@ -31,70 +34,87 @@ from pyspark.sql import functions as F
 
 from stagewise.session import materialize
 
+GRID = 1000                       # grid of percentages 0, 1/GRID, …, 1 per round
+
 
 def split_exact_quantiles(df: DataFrame, keys: Sequence[str], x: str, ps: Sequence[float],
                           names: Sequence[str] | None = None, accuracy: int = 10_000,
-                          persist: bool = True) -> DataFrame:
+                          persist: bool = True, max_rank_rows: int = 1_000_000,
+                          max_rounds: int = 6) -> DataFrame:
     """One row per group: ``keys`` + one column per quantile in ``ps``.
 
     With ``persist`` the narrow (keys, value) projection is written once to the
-    shared checkpoint folder, so the three passes read it instead of
-    recomputing the upstream plan (and a lost executor costs no recompute).
-    The per-group brackets (one small row per group) are always written once."""
+    shared checkpoint folder, so every pass reads it instead of recomputing
+    the upstream plan (and a lost executor costs no recompute)."""
     if not keys:                       # the whole frame is one group
-        out = split_exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], x, ps, names, accuracy, persist)
+        out = split_exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], x, ps, names, accuracy,
+                                    persist, max_rank_rows, max_rounds)
         return out.drop("_g")
     keys = list(keys)
     names = list(names or [f"q{i}" for i in range(len(ps))])
-    eps = 3.0 / accuracy
-    probes = []
-    for p in ps:
-        probes += [max(0.0, p - eps), min(1.0, p + eps)]
     rows = df.select(*keys, F.col(x).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     if persist:
         rows = materialize(rows, "quantile-input")
 
-    stats = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_x", F.array(*[F.lit(q) for q in probes]), accuracy).alias("_b"))
-    # The brackets feed two consumers (rows below, rows inside).  A sketch's
-    # merge order can differ between re-executions, so the small per-group
-    # table is written once and both read the same brackets.
-    stats = materialize(stats, "quantile-brackets")
+    counts = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "quantile-counts")
     small_n = 4 * accuracy
 
     # small groups: exact value maps, bounded by small_n values each
-    small = stats.where(F.col("_n") <= small_n).select(*keys)
-    small_rows = rows.join(small, keys, "left_semi")
+    small_rows = rows.join(counts.where(F.col("_n") <= small_n).select(*keys), keys, "left_semi")
     exact_small = small_rows.groupBy(*keys).agg(
         *[F.percentile("_x", F.lit(p)).alias(n) for p, n in zip(ps, names)])
 
-    # large groups: one row per (group, target) with position and bracket
-    stats = stats.where(F.col("_n") > small_n)
-    targets = stats.select(*keys, "_n", F.posexplode(F.array(*[
-        F.struct(F.lit(p).alias("p"), F.col("_b")[2 * i].alias("lo"), F.col("_b")[2 * i + 1].alias("hi"))
-        for i, p in enumerate(ps)])).alias("_t", "_s")).select(
-        *keys, "_n", "_t", F.col("_s.p").alias("_p"), F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi"))
-    targets = targets.withColumn("_pos", (F.col("_n") - 1).cast("double") * F.col("_p"))
-
-    tagged = rows.join(targets, keys)
-    below = tagged.groupBy(*keys, "_t").agg(F.count_if(F.col("_x") < F.col("_lo")).alias("_below"))
-    inside = tagged.where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
-    w = Window.partitionBy(*keys, "_t").orderBy("_x")
-    ranked = (inside.withColumn("_r", F.row_number().over(w) - 1)
-              .join(below, [*keys, "_t"])
-              .withColumn("_rank", F.col("_r") + F.col("_below")))
-    lo_i, hi_i = F.floor("_pos"), F.ceil("_pos")
-    picked = ranked.where((F.col("_rank") == lo_i) | (F.col("_rank") == hi_i)).groupBy(*keys, "_t", "_pos").agg(
-        F.max(F.when(F.col("_rank") == lo_i, F.col("_x"))).alias("_vlo"),
-        F.max(F.when(F.col("_rank") == hi_i, F.col("_x"))).alias("_vhi"))
-    pos = F.col("_pos")
+    # large groups: one candidate set per (group, target) with global position
+    # and the two global ranks around it; local ranks start equal to them
+    big = counts.where(F.col("_n") > small_n)
+    targets = big.select(*keys, F.posexplode(F.array(*[F.lit(float(p)) for p in ps])).alias("_t", "_p"))
+    targets = (targets.join(big, keys)
+               .withColumn("_pos", (F.col("_n") - 1).cast("double") * F.col("_p"))
+               .withColumn("_glo", F.floor("_pos")).withColumn("_ghi", F.ceil("_pos"))
+               .withColumn("_llo", F.col("_glo")).withColumn("_lhi", F.col("_ghi"))
+               .select(*keys, "_t", "_pos", "_glo", "_ghi", "_llo", "_lhi"))
+    cand = rows.join(targets, keys)
+    part = [*keys, "_t"]
+
+    grid = F.array(*[F.lit(j / GRID) for j in range(GRID + 1)])
+    for _ in range(max_rounds):
+        sizes = cand.groupBy(*part).agg(F.count(F.lit(1)).alias("_m"))
+        largest = sizes.agg(F.max("_m")).first()[0]
+        if largest is None or largest <= max_rank_rows:
+            break
+        sk = cand.groupBy(*part, "_llo", "_lhi").agg(
+            F.count(F.lit(1)).alias("_m"), F.percentile_approx("_x", grid, accuracy).alias("_g"))
+        # grid index j holds a value whose rank is within m/accuracy + 1 of j·m/GRID
+        m = F.col("_m").cast("double")
+        slack = m / F.lit(float(accuracy)) + F.lit(2.0)
+        j_lo = F.floor((F.col("_llo") - slack) * F.lit(float(GRID)) / m) - 1
+        j_hi = F.ceil((F.col("_lhi") + slack) * F.lit(float(GRID)) / m) + 1
+        brackets = materialize(sk.select(
+            *part,
+            F.when(j_lo >= 0, F.element_at("_g", (j_lo + 1).cast("int"))).alias("_blo"),
+            F.when(j_hi <= GRID, F.element_at("_g", (j_hi + 1).cast("int"))).alias("_bhi")),
+            "quantile-brackets")
+        tagged = cand.join(brackets, part)
+        lo_ok = F.col("_blo").isNull() | (F.col("_x") >= F.col("_blo"))
+        hi_ok = F.col("_bhi").isNull() | (F.col("_x") <= F.col("_bhi"))
+        below = tagged.groupBy(*part).agg(F.count_if(~lo_ok).alias("_below"))
+        cand = (tagged.where(lo_ok & hi_ok).drop("_blo", "_bhi").join(below, part)
+                .withColumn("_llo", F.col("_llo") - F.col("_below"))
+                .withColumn("_lhi", F.col("_lhi") - F.col("_below")).drop("_below"))
+        if persist:
+            cand = materialize(cand, "quantile-candidates")
+
+    w = Window.partitionBy(*part).orderBy("_x")
+    ranked = cand.withColumn("_r", F.row_number().over(w) - 1)
+    picked = ranked.where((F.col("_r") == F.col("_llo")) | (F.col("_r") == F.col("_lhi"))).groupBy(
+        *part, "_pos", "_glo", "_ghi").agg(
+        F.max(F.when(F.col("_r") == F.col("_llo"), F.col("_x"))).alias("_vlo"),
+        F.max(F.when(F.col("_r") == F.col("_lhi"), F.col("_x"))).alias("_vhi"))
+    pos, lo_i, hi_i = F.col("_pos"), F.col("_glo"), F.col("_ghi")
     value = F.when(hi_i == lo_i, F.col("_vlo")).otherwise(
         (hi_i - pos) * F.col("_vlo") + (pos - lo_i) * F.col("_vhi"))
-    per_target = picked.select(*keys, "_t", value.alias("_v"))
-    # back to one row per group (targets × groups is small); groups whose
-    # bracket missed a target keep a NULL there
+    per_target = picked.select(*part, value.alias("_v"))
+    # back to one row per group; a group whose bracket missed keeps NULL there
     wide = per_target.groupBy(*keys).agg(*[F.max(F.when(F.col("_t") == i, F.col("_v"))).alias(n)
                                             for i, n in enumerate(names)])
-    groups = stats.select(*keys)
-    return exact_small.unionByName(groups.join(wide, keys, "left"))
+    return exact_small.unionByName(big.select(*keys).join(wide, keys, "left"))
