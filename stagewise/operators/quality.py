@@ -70,25 +70,30 @@ def interval_check(df: DataFrame, start: str, end: str) -> DataFrame:
                   F.count_if(e.isNull()).alias("not_closed"), F.count_if(e > s).alias("usable"))
 
 
-def _tagged_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Distinct keys of both sides with side flags — one shuffle for both."""
+def _tagged_keys(left: DataFrame, right: DataFrame, key: str, keep_null: bool = False) -> DataFrame:
+    """Distinct keys of both sides with side flags — one shuffle for both.
+    A NULL key never matches (as in an equality join); with ``keep_null`` a
+    left NULL key stays as one unmatched key (as ``SELECT DISTINCT`` keeps it)."""
     both = (left.select(F.col(key), F.lit(1).alias("_l"), F.lit(0).alias("_r"))
-            .unionByName(right.select(F.col(key), F.lit(0).alias("_l"), F.lit(1).alias("_r"))))
-    return both.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.max("_l").alias("_l"), F.max("_r").alias("_r"))
+            .unionByName(right.where(F.col(key).isNotNull())
+                         .select(F.col(key), F.lit(0).alias("_l"), F.lit(1).alias("_r"))))
+    if not keep_null:
+        both = both.where(F.col(key).isNotNull())
+    return both.groupBy(key).agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
 
 
 def source_gap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Distinct left keys, with a match on the right, without one."""
-    k = _tagged_keys(left, right, key).where(F.col("_l") == 1)
+    """Distinct left keys (a NULL key counts once, unmatched), with a
+    match on the right, without one."""
+    k = _tagged_keys(left, right, key, keep_null=True).where(F.col("_l") == 1)
     return k.agg(_n("n_keys"), F.count_if(F.col("_r") == 1).alias("matched"),
                  F.count_if(F.col("_r") == 0).alias("unmatched"))
 
 
 def keys_without_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Distinct left keys with no right row (explicit anti join)."""
-    return (left.select(key).where(F.col(key).isNotNull()).distinct()
-            .join(right.select(key), key, "left_anti"))
+    """Distinct left keys with no right row (explicit anti join); a NULL
+    key never matches, so it is listed once."""
+    return left.select(key).distinct().join(right.select(key), key, "left_anti")
 
 
 def defect_summary(apps: DataFrame, events: DataFrame, decisions: DataFrame,

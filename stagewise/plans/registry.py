@@ -424,7 +424,7 @@ def q5(L: Layer) -> DataFrame:
 @query("q6_source_gap", """
 SELECT count(*) AS n_keys, count(d.application_id) AS matched,
        count(*) - count(d.application_id) AS unmatched
-FROM (SELECT DISTINCT application_id FROM raw_applications WHERE application_id IS NOT NULL) a
+FROM (SELECT DISTINCT application_id FROM raw_applications) a
 LEFT JOIN (SELECT DISTINCT application_id FROM raw_decisions) d ON d.application_id = a.application_id""")
 def q6(L: Layer) -> DataFrame:
     return quality.source_gap(L.apps, L.decisions, "application_id")
@@ -443,7 +443,7 @@ UNION ALL SELECT 4, 'stage not closed',
 UNION ALL SELECT 5, 'applications without decision',
        (SELECT count(*) FROM (SELECT DISTINCT application_id FROM raw_applications) a
         LEFT JOIN raw_decisions d ON d.application_id = a.application_id
-        WHERE d.application_id IS NULL AND a.application_id IS NOT NULL), 'kept with caveat'""")
+        WHERE d.application_id IS NULL), 'kept with caveat'""")
 def q7(L: Layer) -> DataFrame:
     return quality.defect_summary(L.apps, L.events, L.decisions)
 
@@ -839,8 +839,7 @@ def a8(L: Layer) -> DataFrame:
 
 @query("j5_without_decision", """
 SELECT DISTINCT a.application_id FROM raw_applications a
-WHERE a.application_id IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM raw_decisions d WHERE d.application_id = a.application_id)""")
+WHERE NOT EXISTS (SELECT 1 FROM raw_decisions d WHERE d.application_id = a.application_id)""")
 def j5(L: Layer) -> DataFrame:
     """Applications with no decision (explicit anti join)."""
     return quality.keys_without_match(L.apps, L.decisions, "application_id")

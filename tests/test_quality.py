@@ -138,3 +138,13 @@ def test_rejection_reasons_null_reason_and_missing_decision(spark, apps):
     assert got == {None: (1, 50.0), "score": (1, 50.0)}
     m = {r.year_month: (r.applications, r.approved_pct) for r in process.monthly_dynamics(c, dec).collect()}
     assert m == {"2025-03": (3, 33.3)}                  # undecided stays in the denominator
+
+
+def test_null_key_counts_as_one_unmatched_key(spark):
+    apps = spark.createDataFrame([("A1",), (None,), (None,), ("A2",)], "application_id string")
+    dec = spark.createDataFrame([("A1",), (None,)], "application_id string")
+    r = quality.source_gap(apps, dec, "application_id").first()
+    assert (r.n_keys, r.matched, r.unmatched) == (3, 1, 2)      # DISTINCT keeps NULL; it never matches
+    miss = sorted(quality.keys_without_match(apps, dec, "application_id").collect(),
+                  key=lambda r: (r.application_id is None, r.application_id or ""))
+    assert [r.application_id for r in miss] == ["A2", None]
