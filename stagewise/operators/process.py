@@ -137,22 +137,25 @@ def distribution_summary(df: DataFrame, x: str, method: str = "exact", accuracy:
 
 def histogram(df: DataFrame, x: str, bins: int = 45) -> DataFrame:
     """Equal-width bins from min to max, last edge closed, empty bins
-    included.  Bounds are a one-row aggregate; the spine has ``bins`` rows."""
+    included.  The bounds are one row, fetched once and used as literals (no
+    second scan for them); the counting pass groups into ≤ ``bins`` groups."""
     v = F.col(x).cast("double")
-    bounds = df.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-    lo, hi = F.col("_lo"), F.col("_hi")
+    b = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
+    spark = df.sparkSession
+    schema = "bin int, bin_lo double, bin_hi double, n bigint"
+    if b is None or b.lo is None:
+        return spark.createDataFrame([], schema)
+    lo, hi = F.lit(float(b.lo)), F.lit(float(b.hi))
     idx = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(bins))) + 1, F.lit(bins))).cast("int")
-    counts = (df.where(v.isNotNull()).crossJoin(F.broadcast(bounds))
-              .groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n")))
-    spine = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    counts = df.where(v.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    spine = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     width = (hi - lo) / F.lit(float(bins))
-    return (spine.crossJoin(F.broadcast(bounds)).join(counts, "bin", "left")
+    return (spine.join(counts, "bin", "left")
             .select("bin",
                     round_half_up(lo + width * (F.col("bin") - 1), 6).alias("bin_lo"),
                     round_half_up(lo + width * F.col("bin"), 6).alias("bin_hi"),
                     F.coalesce("n", F.lit(0)).alias("n"))
-            .where(F.col("bin_lo").isNotNull())
             .orderBy("bin"))
 
 
@@ -183,12 +186,14 @@ def box_stats(df: DataFrame, group: str, x: str, k: float = 1.5, method: str = "
 def iqr_outliers(df: DataFrame, x: str, k: float = 1.5, method: str = "exact",
                  accuracy: int = 10_000) -> DataFrame:
     """Upper fence ``q3 + k·IQR`` (1 decimal) and the number of values
-    strictly above it.  Quartiles are one row, broadcast to the scan."""
-    stats = grouped_quantiles(df, [], x, {"_q1": 0.25, "_q3": 0.75}, method, accuracy=accuracy)
-    fence = F.col("_q3") + F.lit(k) * (F.col("_q3") - F.col("_q1"))
-    n = (df.select(F.col(x).cast("double").alias("_x")).crossJoin(F.broadcast(stats))
-         .agg(F.count_if(F.col("_x") > fence).alias("outliers")))
-    return n.crossJoin(stats.select(round_half_up(fence, 1).alias("threshold")))
+    strictly above it.  The quartiles are one row, fetched once and used as
+    literals in the counting pass (no third scan to re-derive them)."""
+    q = grouped_quantiles(df, [], x, {"_q1": 0.25, "_q3": 0.75}, method, accuracy=accuracy).first()
+    q1 = F.lit(q["_q1"]).cast("double") if q is not None else F.lit(None).cast("double")
+    q3 = F.lit(q["_q3"]).cast("double") if q is not None else F.lit(None).cast("double")
+    fence = q3 + F.lit(k) * (q3 - q1)
+    return (df.agg(F.count_if(F.col(x).cast("double") > fence).alias("outliers"))
+            .select("outliers", round_half_up(fence, 1).alias("threshold")))
 
 
 def first_per_group_count(df: DataFrame, group: str, ts: str) -> DataFrame:

@@ -63,9 +63,12 @@ def flag_repeats(df: DataFrame, key: str | Sequence[str], order: Sequence[Column
 
 
 def with_share(grouped: DataFrame, count_col: str, out: str = "share_pct", n: int = 1) -> DataFrame:
-    """``100 * x / sum(x) OVER ()`` without a single-partition window: the
-    total is a one-row aggregate joined back by broadcast (size bound: 1 row).
-    The two branches share one shuffle (exchange reuse)."""
+    """``100 * x / sum(x) OVER ()`` without a single-partition window.
+
+    The grouped result (one row per group, far smaller than its input) is
+    written once to the checkpoint folder, so the input is scanned once; the
+    total is a one-row aggregate of it, joined back by broadcast."""
+    grouped = materialize(grouped, "share-groups")
     total = grouped.agg(F.sum(count_col).alias("_total"))
     return (grouped.crossJoin(F.broadcast(total))
             .withColumn(out, pct(F.col(count_col), F.col("_total"), n)).drop("_total"))
