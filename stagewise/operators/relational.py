@@ -45,7 +45,7 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Colum
 
 
 def flag_repeats(df: DataFrame, key: str | Sequence[str], order: Sequence[Column],
-                 name: str = "is_repeat") -> DataFrame:
+                 name: str = "is_repeat", persist: bool = True) -> DataFrame:
     """Every row of a key except the first is flagged (pandas ``duplicated``).
 
     Numbering all rows of a key would sort a crowded key in one task, and a
@@ -54,8 +54,14 @@ def flag_repeats(df: DataFrame, key: str | Sequence[str], order: Sequence[Column
     checkpoint folder, so ids survive re-execution), the first row per key is
     chosen with the id breaking ties between identical copies (limited before
     the shuffle), and rows are flagged by a join on the unique id — no key, so
-    no skew; the chosen ids are broadcast by AQE when they are few."""
-    d = materialize(df.withColumn("_rid", F.monotonically_increasing_id()), "repeat-flags")
+    no skew; the chosen ids are broadcast by AQE when they are few.
+
+    ``persist=False`` skips writing the id-tagged copy; it is safe only when
+    ``df`` is read straight from files (split order, hence the ids, is then
+    the same in every re-execution)."""
+    d = df.withColumn("_rid", F.monotonically_increasing_id())
+    if persist:
+        d = materialize(d, "repeat-flags")
     firsts = first_per_key(d, key, order).select("_rid", F.lit(False).alias(name))
     return (d.join(firsts, "_rid", "left")
             .withColumn(name, F.coalesce(F.col(name), F.lit(True)))

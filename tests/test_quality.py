@@ -148,3 +148,14 @@ def test_null_key_counts_as_one_unmatched_key(spark):
     miss = sorted(quality.keys_without_match(apps, dec, "application_id").collect(),
                   key=lambda r: (r.application_id is None, r.application_id or ""))
     assert [r.application_id for r in miss] == ["A2", None]
+
+
+def test_flag_repeats_without_persist_on_file_input(spark, apps):
+    import tempfile
+    from pyspark.sql import functions as F
+    from stagewise.operators.relational import flag_repeats
+    d = tempfile.mkdtemp(prefix="stagewise-flags-")
+    apps.write.mode("overwrite").parquet(f"{d}/a")
+    src = spark.read.parquet(f"{d}/a")
+    f = flag_repeats(src, "application_id", [F.col("submitted_at").asc_nulls_last()], persist=False)
+    assert f.count() == 10 and f.where("is_repeat").count() == 3
