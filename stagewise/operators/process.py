@@ -39,15 +39,19 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], x: str, qs: dict[str,
                       method: str = "exact", extra: Sequence[Column] = (),
                       accuracy: int = 10_000) -> DataFrame:
     """Per group: ``extra`` aggregates plus one raw (unrounded) column per
-    quantile in ``qs`` (name → probability), computed with ``method``."""
+    quantile in ``qs`` (name → probability), computed with ``method``.
+    ``extra`` may reference only the key columns and ``x``: with
+    ``exact_split`` they are computed from the same narrow (keys, x) copy
+    the quantiles read, so the input's upstream plan runs once."""
     keys = list(keys)
     if method != "exact_split":
         aggs = list(extra) + [quantile(x, p, method, accuracy).alias(n) for n, p in qs.items()]
         return df.groupBy(*keys).agg(*aggs)
-    q = split_exact_quantiles(df, keys, x, list(qs.values()), list(qs), accuracy)
+    narrow = materialize(df.select(*keys, F.col(x)), "quantile-input")
+    q = split_exact_quantiles(narrow, keys, x, list(qs.values()), list(qs), accuracy, persist=False)
     if not extra:
         return q
-    e = df.groupBy(*keys).agg(*extra)
+    e = narrow.groupBy(*keys).agg(*extra)
     return e.join(q, keys, "left") if keys else e.crossJoin(q)
 
 
