@@ -12,6 +12,35 @@ from stagewise.operators.relational import first_per_key
 
 ACTIVE_WITHIN_DAYS = 30
 
+# The export's column headers, in file order, and our names.
+EXPORT_COLUMNS = {
+    "ID карты": "card_id",
+    "Дата выдачи": "issued",
+    "Канал оформления": "channel",
+    "Тарифный план": "tariff",
+    "Регион": "region",
+    "Кредитный лимит": "credit_limit",
+    "Дата первой покупки": "first_purchase",
+    "Оборот за 30 дней": "turnover_30d",
+    "Оборот за 90 дней": "turnover_90d",
+    "Статус": "status",
+}
+
+
+def from_export(df: DataFrame) -> DataFrame:
+    """Rename the export's headers (read as text by ``read_text_export``) to
+    the names the card operators use; unknown headers are kept as they are."""
+    return df.select(*[F.col(f"`{c}`").alias(EXPORT_COLUMNS.get(c.strip(), c)) for c in df.columns])
+
+
+def clean_export(df: DataFrame) -> DataFrame:
+    """C4 on a raw export: headers renamed, limit and both turnovers parsed as
+    amounts, both dates parsed, channel canonical, status case-folded, one
+    row per card."""
+    d = from_export(df)
+    amounts = tuple(c for c in ("credit_limit", "turnover_30d", "turnover_90d") if c in d.columns)
+    return clean_cards(d, amount_cols=amounts)
+
 
 def clean_cards(df: DataFrame, card: str = "card_id", issued: str = "issued",
                 channel: str = "channel", amount_cols: tuple[str, ...] = ("credit_limit",),
