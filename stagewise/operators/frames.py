@@ -19,11 +19,12 @@ def chart_frame(df: DataFrame, x: str, y: str, series: str | None = None, kind:
         raise ValueError(f"no column {missing[0]!r} in the result; available: {', '.join(df.columns)}")
     if check_empty and df.isEmpty():
         raise ValueError("the query returned no rows; nothing to draw")
-    scale = df.agg(F.max(F.abs(F.col(y).cast("double"))).alias("_m")).select(
-        scale_unit(F.col("_m")).alias("_div"))
-    out = df.crossJoin(F.broadcast(scale)).select(
+    # the largest magnitude is one value: fetched once, used as a literal
+    top = df.agg(F.max(F.abs(F.col(y).cast("double"))).alias("m")).first()["m"]
+    div = scale_unit(F.lit(top).cast("double"))
+    out = df.select(
         F.col(x).alias("x"),
         (F.col(series).cast("string") if series else F.lit("")).alias("series"),
-        (F.col(y).cast("double") / F.col("_div")).alias("y"),
-        F.when(F.col("_div") > 1, F.lit("mln")).otherwise(F.lit("")).alias("unit"))
+        (F.col(y).cast("double") / div).alias("y"),
+        F.when(div > 1, F.lit("mln")).otherwise(F.lit("")).alias("unit"))
     return out.orderBy("series", "x") if kind == "line" else out

@@ -101,15 +101,27 @@ def defect_summary(apps: DataFrame, events: DataFrame, decisions: DataFrame,
                    flag: str = "is_test", client: str = "client_id",
                    technical: str = "CL-TEST") -> DataFrame:
     """Q7: the five defect counts as labelled rows with the action taken
-    (repeats/test/time-reversed are removed; open and undecided are kept with a caveat)."""
-    prof = key_profile(apps, key, _test=test_predicate(flag, client, technical))
-    a = prof.agg(
-        (F.sum("_rows") - F.count(F.col(key))).alias("repeats"),
-        F.count_if((F.col("_test") == 1) & F.col(key).isNotNull()).alias("tests"))
+    (repeats/test/time-reversed are removed; open and undecided are kept with a caveat).
+
+    Applications and decisions are tagged, unioned and grouped by key once:
+    repeats, test keys and undecided keys all come out of that single shuffle
+    (map-side combined, so a crowded key is one row per task)."""
+    a = apps.select(F.col(key), F.lit(1).alias("_rows"),
+                    test_predicate(flag, client, technical).cast("int").alias("_test"), F.lit(0).alias("_dec"))
+    d = decisions.where(F.col(key).isNotNull()).select(
+        F.col(key), F.lit(0).alias("_rows"), F.lit(None).cast("int").alias("_test"), F.lit(1).alias("_dec"))
+    per_key = a.unionByName(d).groupBy(key).agg(
+        F.sum("_rows").alias("_rows"), F.max("_test").alias("_test"), F.max("_dec").alias("_dec"))
+    k = F.col(key).isNotNull()
+    counts = per_key.agg(
+        (F.sum("_rows") - F.count_if(k & (F.col("_rows") > 0))).alias("repeats"),
+        F.count_if(k & (F.col("_test") == 1)).alias("tests"),
+        # a NULL key never matches a decision: it counts once, as SELECT DISTINCT keeps it
+        F.count_if((F.col("_rows") > 0) & (F.col("_dec") == 0)).alias("undecided"))
     e = events.agg(F.count_if(F.col(end) < F.col(start)).alias("reversed"),
                    F.count_if(F.col(end).isNull()).alias("open"))
-    u = keys_without_match(apps, decisions, key).agg(_n("undecided"))
-    one = a.crossJoin(e).crossJoin(u)
+    one = counts.crossJoin(e)
+
     def row(pos, label, n, action):
         return F.struct(F.lit(pos).alias("pos"), F.lit(label).alias("defect"),
                         F.col(n).alias("n"), F.lit(action).alias("action"))
@@ -126,13 +138,19 @@ def conversion_before_after(apps: DataFrame, disb: DataFrame, key: str = "applic
                             flag: str = "is_test", client: str = "client_id",
                             technical: str = "CL-TEST") -> DataFrame:
     """Conversion as-is (rows/rows) and after cleaning (distinct
-    disbursed clean keys / distinct clean keys), both in % with 1 decimal."""
-    raw = apps.agg(_n("_apps")).crossJoin(disb.agg(_n("_disb")))
-    clean_keys = apps.where(clean_predicate(flag, client, technical))
-    k = _tagged_keys(clean_keys, disb, key).where(F.col("_l") == 1)
-    cleaned = k.agg(_n("_clean"), F.count_if(F.col("_r") == 1).alias("_conv"))
-    return raw.crossJoin(cleaned).select(
-        pct("_disb", "_apps").alias("as_is_pct"), pct("_conv", "_clean").alias("cleaned_pct"))
+    disbursed clean keys / distinct clean keys), both in % with 1 decimal.
+
+    One pass: applications and disbursements are tagged, unioned and grouped
+    by key once; both conversions come from that grouping."""
+    a = apps.select(F.col(key), F.lit(1).alias("_a"), F.lit(0).alias("_d"),
+                    clean_predicate(flag, client, technical).cast("int").alias("_c"))
+    d = disb.select(F.col(key), F.lit(0).alias("_a"), F.lit(1).alias("_d"), F.lit(None).cast("int").alias("_c"))
+    per_key = a.unionByName(d).groupBy(key).agg(
+        F.sum("_a").alias("_a"), F.sum("_d").alias("_d"), F.max("_c").alias("_c"))
+    clean = F.col(key).isNotNull() & (F.col("_c") == 1)
+    t = per_key.agg(F.sum("_a").alias("_apps"), F.sum("_d").alias("_disb"),
+                    F.count_if(clean).alias("_clean"), F.count_if(clean & (F.col("_d") > 0)).alias("_conv"))
+    return t.select(pct("_disb", "_apps").alias("as_is_pct"), pct("_conv", "_clean").alias("cleaned_pct"))
 
 
 def layer_counts(raw_apps: DataFrame, clean_apps: DataFrame,

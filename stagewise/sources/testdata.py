@@ -123,8 +123,16 @@ def load(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def _export_moment(t: Tables):
-    """The latest order date: shipments after it had not happened at export time."""
-    return t["orders"].agg(F.max("o_orderdate")).scalar()
+    """The latest order date: shipments after it had not happened at export time.
+
+    A single scalar, computed once per load and used as a literal: as a
+    subquery it was referenced (after filter inference) from several places
+    of each plan and re-run for every reference.  The literal is built from
+    its ISO text as TIMESTAMP_NTZ, so no session time zone is involved."""
+    if not hasattr(t, "export_moment"):
+        v = t["orders"].agg(F.max("o_orderdate").cast("string").alias("m")).first()["m"]
+        t.export_moment = F.lit(v).cast("timestamp_ntz")
+    return t.export_moment
 
 
 def applications(t: Tables) -> DataFrame:
