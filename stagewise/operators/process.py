@@ -10,6 +10,9 @@ Percentiles (all linear interpolation, same as ``percentile_cont``):
   continuous measure at scale.
 * ``method="approx"`` — GK sketch (``percentile_approx``), bounded memory,
   rank error ≤ n/accuracy.
+* ``method="auto"`` — one bounded aggregation finds the largest group; up to
+  ``AUTO_EXACT_MAX_ROWS`` rows per group use ``exact``, beyond it
+  ``exact_split``.
 """
 
 from __future__ import annotations
@@ -26,6 +29,10 @@ from stagewise.operators.relational import bucket, first_per_key, with_share
 from stagewise.session import materialize
 
 
+# Largest group (rows) for which "auto" keeps Spark's map-based exact percentile.
+AUTO_EXACT_MAX_ROWS = 10_000_000
+
+
 def quantile(x: str | Column, p: float, method: str = "exact", accuracy: int = 10_000) -> Column:
     xc = (x if isinstance(x, Column) else F.col(x)).cast("double")
     if method == "exact":
@@ -44,6 +51,9 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], x: str, qs: dict[str,
     ``exact_split`` they are computed from the same narrow (keys, x) copy
     the quantiles read, so the input's upstream plan runs once."""
     keys = list(keys)
+    if method == "auto":
+        largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()["m"]
+        method = "exact" if (largest or 0) <= AUTO_EXACT_MAX_ROWS else "exact_split"
     if method != "exact_split":
         aggs = list(extra) + [quantile(x, p, method, accuracy).alias(n) for n, p in qs.items()]
         return df.groupBy(*keys).agg(*aggs)

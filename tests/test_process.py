@@ -90,3 +90,14 @@ def test_split_exact_quantiles_equal_exact(spark):
         assert got == want, (acc, limit)
     glob = split_exact_quantiles(df, [], "x", [0.5], ["m"], accuracy=10).first().m
     assert glob == df.agg(F.percentile("x", 0.5)).first()[0]
+
+
+def test_auto_method_picks_by_group_size(values, monkeypatch):
+    from stagewise.operators import process as P
+    df, _, _ = values
+    exact = P.stage_sla(df.withColumnRenamed("g", "stage").withColumnRenamed("x", "hours")).collect()
+    auto_small = P.stage_sla(df.withColumnRenamed("g", "stage").withColumnRenamed("x", "hours"), method="auto").collect()
+    monkeypatch.setattr(P, "AUTO_EXACT_MAX_ROWS", 10)      # every group now counts as crowded
+    auto_split = P.stage_sla(df.withColumnRenamed("g", "stage").withColumnRenamed("x", "hours"), method="auto",
+                             accuracy=20).collect()
+    assert exact == auto_small == auto_split
