@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from .packing import op10_best_fit_packing
 from .sharding import op1_sharding
+from .token_files import op6_token_files
+from .toxicity import op2_kneser_ney_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_kneser_ney_toxicity, op6_token_files, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
