@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import tempfile
 import uuid
 import zipfile
@@ -160,20 +161,33 @@ def windows_hash(h: np.ndarray, n: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- token ids
 
-_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_PLAIN = re.compile(rb"[\x21-\x7e]+")
+# Characters that NFC leaves alone and that lower-case one by one: printable
+# ASCII and the Latin letters up to U+017F (without U+0130).
+_PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: visible
+    Latin-1 characters stand for themselves, the others for U+0100 onwards."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
 
 
 class TokenIds(dict):
     """word (bytes) → its token ids as little-endian uint32 bytes.
 
     The vocabulary file drops white space and never joins tokens across it,
-    so a text's ids are those of its words in a row.  For printable ASCII
-    words the normaliser lower-cases and the pre-tokeniser splits by the
-    pattern in the file, which is applied here once per distinct word before
-    the library's BPE model; other words take the library's whole path."""
+    so a text's ids are those of its words in a row.  For Latin words the
+    normaliser lower-cases and the pre-tokeniser splits by the pattern in the
+    file, which is applied here once per distinct word before the library's
+    BPE model; other words take the library's whole path."""
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 800_000):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -182,21 +196,22 @@ class TokenIds(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.most:
             self.clear()
-        if _PLAIN.fullmatch(word) and b"<|" not in word:
-            value = b"".join(map(self._piece, _PIECES.findall(word.lower())))
+        text = word.decode("utf-8", "replace")
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            value = b"".join(map(self._piece, _PIECES.findall(text.lower())))
         else:
-            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            value = np.array(ids, "<u4").tobytes()
+            value = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         self[word] = value
         return value
 
-    def _piece(self, piece: bytes) -> bytes:
+    def _piece(self, piece: str) -> bytes:
         value = self.pieces.get(piece)
         if value is None:
             if len(self.pieces) >= self.most:
                 self.pieces.clear()
-            value = np.array([t.id for t in self.model.tokenize(piece.decode())], "<u4").tobytes()
-            self.pieces[piece] = value
+            mapped = piece if piece.isascii() else "".join(map(_LETTERS.__getitem__, piece.encode()))
+            ids = [t.id for t in self.model.tokenize(mapped)]
+            value = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return value
 
     def of(self, text: bytes, end: int) -> bytes:
