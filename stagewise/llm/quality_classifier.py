@@ -41,7 +41,10 @@ SHAPES = 256
 TEXT = SHAPES + 3
 SOURCES, LANGS = 64, 16
 PAGE = SOURCES + LANGS + 4
-_RUNS = re.compile(r"(.)\1+", re.S)
+_RUNS = re.compile(rb"(.)\1+", re.S)
+# letters to a or A (bytes above ASCII count as small letters), digits to 0
+_KINDS = bytes(ord("0") if 48 <= b < 58 else ord("A") if 65 <= b < 91 else
+               ord("a") if 97 <= b < 123 or b >= 128 else b for b in range(256))
 
 
 
@@ -51,9 +54,7 @@ class _Shapes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > 400_000:
             self.clear()
-        text = word.decode("utf-8", "replace")
-        shape = "".join("0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in text)
-        value = self[word] = zlib.crc32(_RUNS.sub(r"\1", shape).encode()) % SHAPES
+        value = self[word] = zlib.crc32(_RUNS.sub(rb"\1", word.translate(_KINDS))) % SHAPES
         return value
 
 
@@ -98,7 +99,7 @@ class Logistic:
     """Ridge logistic regression on standardised columns (gradient steps with
     a curvature bound, a fixed number of them)."""
 
-    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> "Logistic":
+    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 15) -> "Logistic":
         x = x.astype(np.float64)
         mean, self.scale = x.mean(0), x.std(0) + 1e-2
         z = np.column_stack([(x - mean) / self.scale, np.ones(len(x))])

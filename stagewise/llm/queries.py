@@ -5,8 +5,9 @@ from __future__ import annotations
 from .packing import op10_best_fit_packing
 from .quality_classifier import op9_co_trained_quality
 from .sharding import op1_sharding
+from .substrings import op3_chunk_substring_dedup
 from .token_files import op6_token_files
 from .toxicity import op2_kneser_ney_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_kneser_ney_toxicity, op6_token_files, op9_co_trained_quality, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_kneser_ney_toxicity, op3_chunk_substring_dedup, op6_token_files, op9_co_trained_quality, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
