@@ -1,7 +1,8 @@
 """stagewise — process, data-quality and portfolio analytics as Spark DataFrame operators.
 
-Every public function takes DataFrames and column names and returns a lazy
-DataFrame; nothing is collected to the driver.  Sub-packages:
+Every public function takes DataFrames and column names and returns a
+DataFrame.  A few run a bounded job while the query is built (one row of
+bounds, counts or a threshold), as their docstrings say.  Sub-packages:
 
 * ``sources``   – schemas, readers, sinks, catalog helpers, test-data adapters
 * ``functions`` – column expressions (rounding, intervals, lenient parsing)

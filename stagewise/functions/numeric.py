@@ -14,8 +14,11 @@ _SNAP = "decimal(38,6)"
 
 
 def round_half_up(c, n: int = 0) -> Column:
-    """``round(x::numeric, n)`` of the SQL dialect: half away from zero, double out."""
-    return F.round(col_of(c).cast(_SNAP), n).cast("double")
+    """``round(x::numeric, n)`` of the SQL dialect: half away from zero, double
+    out.  Values beyond 32 digits (and NaN) have no fraction to round and pass
+    unchanged."""
+    x = col_of(c)
+    return F.coalesce(F.round(x.try_cast(_SNAP), n).cast("double"), x.cast("double"))
 
 
 def pct(num, den, n: int = 1) -> Column:

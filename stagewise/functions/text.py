@@ -13,7 +13,6 @@ from stagewise.functions._util import col_of
 # Fixed values (must equal the cards export's vocabulary).
 # Canonical channel names and every spelling seen in the export, keyed by the
 # normalised form (trimmed, lower-case, "ё" read as "е").
-CHANNEL_CANONICAL = ["Отделение", "Мобильное приложение", "Сайт банка", "Партнёрская сеть"]
 CHANNEL_ALIASES = {
     "отделение": "Отделение",
     "офис банка": "Отделение",
@@ -25,7 +24,6 @@ CHANNEL_ALIASES = {
     "партнерская сеть": "Партнёрская сеть",
     "партнер": "Партнёрская сеть",
 }
-MISSING_MARKERS = ["", "н/д"]
 # Accepted shapes, each with its parse pattern: day.month.year or ISO.
 DATE_SHAPES = [(r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"), (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d")]
 NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)$"
@@ -66,3 +64,9 @@ def parse_date(c) -> Column:
         branch = F.try_to_date(s, fmt)
         expr = F.when(s.rlike(shape), branch) if expr is None else expr.when(s.rlike(shape), branch)
     return expr
+
+
+def sentence_case(c) -> Column:
+    """First letter upper-case, the rest lower-case."""
+    x = col_of(c)
+    return F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 2147483647)))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagewise.functions.numeric import pct
-from stagewise.functions.text import normalize_channel, parse_amount, parse_date
+from stagewise.functions.text import normalize_channel, parse_amount, parse_date, sentence_case
 from stagewise.operators.relational import first_per_key
 
 ACTIVE_WITHIN_DAYS = 30
@@ -52,13 +52,25 @@ def clean_cards(df: DataFrame, card: str = "card_id", issued: str = "issued",
         card: F.trim(F.col(card)),
         issued: parse_date(issued),
         channel: normalize_channel(channel),
-        status: F.initcap(F.trim(F.col(status))),
+        status: sentence_case(F.trim(F.col(status))),
         **{c: parse_amount(c) for c in amount_cols},
         **{c: parse_date(c) for c in date_cols},
     })
     return first_per_key(out, card, [F.col(issued).asc_nulls_last()])
 
 
+def activation_of_export(df: DataFrame, dim: str, card: str = "card_id", issued: str = "issued",
+                         first_purchase: str = "first_purchase", channel: str = "channel",
+                         days: int = ACTIVE_WITHIN_DAYS) -> DataFrame:
+    """C5 straight from the export: only the columns it needs are parsed and
+    sorted; among a card's rows of one issue date the least (dim, first
+    purchase) counts."""
+    cols = {card: F.trim(F.col(card)), issued: parse_date(issued),
+            dim: normalize_channel(dim) if dim == channel else F.col(dim), first_purchase: parse_date(first_purchase)}
+    needed = df.select(*[c.alias(n) for n, c in cols.items()])
+    return activation_by(first_per_key(needed, card, [F.col(issued).asc_nulls_last()]), dim, issued, first_purchase, days)
+
+
 def activation_by(cards: DataFrame, dim: str, issued: str = "issued",
                   first_purchase: str = "first_purchase", days: int = ACTIVE_WITHIN_DAYS) -> DataFrame:
     """Rows ``[dim, total, active, active %]``; a card is active when its

@@ -1,19 +1,7 @@
 """Process analytics over the clean layer.
 
-Percentiles (all linear interpolation, same as ``percentile_cont``):
-
-* ``method="exact"`` (default) — Spark's exact ``percentile``: one pass,
-  map-side combined; its per-group state is the set of distinct values, merged
-  in one task per group.
-* ``method="exact_split"`` — the same exact values without ever holding a
-  group in one task (``operators.quantiles``): for crowded groups of a
-  continuous measure at scale.
-* ``method="approx"`` — GK sketch (``percentile_approx``), bounded memory,
-  rank error ≤ n/accuracy.
-* ``method="auto"`` — one bounded aggregation finds the largest group; up to
-  ``AUTO_EXACT_MAX_ROWS`` rows per group use ``exact``, beyond it
-  ``exact_split``.
-"""
+Percentiles are exact with linear interpolation (as ``percentile_cont``) and
+hold no group in one task (``operators.quantiles``)."""
 
 from __future__ import annotations
 
@@ -24,51 +12,14 @@ from pyspark.sql import functions as F
 
 from stagewise.functions.numeric import pct, round_half_up
 from stagewise.functions.temporal import month_label
-from stagewise.operators.quantiles import split_exact_quantiles
+from stagewise.operators import quantiles as Q
+from stagewise.operators.quality import clean_predicate
+from stagewise.operators.quantiles import grouped_quantiles
 from stagewise.operators.relational import bucket, first_per_key, with_share
-from stagewise.session import materialize
-
-
-# Largest group (rows) for which "auto" keeps Spark's map-based exact percentile.
-AUTO_EXACT_MAX_ROWS = 10_000_000
-
-
-def quantile(x: str | Column, p: float, method: str = "exact", accuracy: int = 10_000) -> Column:
-    xc = (x if isinstance(x, Column) else F.col(x)).cast("double")
-    if method == "exact":
-        return F.percentile(xc, F.lit(p))
-    if method == "approx":
-        return F.percentile_approx(xc, F.lit(p), F.lit(accuracy))
-    raise ValueError(f"unknown method {method!r}")
-
-
-def grouped_quantiles(df: DataFrame, keys: Sequence[str], x: str, qs: dict[str, float],
-                      method: str = "exact", extra: Sequence[Column] = (),
-                      accuracy: int = 10_000) -> DataFrame:
-    """Per group: ``extra`` aggregates plus one raw (unrounded) column per
-    quantile in ``qs`` (name → probability), computed with ``method``.
-    ``extra`` may reference only the key columns and ``x``: with
-    ``exact_split`` they are computed from the same narrow (keys, x) copy
-    the quantiles read, so the input's upstream plan runs once."""
-    keys = list(keys)
-    if method == "auto":
-        largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()["m"]
-        method = "exact" if (largest or 0) <= AUTO_EXACT_MAX_ROWS else "exact_split"
-    if method != "exact_split":
-        aggs = list(extra) + [quantile(x, p, method, accuracy).alias(n) for n, p in qs.items()]
-        return df.groupBy(*keys).agg(*aggs)
-    narrow = materialize(df.select(*keys, F.col(x)), "quantile-input")
-    q = split_exact_quantiles(narrow, keys, x, list(qs.values()), list(qs), accuracy, persist=False)
-    if not extra:
-        return q
-    e = narrow.groupBy(*keys).agg(*extra)
-    return e.join(q, keys, "left") if keys else e.crossJoin(q)
-
-
-def _sla(df: DataFrame, keys: Sequence[str], hours: str, method: str, n_name: str,
-         accuracy: int = 10_000) -> DataFrame:
-    g = grouped_quantiles(df, keys, hours, {"_med": 0.5, "_p90": 0.9}, method,
-                          [F.count(F.lit(1)).alias(n_name)], accuracy)
+
+
+def _sla(df: DataFrame, keys: Sequence[str], hours: str, n_name: str) -> DataFrame:
+    g = grouped_quantiles(df, keys, hours, {"_med": 0.5, "_p90": 0.9}, [Q.n_rows().alias(n_name)])
     return g.select(*keys, n_name, round_half_up(F.col("_med"), 1).alias("median_hours"),
                     round_half_up(F.col("_p90"), 1).alias("p90_hours"))
 
@@ -85,32 +36,53 @@ def funnel(events: DataFrame, apps: DataFrame, key: str = "application_id",
             .orderBy(F.col("reached").desc(), F.col(stage)))
 
 
-def stage_sla(events: DataFrame, stage: str = "stage", hours: str = "hours",
-              method: str = "exact", accuracy: int = 10_000) -> DataFrame:
+def funnel_of_raw(events: DataFrame, apps: DataFrame, key: str = "application_id", stage: str = "stage",
+                  start: str = "entered_at", end: str = "left_at", flag: str = "is_test",
+                  client: str = "client_id", technical: str = "CL-TEST") -> DataFrame:
+    """R1 straight from the raw tables, each read once: rows are tagged,
+    unioned and grouped by key; a clean key then counts once for every stage
+    it completed and once for the total."""
+    valid = events.where(F.col(end) > F.col(start))
+    none = F.lit(None).cast(events.schema[stage].dataType)
+    tagged = (apps.where(clean_predicate(flag, client, technical)).select(
+        F.col(key), F.lit(1).alias("_c"), F.lit(0).alias("_e"), none.alias(stage)).unionByName(
+        valid.where(F.col(key).isNotNull()).select(F.col(key), F.lit(0).alias("_c"), F.lit(1).alias("_e"), F.col(stage))))
+    # one row per key and stage in the map tasks already; a key's set of stages is small
+    per_key = (tagged.groupBy(key).agg(F.max("_c").alias("_c"), F.collect_set(F.when(F.col("_e") == 1, F.struct(stage)))
+                                       .alias("_s")).where(F.col("_c") == 1))
+    counted = (per_key.select(F.explode(F.concat(F.transform("_s", lambda x: F.struct(F.lit(False).alias("all"), x.alias("s"))),
+                                                 F.array(F.struct(F.lit(True).alias("all"), F.struct(none.alias(stage)).alias("s")))))
+                              .alias("_x"))
+               .groupBy("_x.all", f"_x.s.{stage}").agg(F.count(F.lit(1)).alias("reached")))
+    total = counted.where("all").select(F.col("reached").alias("_total"))
+    return (counted.where("not all").crossJoin(F.broadcast(total))          # one row
+            .select(stage, "reached", pct("reached", "_total").alias("share_pct"))
+            .orderBy(F.col("reached").desc(), F.col(stage)))
+
+
+def stage_sla(events: DataFrame, stage: str = "stage", hours: str = "hours") -> DataFrame:
     """R2: per stage — events, median and P90 hours (1 decimal)."""
-    return (_sla(events, [stage], hours, method, "events", accuracy)
+    return (_sla(events, [stage], hours, "events")
             .orderBy(F.col("median_hours").desc_nulls_first(), F.col(stage)))
 
 
 def stage_sla_by(events: DataFrame, apps: DataFrame | None, dim: str, stage_value: str | None = None,
-                 key: str = "application_id", stage: str = "stage", hours: str = "hours",
-                 method: str = "exact", accuracy: int = 10_000) -> DataFrame:
+                 key: str = "application_id", stage: str = "stage", hours: str = "hours") -> DataFrame:
     """The same measures by an application attribute, optionally for one
     stage (the stage filter is applied before the join)."""
     ev = events if stage_value is None else events.where(F.col(stage) == stage_value)
     joined = ev if apps is None else ev.select(key, hours).join(apps.select(key, dim), key)
-    return (_sla(joined, [dim], hours, method, "events", accuracy)
+    return (_sla(joined, [dim], hours, "events")
             .orderBy(F.col("median_hours").desc_nulls_first(), F.col(dim)))
 
 
 def channel_stage_sla(events: DataFrame, apps: DataFrame | None, dim: str = "channel",
-                      key: str = "application_id", stage: str = "stage", hours: str = "hours",
-                      method: str = "exact", accuracy: int = 10_000) -> DataFrame:
+                      key: str = "application_id", stage: str = "stage", hours: str = "hours") -> DataFrame:
     """The published panel — dim × stage: applications (= events), median
     and P90 hours.  Pass ``apps=None`` when ``events`` already carry ``dim``
     (``clean_stage_events(..., attach=(dim,))``)."""
     joined = events if apps is None else events.select(key, stage, hours).join(apps.select(key, dim), key)
-    return _sla(joined, [dim, stage], hours, method, "applications", accuracy)
+    return _sla(joined, [dim, stage], hours, "applications")
 
 
 def rejection_reasons(decisions: DataFrame, apps: DataFrame, key: str = "application_id",
@@ -137,11 +109,10 @@ def monthly_dynamics(apps: DataFrame, decisions: DataFrame, key: str = "applicat
         .orderBy("year_month"))
 
 
-def distribution_summary(df: DataFrame, x: str, method: str = "exact", accuracy: int = 10_000) -> DataFrame:
+def distribution_summary(df: DataFrame, x: str) -> DataFrame:
     """Mean, median, P90, max, n and the mean − median gap (1 decimal)."""
-    v = F.col(x).cast("double")
-    g = grouped_quantiles(df, [], x, {"_med": 0.5, "_p90": 0.9}, method,
-                          [F.avg(v).alias("_mean"), F.max(v).alias("_max"), F.count(v).alias("n")], accuracy)
+    g = grouped_quantiles(df, [], x, {"_med": 0.5, "_p90": 0.9},
+                          [Q.mean().alias("_mean"), Q.maximum().alias("_max"), Q.n_values().alias("n")])
     return g.select(round_half_up(F.col("_mean"), 1).alias("mean"),
                     round_half_up(F.col("_med"), 1).alias("median"),
                     round_half_up(F.col("_p90"), 1).alias("p90"),
@@ -151,43 +122,35 @@ def distribution_summary(df: DataFrame, x: str, method: str = "exact", accuracy:
 
 def histogram(df: DataFrame, x: str, bins: int = 45) -> DataFrame:
     """Equal-width bins from min to max, last edge closed, empty bins
-    included.  The bounds are one row, fetched once and used as literals (no
-    second scan for them); the counting pass groups into ≤ ``bins`` groups."""
+    included; edges are not rounded, NULL and NaN are in no bin.  The bounds
+    are one row, fetched once (a job) and used as literals; the counting pass
+    groups into ≤ ``bins`` groups."""
     v = F.col(x).cast("double")
-    b = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
+    known = df.where(v.isNotNull() & ~F.isnan(v))
+    b = known.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
     spark = df.sparkSession
-    schema = "bin int, bin_lo double, bin_hi double, n bigint"
     if b is None or b.lo is None:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, n bigint")
     lo, hi = F.lit(float(b.lo)), F.lit(float(b.hi))
     idx = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(bins))) + 1, F.lit(bins))).cast("int")
-    counts = df.where(v.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = known.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     spine = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     width = (hi - lo) / F.lit(float(bins))
     return (spine.join(counts, "bin", "left")
-            .select("bin",
-                    round_half_up(lo + width * (F.col("bin") - 1), 6).alias("bin_lo"),
-                    round_half_up(lo + width * F.col("bin"), 6).alias("bin_hi"),
-                    F.coalesce("n", F.lit(0)).alias("n"))
+            .select("bin", (lo + width * (F.col("bin") - 1)).alias("bin_lo"),
+                    (lo + width * F.col("bin")).alias("bin_hi"), F.coalesce("n", F.lit(0)).alias("n"))
             .orderBy("bin"))
 
 
-def box_stats(df: DataFrame, group: str, x: str, k: float = 1.5, method: str = "exact",
-              accuracy: int = 10_000, persist: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, group: str, x: str, k: float = 1.5) -> DataFrame:
     """Box-plot numbers per group: quartiles and whiskers (the most extreme
-    values inside ``k``·IQR of the box), groups ordered by median.  The
-    quartiles are joined back by group; AQE broadcasts them when small and
-    splits a crowded group otherwise.  Two passes read the input; with
-    ``persist`` its narrow (group, x) projection is written once to the shared
-    checkpoint folder first, so an expensive upstream plan is not run twice."""
-    if persist:
-        df = materialize(df.select(group, F.col(x).cast("double").alias(x)), "box-input")
-    v = F.col(x).cast("double")
-    q = grouped_quantiles(df, [group], x, {"_q1": 0.25, "_med": 0.5, "_q3": 0.75}, method,
-                          [F.count(v).alias("n")], accuracy)
+    values inside ``k``·IQR of the box), groups ordered by median.  Counted
+    values, not rows, are joined with their group's quartiles."""
+    values = df.select(group, F.col(x).cast("double").alias("_x")).distinct()
+    q = grouped_quantiles(df, [group], x, {"_q1": 0.25, "_med": 0.5, "_q3": 0.75}, [Q.n_values().alias("n")])
     iqr = F.col("_q3") - F.col("_q1")
-    w = (df.select(group, v.alias("_x")).join(q, group)
+    w = (values.withColumnRenamed(group, "_g").join(q, F.col("_g").eqNullSafe(F.col(group)))
          .groupBy(group, "n", "_q1", "_med", "_q3").agg(
              F.min(F.when(F.col("_x") >= F.col("_q1") - F.lit(k) * iqr, F.col("_x"))).alias("_wlo"),
              F.max(F.when(F.col("_x") <= F.col("_q3") + F.lit(k) * iqr, F.col("_x"))).alias("_whi")))
@@ -197,17 +160,19 @@ def box_stats(df: DataFrame, group: str, x: str, k: float = 1.5, method: str = "
                     ).orderBy(F.col("median").asc_nulls_last(), F.col(group))
 
 
-def iqr_outliers(df: DataFrame, x: str, k: float = 1.5, method: str = "exact",
-                 accuracy: int = 10_000) -> DataFrame:
+def iqr_outliers(df: DataFrame, x: str, k: float = 1.5) -> DataFrame:
     """Upper fence ``q3 + k·IQR`` (1 decimal) and the number of values
-    strictly above it.  The quartiles are one row, fetched once and used as
-    literals in the counting pass (no third scan to re-derive them)."""
-    q = grouped_quantiles(df, [], x, {"_q1": 0.25, "_q3": 0.75}, method, accuracy=accuracy).first()
-    q1 = F.lit(q["_q1"]).cast("double") if q is not None else F.lit(None).cast("double")
-    q3 = F.lit(q["_q3"]).cast("double") if q is not None else F.lit(None).cast("double")
-    fence = q3 + F.lit(k) * (q3 - q1)
-    return (df.agg(F.count_if(F.col(x).cast("double") > fence).alias("outliers"))
-            .select("outliers", round_half_up(fence, 1).alias("threshold")))
+    strictly above it.  The quartiles are one row, joined to the values."""
+    q = grouped_quantiles(df, [], x, {"_q1": 0.25, "_q3": 0.75})
+    fence = q.select((F.col("_q3") + F.lit(k) * (F.col("_q3") - F.col("_q1"))).alias("_fence"))
+    return (df.select(F.col(x).cast("double").alias("_x")).crossJoin(F.broadcast(fence))     # one row
+            .agg(F.count_if(F.col("_x") > F.col("_fence")).alias("outliers"), F.max("_fence").alias("_fence"))
+            .select("outliers", round_half_up(F.col("_fence"), 1).alias("threshold")))
+
+
+def first_rows_per_group(df: DataFrame, group: str, ts: str) -> DataFrame:
+    """Each group with the time of its first row (``row_number() = 1``)."""
+    return first_per_key(df.select(group, ts), group, [F.col(ts).asc_nulls_last()])
 
 
 def first_per_group_count(df: DataFrame, group: str, ts: str) -> DataFrame:

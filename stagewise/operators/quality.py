@@ -3,14 +3,11 @@ joins and aggregations behind it run distributed in one or two passes."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagewise.functions.numeric import pct
 from stagewise.functions.temporal import day
-from stagewise.operators.relational import key_profile
 
 
 def _n(name: str = "n_rows") -> Column:
@@ -92,8 +89,9 @@ def source_gap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def keys_without_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct left keys with no right row (explicit anti join); a NULL
-    key never matches, so it is listed once."""
-    return left.select(key).distinct().join(right.select(key), key, "left_anti")
+    key never matches, so it is listed once.  Both sides are distinct, so a
+    crowded key is one row."""
+    return left.select(key).distinct().join(right.select(key).distinct(), key, "left_anti")
 
 
 def defect_summary(apps: DataFrame, events: DataFrame, decisions: DataFrame,
@@ -153,9 +151,21 @@ def conversion_before_after(apps: DataFrame, disb: DataFrame, key: str = "applic
     return t.select(pct("_disb", "_apps").alias("as_is_pct"), pct("_conv", "_clean").alias("cleaned_pct"))
 
 
-def layer_counts(raw_apps: DataFrame, clean_apps: DataFrame,
-                 raw_events: DataFrame, clean_events: DataFrame) -> DataFrame:
-    """Rows before and after each cleaning layer, one row."""
-    parts = [raw_apps.agg(_n("apps_raw")), clean_apps.agg(_n("apps_clean")),
-             raw_events.agg(_n("events_raw")), clean_events.agg(_n("events_clean"))]
-    return reduce(lambda a, b: a.crossJoin(b), parts)
+def layer_counts(apps: DataFrame, events: DataFrame, key: str = "application_id", start: str = "entered_at",
+                 end: str = "left_at", flag: str = "is_test", client: str = "client_id",
+                 technical: str = "CL-TEST") -> DataFrame:
+    """Rows before and after each cleaning layer, one row.
+
+    Each raw table is read once: both are tagged, unioned and grouped by key
+    (counts combine in the map tasks), and all four counts come out of it."""
+    usable = (F.col(end) > F.col(start)).cast("int")
+    tagged = apps.select(F.col(key), F.lit(1).alias("_a"), F.lit(0).alias("_e"), F.lit(0).alias("_u"),
+                         clean_predicate(flag, client, technical).cast("int").alias("_c")).unionByName(
+        events.select(F.col(key), F.lit(0).alias("_a"), F.lit(1).alias("_e"),
+                      F.coalesce(usable, F.lit(0)).alias("_u"), F.lit(None).cast("int").alias("_c")))
+    per_key = tagged.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("_a", "_e", "_u")], F.max("_c").alias("_c"))
+    clean = F.col("_c") == 1
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return per_key.agg(total("_a").alias("apps_raw"), F.count_if(clean).alias("apps_clean"),
+                       total("_e").alias("events_raw"),
+                       total(F.when(clean & F.col(key).isNotNull(), F.col("_u"))).alias("events_clean"))

@@ -1,120 +1,104 @@
-"""Exact quantiles for very large or skewed groups.
-
-Spark's exact ``percentile`` merges, per group, a map of every distinct value
-in one task.  For a crowded group of a continuous measure that map grows with
-the data.  ``split_exact_quantiles`` returns the same exact, linearly
-interpolated quantiles while no task ever holds more than a bounded slice of
-a group:
-
-1. one aggregation counts each group; groups of at most ``4·accuracy`` rows
-   take Spark's exact ``percentile`` directly (their value map is bounded);
-2. for larger groups each target quantile starts with all of the group's rows
-   as candidates and its rank inside them.  A round sketches the candidates
-   of every (group, target) with a mergeable GK sketch on a fixed grid of
-   percentages, keeps only the rows between the grid points that safely
-   enclose the target rank (the sketch's rank error is ≤ m/accuracy), counts
-   the rows below them (map-side combined) and shifts the rank.  Each round
-   shrinks the candidates about 450-fold; rounds repeat until every candidate
-   set has at most ``max_rank_rows`` rows;
-3. the remaining candidates are ranked per (group, target) and the two values
-   around the target position are interpolated.
-
-Sketch results feed two consumers per round (rows below, rows kept), and a
-sketch's merge order can differ between re-executions, so each round's small
-bracket table is written once to the shared checkpoint folder.  If a bracket
-ever missed its rank the result is NULL, never a wrong value.
+"""Exact, linearly interpolated quantiles per group, for groups of any size.
+
+Spark's ``percentile`` merges all distinct values of a group in one task.
+Here values are counted first (one row per group and distinct value, combined
+in the map tasks; ties are one row), and a target rank is then found by
+narrowing, without ever gathering a group:
+
+1. values fall into buckets by a fixed, order-preserving function (about a
+   thousand per power of e, the same for every input), and running counts over
+   a group's buckets tell which bucket holds the rank;
+2. the values of that bucket fall into ``CELLS`` equal cells between its least
+   and greatest value, and running counts again tell the cell;
+3. the values of that cell are ranked by running counts.
+
+Nothing is sampled, capped or switched by size, and nothing is written: the
+counted values are one exchange that the steps share.  Group columns may be
+NULL (a group of its own), a group without values has NULL quantiles, and a
+frame without group columns always gives one row.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stagewise.session import materialize
+STEPS = 1024          # buckets per power of e
+CELLS = 4096          # equal cells in a bucket
 
-GRID = 1000                       # grid of percentages 0, 1/GRID, …, 1 per round
 
+# Aggregates over counted values (``_x`` with multiplicity ``_n``), for ``extra``.
+def n_rows() -> Column:
+    return F.coalesce(F.sum("_n"), F.lit(0))
 
-def split_exact_quantiles(df: DataFrame, keys: Sequence[str], x: str, ps: Sequence[float],
-                          names: Sequence[str] | None = None, accuracy: int = 10_000,
-                          persist: bool = True, max_rank_rows: int = 1_000_000,
-                          max_rounds: int = 6) -> DataFrame:
-    """One row per group: ``keys`` + one column per quantile in ``ps``.
 
-    With ``persist`` the narrow (keys, value) projection is written once to the
-    shared checkpoint folder, so every pass reads it instead of recomputing
-    the upstream plan (and a lost executor costs no recompute)."""
-    if not keys:                       # the whole frame is one group
-        out = split_exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], x, ps, names, accuracy,
-                                    persist, max_rank_rows, max_rounds)
-        return out.drop("_g")
+def n_values() -> Column:
+    return F.coalesce(F.sum(F.when(F.col("_x").isNotNull(), F.col("_n"))), F.lit(0))
+
+
+def mean() -> Column:
+    return F.try_divide(F.sum(F.col("_x") * F.col("_n")), F.sum(F.when(F.col("_x").isNotNull(), F.col("_n"))))
+
+
+def maximum() -> Column:
+    return F.max("_x")
+
+
+def _located(counted: DataFrame, by: Sequence[str], order: str, rank: str) -> DataFrame:
+    """Rows of ``counted`` (with ``_n``) whose running count reaches ``rank``
+    (0-based), with the rank left inside the row as ``_r``."""
+    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.sum("_n").over(w)
+    return (counted.withColumn("_upto", upto)
+            .where((F.col("_upto") > F.col(rank)) & (F.col("_upto") - F.col("_n") <= F.col(rank)))
+            .withColumn("_r", F.col(rank) - (F.col("_upto") - F.col("_n"))))
+
+
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], x: str, qs: dict[str, float],
+                      extra: Sequence[Column] = ()) -> DataFrame:
+    """One row per group: ``keys``, the ``extra`` aggregates (see above) and one
+    unrounded column per quantile in ``qs`` (name → probability)."""
     keys = list(keys)
-    names = list(names or [f"q{i}" for i in range(len(ps))])
-    rows = df.select(*keys, F.col(x).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    if persist:
-        rows = materialize(rows, "quantile-input")
-
-    counts = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "quantile-counts")
-    small_n = 4 * accuracy
-
-    # small groups: exact value maps, bounded by small_n values each
-    small_rows = rows.join(counts.where(F.col("_n") <= small_n).select(*keys), keys, "left_semi")
-    exact_small = small_rows.groupBy(*keys).agg(
-        *[F.percentile("_x", F.lit(p)).alias(n) for p, n in zip(ps, names)])
-
-    # large groups: one candidate set per (group, target) with global position
-    # and the two global ranks around it; local ranks start equal to them
-    big = counts.where(F.col("_n") > small_n)
-    targets = big.select(*keys, F.posexplode(F.array(*[F.lit(float(p)) for p in ps])).alias("_t", "_p"))
-    targets = (targets.join(big, keys)
-               .withColumn("_pos", (F.col("_n") - 1).cast("double") * F.col("_p"))
-               .withColumn("_glo", F.floor("_pos")).withColumn("_ghi", F.ceil("_pos"))
-               .withColumn("_llo", F.col("_glo")).withColumn("_lhi", F.col("_ghi"))
-               .select(*keys, "_t", "_pos", "_glo", "_ghi", "_llo", "_lhi"))
-    cand = rows.join(targets, keys)
-    part = [*keys, "_t"]
-
-    grid = F.array(*[F.lit(j / GRID) for j in range(GRID + 1)])
-    for _ in range(max_rounds):
-        sizes = cand.groupBy(*part).agg(F.count(F.lit(1)).alias("_m"))
-        largest = sizes.agg(F.max("_m")).first()[0]
-        if largest is None or largest <= max_rank_rows:
-            break
-        sk = cand.groupBy(*part, "_llo", "_lhi").agg(
-            F.count(F.lit(1)).alias("_m"), F.percentile_approx("_x", grid, accuracy).alias("_g"))
-        # grid index j holds a value whose rank is within m/accuracy + 1 of j·m/GRID
-        m = F.col("_m").cast("double")
-        slack = m / F.lit(float(accuracy)) + F.lit(2.0)
-        j_lo = F.floor((F.col("_llo") - slack) * F.lit(float(GRID)) / m) - 1
-        j_hi = F.ceil((F.col("_lhi") + slack) * F.lit(float(GRID)) / m) + 1
-        brackets = materialize(sk.select(
-            *part,
-            F.when(j_lo >= 0, F.element_at("_g", (j_lo + 1).cast("int"))).alias("_blo"),
-            F.when(j_hi <= GRID, F.element_at("_g", (j_hi + 1).cast("int"))).alias("_bhi")),
-            "quantile-brackets")
-        tagged = cand.join(brackets, part)
-        lo_ok = F.col("_blo").isNull() | (F.col("_x") >= F.col("_blo"))
-        hi_ok = F.col("_bhi").isNull() | (F.col("_x") <= F.col("_bhi"))
-        below = tagged.groupBy(*part).agg(F.count_if(~lo_ok).alias("_below"))
-        cand = (tagged.where(lo_ok & hi_ok).drop("_blo", "_bhi").join(below, part)
-                .withColumn("_llo", F.col("_llo") - F.col("_below"))
-                .withColumn("_lhi", F.col("_lhi") - F.col("_below")).drop("_below"))
-        if persist:
-            cand = materialize(cand, "quantile-candidates")
-
-    w = Window.partitionBy(*part).orderBy("_x")
-    ranked = cand.withColumn("_r", F.row_number().over(w) - 1)
-    picked = ranked.where((F.col("_r") == F.col("_llo")) | (F.col("_r") == F.col("_lhi"))).groupBy(
-        *part, "_pos", "_glo", "_ghi").agg(
-        F.max(F.when(F.col("_r") == F.col("_llo"), F.col("_x"))).alias("_vlo"),
-        F.max(F.when(F.col("_r") == F.col("_lhi"), F.col("_x"))).alias("_vhi"))
-    pos, lo_i, hi_i = F.col("_pos"), F.col("_glo"), F.col("_ghi")
-    value = F.when(hi_i == lo_i, F.col("_vlo")).otherwise(
-        (hi_i - pos) * F.col("_vlo") + (pos - lo_i) * F.col("_vhi"))
-    per_target = picked.select(*part, value.alias("_v"))
-    # back to one row per group; a group whose bracket missed keeps NULL there
-    wide = per_target.groupBy(*keys).agg(*[F.max(F.when(F.col("_t") == i, F.col("_v"))).alias(n)
-                                            for i, n in enumerate(names)])
-    return exact_small.unionByName(big.select(*keys).join(wide, keys, "left"))
+    # the keys as one struct: NULL keys are equal inside a struct, so joins keep their group
+    group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("_"))
+    counted = (df.select(group.alias("_k"), F.col(x).cast("double").alias("_x"))
+               .groupBy("_k", "_x").agg(F.count(F.lit(1)).alias("_n")))
+    aggs = [*extra, n_values().alias("_total")]
+    base = counted.groupBy("_k").agg(*aggs) if keys else counted.agg(*aggs).withColumn("_k", group)
+
+    values = counted.where(F.col("_x").isNotNull()).withColumn(
+        "_b", F.rint(F.signum("_x") * F.log1p(F.abs("_x")) * STEPS))
+    buckets = values.groupBy("_k", "_b").agg(F.sum("_n").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    # every quantile needs the ranks below and above its position
+    position = (base.where(F.col("_total") > 0).select("_k", F.posexplode(F.array(*[F.lit(float(p)) for p in qs.values()]))
+                                                       .alias("_q", "_p"), "_total")
+                .withColumn("_pos", (F.col("_total") - 1).cast("double") * F.col("_p")))
+    ranks = position.select("_k", F.explode(F.array_distinct(F.array(F.floor("_pos"), F.ceil("_pos")))).alias("_rank")).distinct()
+    w = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    running = buckets.withColumn("_upto", F.sum("_n").over(w))
+    first = (running.join(ranks, "_k")
+             .where((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("_n") <= F.col("_rank")))
+             .select("_k", "_rank", "_b", "_lo", "_hi", (F.col("_rank") - (F.col("_upto") - F.col("_n"))).alias("_r1")))
+    cell = F.when(F.col("_hi") > F.col("_lo"), F.least(F.lit(CELLS - 1.0), F.floor(
+        (F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * CELLS).cast("double"))).otherwise(0.0)
+    inside = values.join(first, ["_k", "_b"]).withColumn("_c", cell)
+    by = ["_k", "_rank"]
+    cells = inside.groupBy(*by, "_c", "_r1").agg(F.sum("_n").alias("_n"))
+    second = _located(cells, by, "_c", "_r1").select(*by, "_c", F.col("_r").alias("_r2"))
+    left = inside.select(*by, "_c", "_x", "_n").join(second, [*by, "_c"])
+    found = _located(left, by, "_x", "_r2").select("_k", "_rank", "_x")
+
+    # interpolate between the two ranks
+    both = (position.join(found.select("_k", F.col("_rank").alias("_f"), F.col("_x").alias("_xf")),
+                          ["_k"]).where(F.col("_f").isin(F.floor("_pos"), F.ceil("_pos")))
+            .groupBy("_k", "_q", "_pos").agg(
+                F.max(F.when(F.col("_f") == F.floor("_pos"), F.col("_xf"))).alias("_a"),
+                F.max(F.when(F.col("_f") == F.ceil("_pos"), F.col("_xf"))).alias("_z")))
+    low, high = F.floor("_pos"), F.ceil("_pos")
+    value = F.when(low == high, F.col("_a")).otherwise(
+        (high - F.col("_pos")) * F.col("_a") + (F.col("_pos") - low) * F.col("_z"))
+    wide = both.groupBy("_k").agg(*[F.max(F.when(F.col("_q") == i, value)).alias(n) for i, n in enumerate(qs)])
+    out = base.join(wide, "_k", "left").drop("_total")
+    return out.select(*[F.col(f"_k.{k}").alias(k) for k in keys], *[c for c in out.columns if c != "_k"])

@@ -1,13 +1,12 @@
 """Row-by-row reconciliation of two datasets (Q12).
 
-Columns are matched by position (names ignored).  Numeric columns are compared
-as doubles rounded to ``ndp`` decimals, others as trimmed text; NULL equals
-NULL.  Row order is ignored (a distributed frame has none).  Both modes count each
-distinct row per side in one aggregation (one shuffle, identical copies
-combined map-side): without keys the two sides are compared as bags and each
-surplus row is reported once with its number of extra copies; with keys the
-differing rows are summarised per key — no join, so a crowded key never
-becomes one join task.
+Columns are matched by position (names ignored).  Whole numbers and decimals
+are compared exactly; where either side is a floating-point number both are
+rounded to ``ndp`` decimals; everything else is compared as trimmed text, also
+where only one side is a number.  NULL equals NULL.  Row order is ignored (a
+distributed frame has none).  Each distinct row is counted per side in one
+aggregation, equal copies combined in the map tasks; there is no join, so a
+crowded key never becomes one join task.
 """
 
 from __future__ import annotations
@@ -19,16 +18,23 @@ from pyspark.sql import types as T
 from stagewise.functions.numeric import round_half_up
 
 
-def _normalise(df: DataFrame, ndp: int) -> DataFrame:
-    cols = []
-    for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.NumericType):
-            c = round_half_up(c.cast("double"), ndp)
+def _normalised(left: DataFrame, right: DataFrame, ndp: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with columns c0, c1, … of types that compare."""
+    sides: tuple[list, list] = ([], [])
+    for i, (a, b) in enumerate(zip(left.schema.fields, right.schema.fields)):
+        kinds = (a.dataType, b.dataType)
+        if all(isinstance(k, T.IntegralType) for k in kinds):
+            make = lambda c: c.cast("long")
+        elif all(isinstance(k, (T.IntegralType, T.DecimalType)) for k in kinds):
+            scale = max(k.scale if isinstance(k, T.DecimalType) else 0 for k in kinds)
+            make = lambda c, s=scale: c.cast(T.DecimalType(38, s))
+        elif all(isinstance(k, T.NumericType) for k in kinds):
+            make = lambda c: round_half_up(c.cast("double"), ndp)
         else:
-            c = F.trim(c.cast("string"))
-        cols.append(c.alias(f"c{i}"))
-    return df.select(*cols)
+            make = lambda c: F.trim(c.cast("string"))
+        for side, field in zip(sides, (a, b)):
+            side.append(make(F.col(f"`{field.name}`")).alias(f"c{i}"))
+    return left.select(*sides[0]), right.select(*sides[1])
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: list[int] | None = None,
@@ -36,33 +42,47 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[int] | None = None,
     """Differences between ``left`` and ``right`` (empty DataFrame = they match).
 
     Without ``keys``: each distinct row present more often on one side, once,
-    with ``side`` ('left_only' / 'right_only') and ``copies`` (how many more).  With ``keys`` (column positions, expected
-    to identify a row on each side): one row per key that is missing on a side
-    or differs, with the differing positions in ``diff_columns``."""
+    with ``side`` ('left_only' / 'right_only') and ``copies`` (how many more).
+
+    With ``keys`` (column positions): one row per key whose rows differ, with
+    ``side`` ('left_only' / 'right_only': the other side has no row of the key;
+    'differs'), the rows of the key on each side, how many of them have no
+    equal on the other side, and ``diff_columns``: the differing positions
+    where the key stands once on both sides, '*' where it repeats.
+
+    Unequal numbers of columns are a difference in themselves: one row with
+    ``side`` 'shape'."""
+    spark = left.sparkSession
     if len(left.columns) != len(right.columns):
-        raise ValueError(f"shapes differ: {len(left.columns)} vs {len(right.columns)} columns")
-    a, b = _normalise(left, ndp), _normalise(right, ndp)
+        return spark.createDataFrame([("shape", f"{len(left.columns)} and {len(right.columns)} columns")],
+                                     "side string, diff_columns string")
+    a, b = _normalised(left, right, ndp)
     names = a.columns
-    # each distinct row with its count per side: one shuffle on whole rows,
-    # identical copies combined map-side (no join, so no skewed join task)
     counted = (a.withColumn("_l", F.lit(1)).withColumn("_r", F.lit(0))
                .unionByName(b.withColumn("_l", F.lit(0)).withColumn("_r", F.lit(1)))
-               .groupBy(*names).agg(F.sum("_l").alias("_nl"), F.sum("_r").alias("_nr"))
-               .where(F.col("_nl") != F.col("_nr")))
+               .groupBy(*names).agg(F.sum("_l").alias("_nl"), F.sum("_r").alias("_nr")))
     if not keys:
         side = F.when(F.col("_nl") > F.col("_nr"), "left_only").otherwise("right_only")
-        return counted.select(*names, side.alias("side"), F.abs(F.col("_nl") - F.col("_nr")).alias("copies"))
+        return (counted.where(F.col("_nl") != F.col("_nr"))
+                .select(*names, side.alias("side"), F.abs(F.col("_nl") - F.col("_nr")).alias("copies")))
     kcols = [names[i] for i in keys]
     vals = [c for c in names if c not in kcols]
     row = F.struct(*[F.col(c) for c in vals]) if vals else F.struct(F.lit(1).alias("_"))
+    extra = lambda x, y: F.sum(F.greatest(F.col(x) - F.col(y), F.lit(0)))
     per_key = counted.groupBy(*kcols).agg(
+        F.sum("_nl").alias("left_rows"), F.sum("_nr").alias("right_rows"),
+        extra("_nl", "_nr").alias("left_extra"), extra("_nr", "_nl").alias("right_extra"),
         F.max(F.when(F.col("_nl") > F.col("_nr"), row)).alias("_L"),
-        F.max(F.when(F.col("_nr") > F.col("_nl"), row)).alias("_R"))
-    diff_cols = F.filter(F.array(*[F.when(~F.col(f"_L.{c}").eqNullSafe(F.col(f"_R.{c}")), F.lit(c))
-                                    for c in vals]), lambda x: x.isNotNull()) if vals else F.array()
-    side = (F.when(F.col("_R").isNull(), "left_only").when(F.col("_L").isNull(), "right_only")
+        F.max(F.when(F.col("_nr") > F.col("_nl"), row)).alias("_R")
+    ).where((F.col("left_extra") > 0) | (F.col("right_extra") > 0))
+    each = F.array_compact(F.array(*[F.when(~F.col(f"_L.{c}").eqNullSafe(F.col(f"_R.{c}")), F.lit(c))
+                                     for c in vals])) if vals else F.array().cast("array<string>")
+    side = (F.when(F.col("right_rows") == 0, "left_only").when(F.col("left_rows") == 0, "right_only")
             .otherwise("differs"))
-    return per_key.select(*kcols, side.alias("side"), F.array_join(diff_cols, ",").alias("diff_columns"))
+    columns = (F.when((F.col("left_rows") == 0) | (F.col("right_rows") == 0), "")
+               .when((F.col("left_rows") == 1) & (F.col("right_rows") == 1), F.array_join(each, ",")).otherwise("*"))
+    return per_key.select(*kcols, side.alias("side"), columns.alias("diff_columns"),
+                          "left_rows", "right_rows", "left_extra", "right_extra")
 
 
 def reconcile_verdict(diff: DataFrame) -> bool:

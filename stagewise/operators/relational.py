@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagewise.functions.numeric import pct
-from stagewise.session import materialize
 
 _UNORDERABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
 
@@ -45,38 +44,33 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Colum
 
 
 def flag_repeats(df: DataFrame, key: str | Sequence[str], order: Sequence[Column],
-                 name: str = "is_repeat", persist: bool = True) -> DataFrame:
+                 name: str = "is_repeat", chunk: int = 1000) -> DataFrame:
     """Every row of a key except the first is flagged (pandas ``duplicated``).
 
-    Numbering all rows of a key would sort a crowded key in one task, and a
-    bag difference would regenerate a crowded group of identical copies in
-    one task.  Instead every row gets an id (written once to the shared
-    checkpoint folder, so ids survive re-execution), the first row per key is
-    chosen with the id breaking ties between identical copies (limited before
-    the shuffle), and rows are flagged by a join on the unique id — no key, so
-    no skew; the chosen ids are broadcast by AQE when they are few.
-
-    ``persist=False`` skips writing the id-tagged copy; it is safe only when
-    ``df`` is read straight from files (split order, hence the ids, is then
-    the same in every re-execution)."""
-    d = df.withColumn("_rid", F.monotonically_increasing_id())
-    if persist:
-        d = materialize(d, "repeat-flags")
-    firsts = first_per_key(d, key, order).select("_rid", F.lit(False).alias(name))
-    return (d.join(firsts, "_rid", "left")
-            .withColumn(name, F.coalesce(F.col(name), F.lit(True)))
-            .select(*df.columns, name))
+    Equal rows are interchangeable, so rows are counted first (combined in the
+    map tasks); the first distinct row per key is chosen (limited before the
+    exchange) and found again by equality of the whole row, which no crowded
+    key can skew; counted rows are then written out again in chunks of at most
+    ``chunk`` copies, dealt over the tasks.  Nothing is stored in between.
+    Columns must be comparable (no maps)."""
+    columns = df.columns
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row")    # NULLs are equal inside a struct
+    counted = df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias("_n"))
+    firsts = first_per_key(counted.drop("_n"), key, order).select(row, F.lit(True).alias("_first"))
+    chunks = F.explode(F.sequence(F.lit(0), ((F.col("_n") - 1) / chunk).cast("long")))
+    dealt = (counted.select(row, "_n").join(firsts, "_row", "left").select("_row", "_n", "_first", chunks.alias("_c"))
+             .repartition("_row", "_c"))
+    copies = F.explode(F.sequence(F.col("_c") * chunk + 1, F.least(F.col("_n"), (F.col("_c") + 1) * chunk)))
+    return (dealt.select("_row", "_first", copies.alias("_copy"))
+            .select("_row.*", (F.col("_first").isNull() | (F.col("_copy") > 1)).alias(name)))
 
 
 def with_share(grouped: DataFrame, count_col: str, out: str = "share_pct", n: int = 1) -> DataFrame:
-    """``100 * x / sum(x) OVER ()`` without a single-partition window.
-
-    The grouped result (one row per group, far smaller than its input) is
-    written once to the checkpoint folder, so the input is scanned once; the
-    total is a one-row aggregate of it, joined back by broadcast."""
-    grouped = materialize(grouped, "share-groups")
+    """``100 * x / sum(x) OVER ()`` without a single-partition window: the
+    one-row total is an aggregate of the grouped frame, whose exchange both
+    uses share."""
     total = grouped.agg(F.sum(count_col).alias("_total"))
-    return (grouped.crossJoin(F.broadcast(total))
+    return (grouped.crossJoin(F.broadcast(total))                # one row
             .withColumn(out, pct(F.col(count_col), F.col("_total"), n)).drop("_total"))
 
 
@@ -110,11 +104,3 @@ def bucket(x, edges: Sequence[float], labels: Sequence[str]) -> Column:
     for e, lab in zip(edges, labels):
         expr = F.when(xc < e, lab) if expr is None else expr.when(xc < e, lab)
     return expr.otherwise(labels[-1])
-
-
-def key_profile(df: DataFrame, key: str, **flags: Column) -> DataFrame:
-    """Per-key pre-aggregation: one row per key with its row count and an
-    ``any`` of each flag.  Several distinct counts over the same key then need a
-    single shuffle (map-side combined, so a hot key stays one row per task)."""
-    aggs = [F.count(F.lit(1)).alias("_rows")] + [F.max(c.cast("int")).alias(n) for n, c in flags.items()]
-    return df.groupBy(key).agg(*aggs)

@@ -32,7 +32,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     On a cluster, master, resources and ``spark.sql.shuffle.partitions`` come
     from ``spark-submit`` and are left alone; only the semantics (UTC, ANSI)
     are pinned and AQE is switched on where the launch did not decide.
-    Locally the shuffle partitions default to the core count."""
+    ``shuffle_partitions`` (or STAGEWISE_SHUFFLE_PARTITIONS) sets the number of
+    shuffle partitions; without it Spark's own setting stands."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -50,40 +51,38 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
             spark.conf.set(k, v)
     if shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    elif not launch.contains("spark.sql.shuffle.partitions"):
-        env = os.environ.get("STAGEWISE_SHUFFLE_PARTITIONS")
-        spark.conf.set("spark.sql.shuffle.partitions",
-                       env or str(spark.sparkContext.defaultParallelism))
+    elif env := os.environ.get("STAGEWISE_SHUFFLE_PARTITIONS"):
+        spark.conf.set("spark.sql.shuffle.partitions", env)
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a private folder is made in local mode only (tests); on
+    a cluster that is an error, as executors would write to their own disks."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
-        return d
-    return spark.sparkContext.getCheckpointDir()
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint dir; only when none is set (local tests)
-    create a private scratch folder."""
-    d = checkpoint_dir(spark)
-    if not d:
-        d = tempfile.mkdtemp(prefix="stagewise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        return d.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    d = tempfile.mkdtemp(prefix="stagewise-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """An unused path in the shared folder, deleted when the session's JVM ends."""
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` as parquet under the shared checkpoint dir
-    and reading it back.  Survives executor loss (unlike caching), and the
-    written files are reusable by later stages."""
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/{name or 'table'}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    and reading it back; survives executor loss (unlike caching)."""
+    path = shared_path(df.sparkSession, name or "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

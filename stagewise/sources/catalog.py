@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def list_tables(spark: SparkSession) -> DataFrame:
-    """Tables and views visible in the session, as a DataFrame."""
-    rows = [(t.name, t.tableType, bool(t.isTemporary)) for t in spark.catalog.listTables()]
+def list_tables(spark: SparkSession, base_only: bool = False) -> DataFrame:
+    """Tables and views visible in the session, as a DataFrame; with
+    ``base_only`` stored tables without any view."""
+    rows = [(t.name, t.tableType, bool(t.isTemporary)) for t in spark.catalog.listTables()
+            if not base_only or t.tableType in ("MANAGED", "EXTERNAL")]
     return spark.createDataFrame(rows, "name string, table_type string, is_temporary boolean")
 
 

@@ -33,17 +33,17 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 TABLE_COMMENTS: dict[str, str] = {
-    "raw_applications": "applications as exported: whole-row repeats and test records included",
-    "raw_stage_events": "stage events: some without exit time, some exiting before entry",
-    "raw_decisions": "decisions: the source lags, some applications have none",
-    "raw_disbursements": "disbursements of approved applications",
-    "initiative_passport": "initiative passport: the four parameters behind its NPV curve",
-    "initiative_fact": "actual cost and profit by month, for plan-versus-fact",
+    "raw_applications": "one row per exported application line; not deduplicated",
+    "raw_stage_events": "one row per visit of an application to a stage; times not validated",
+    "raw_decisions": "at most one decision per application",
+    "raw_disbursements": "money paid out, per application",
+    "initiative_passport": "planning parameters, one row per initiative",
+    "initiative_fact": "booked cost and profit per initiative and month",
 }
 
 
 def with_comments(name: str) -> T.StructType:
-    """The declared schema with the table comment stored as field metadata."""
+    """The declared schema, each field carrying the table's comment as metadata."""
     st = SCHEMAS[name]
     return T.StructType([
         T.StructField(f.name, f.dataType, f.nullable, {"table_comment": TABLE_COMMENTS[name]})

@@ -9,8 +9,12 @@ Mapping (application = order; an export row per order line gives repeats):
 * raw_applications  = lineitem ⋈ orders ⋈ customer(⋈ nation ⋈ region):
   id = o_orderkey, client = 'CL-'||o_custkey, product = c_mktsegment,
   channel = o_orderpriority, region = r_name, amount = o_totalprice,
-  submitted = o_orderdate, source system = l_linestatus,
-  test record = customer with a negative account balance.
+  submitted = o_orderdate plus 0 to 6 days by line number (so the repeats of
+  an application differ and its earliest row is not its first line),
+  source system = l_linestatus, test record = customer with a negative
+  account balance.  By remainders of the keys some clients are the technical
+  client, and some clients, flags, channels, regions, amounts and actor roles
+  are missing (``GAPS``).
 * raw_stage_events  = lineitem ⋈ orders: stage = l_returnflag||l_linestatus,
   entered = o_orderdate, left = l_shipdate, or NULL when the shipment lies
   after the export moment (the latest order date).
@@ -41,16 +45,28 @@ CARD_CHANNEL_SPELLINGS = [
 ]
 # ---------------------------------------------------------------------------
 
+# Where values are missing or the client is technical: remainders of a key.
+GAPS = {
+    "technical_client": ("o_custkey", 50, 7), "client_id": ("o_custkey", 61, 3), "is_test": ("o_custkey", 37, 2),
+    "channel": ("o_orderkey", 71, 9), "region": ("o_orderkey", 43, 5), "amount_requested": ("o_orderkey", 83, 11),
+    "actor_role": ("l_orderkey", 29, 4),
+}
+
+
+def _gap(name: str):
+    key, modulus, rest = GAPS[name]
+    return F.col(key) % modulus == rest
+
+
+def _unless(name: str, value):
+    return F.when(~_gap(name), value)
+
+
 # Parameters the test-data queries pass to the operators.
 APPROVED, REJECTED = "F", "P"
 SLOW_STAGE = "RF"
 
 
-# A table of at least this size that scans into fewer splits than the cluster
-# has cores is spread round-robin first (a single-row-group file is one task).
-SPREAD_MIN_BYTES = 4 << 20
-
-
 class Tables(dict):
     """Lazily loaded parquet tables of one scale-factor folder."""
 
@@ -59,65 +75,11 @@ class Tables(dict):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def __missing__(self, name: str) -> DataFrame:
-        df = spread(read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet"))
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         self[name] = df
         return df
 
 
-_SCHEMA_CACHE: dict[tuple[str, float], object] = {}
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """``spark.read.parquet`` with the footer-derived schema remembered per file
-    version, so repeated reads skip the schema-discovery job."""
-    import os
-    try:
-        version = os.path.getmtime(path)
-    except OSError:
-        version = -1.0                      # remote store: infer every time
-    key = (path, version)
-    if version >= 0 and key in _SCHEMA_CACHE:
-        return spark.read.schema(_SCHEMA_CACHE[key]).parquet(path)
-    df = spark.read.parquet(path)
-    if version >= 0:
-        _SCHEMA_CACHE[key] = df.schema
-    return df
-
-
-_SPREAD_DECISION: dict[tuple[str, int], bool] = {}
-
-
-def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Use every core on a large input that arrives as too few splits.
-
-    Multi-file inputs (the normal case at scale) already yield many splits and
-    pass through unchanged; only an oversized single split is re-spread, by a
-    hash of its leading key column (deterministic under task retries and,
-    unlike a round-robin repartition, without a sort before the exchange).
-    Filters and column pruning still reach the parquet reader."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        files = tuple(df.inputFiles())
-        key = (",".join(files), cores)
-        if key not in _SPREAD_DECISION:
-            _SPREAD_DECISION[key] = (df.rdd.getNumPartitions() < cores and _scan_bytes(files) >= min_bytes)
-    except Exception:  # noqa: BLE001 — e.g. a Spark Connect session has no RDD view: leave as is
-        return df
-    return df.repartition(cores, df.columns[0]) if _SPREAD_DECISION[key] else df
-
-
-def _scan_bytes(files: tuple[str, ...]) -> int:
-    import os
-    total = 0
-    for f in files:
-        path = f[len("file:"):] if f.startswith("file:") else f
-        try:
-            total += os.path.getsize(path)
-        except OSError:
-            return 1 << 62  # remote file system: assume large
-    return total
-
-
 def load(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir)
 
@@ -136,7 +98,7 @@ def _export_moment(t: Tables):
 
 
 def applications(t: Tables) -> DataFrame:
-    li = t["lineitem"].select(F.col("l_orderkey").alias("o_orderkey"), "l_linestatus")
+    li = t["lineitem"].select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_linestatus")
     o = t["orders"].select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", "o_orderdate")
     geo = (t["customer"].select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
            .join(t["nation"].select("n_nationkey", "n_regionkey"),
@@ -146,14 +108,15 @@ def applications(t: Tables) -> DataFrame:
     rows = li.join(o, "o_orderkey").join(geo, F.col("o_custkey") == F.col("c_custkey"), "left")
     return rows.select(
         F.col("o_orderkey").alias("application_id"),
-        F.concat(F.lit("CL-"), F.col("o_custkey").cast("string")).alias("client_id"),
+        F.when(_gap("technical_client"), F.lit("CL-TEST")).otherwise(_unless(
+            "client_id", F.concat(F.lit("CL-"), F.col("o_custkey").cast("string")))).alias("client_id"),
         F.col("c_mktsegment").alias("product"),
-        F.col("o_orderpriority").alias("channel"),
-        F.col("r_name").alias("region"),
-        as_money("o_totalprice").alias("amount_requested"),
-        F.col("o_orderdate").alias("submitted_at"),
+        _unless("channel", F.col("o_orderpriority")).alias("channel"),
+        _unless("region", F.col("r_name")).alias("region"),
+        _unless("amount_requested", as_money("o_totalprice")).alias("amount_requested"),
+        F.expr("o_orderdate + make_dt_interval((l_linenumber * 3) % 7)").alias("submitted_at"),
         F.col("l_linestatus").alias("source_system"),
-        (F.col("c_acctbal") < 0).alias("is_test"),
+        _unless("is_test", F.col("c_acctbal") < 0).alias("is_test"),
     )
 
 
@@ -168,7 +131,7 @@ def stage_events(t: Tables) -> DataFrame:
         F.concat("l_returnflag", "l_linestatus").alias("stage"),
         F.col("o_orderdate").alias("entered_at"),
         F.when(F.col("l_shipdate") > cut, F.lit(None)).otherwise(F.col("l_shipdate")).alias("left_at"),
-        F.col("o_orderstatus").alias("actor_role"),
+        _unless("actor_role", F.col("o_orderstatus")).alias("actor_role"),
     )
 
 

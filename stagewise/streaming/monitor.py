@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagewise.operators.quality import interval_check
-from stagewise.session import ensure_checkpoint_dir
+from stagewise.session import checkpoint_dir
 
 
 def interval_counts_stream(events: DataFrame, start: str = "entered_at", end: str = "left_at",
@@ -29,7 +29,7 @@ def run_available(stream: DataFrame, name: str, mode: str = "complete",
     checkpoint dir at a path fixed by ``name`` (or ``checkpoint``), so running
     it again resumes from the last committed batch instead of recounting."""
     spark: SparkSession = stream.sparkSession
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}"
+    ckpt = checkpoint or f"{checkpoint_dir(spark)}/stream-{name}"
     q = (stream.writeStream.outputMode(mode).format("memory").queryName(name)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()

@@ -65,7 +65,7 @@ def test_sql_text_with_cyrillic_labels(spark, views):
         GROUP BY e.stage ORDER BY `Медиана, ч` DESC""").collect()
     assert [(r["Этап"], r["Событий"], r["Медиана, ч"]) for r in rows] == [
         ("Андеррайтинг", 2, 30.0), ("Приём заявки", 2, 1.5)]
-    panel = {(r.channel, r.stage): r.applications for r in spark.table("v_stage_sla_panel").collect()}
+    panel = {(r.channel, r.stage): r.applications for r in spark.table("v_pipeline_stage_sla").collect()}
     assert panel[("Отделение", "Андеррайтинг")] == 1 and panel[("Партнёрская сеть", "Андеррайтинг")] == 1
 
 

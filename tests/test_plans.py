@@ -2,8 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from stagewise.plans import registry
 from stagewise.plans.registry import Layer
 from stagewise.operators import portfolio, quality
 
@@ -39,7 +39,7 @@ def test_filters_and_columns_reach_the_scan(layer):
 
 
 def test_no_python_in_any_query(spark):
-    for key, build in E.queries().items():
+    for key, build in registry.queries().items():
         p = plan_of(build(spark, SF_SMALL))
         for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
             assert node not in p, (key, node)

@@ -51,12 +51,6 @@ def test_iqr_outliers(values):
     assert r.outliers == int((xs > q3 + 1.5 * (q3 - q1)).sum())
 
 
-def test_approx_method_close(values):
-    df, xs, _ = values
-    r = process.distribution_summary(df, "x", method="approx").first()
-    assert abs(r.median - np.quantile(xs, 0.5)) < 1.0
-
-
 def test_share_sums_to_100(values):
     df, _, _ = values
     g = df.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
@@ -70,34 +64,57 @@ def test_buckets_half_open(spark):
     assert got == {"1. small": 1, "2. mid": 2, "3. large": 2}   # NULL falls to the last label (CASE ... ELSE)
 
 
-def test_split_exact_quantiles_equal_exact(spark):
-    """Hot group (a third of the rows, many ties), mid and tiny groups, one-row group, NULLs."""
-    from stagewise.operators.quantiles import split_exact_quantiles
+def _percentiles(df, keys, ps):
+    from stagewise.operators.quantiles import grouped_quantiles, n_rows
+    names = {f"q{i}": p for i, p in enumerate(ps)}
+    got = grouped_quantiles(df, keys, "x", names, [n_rows().alias("n")])
+    want = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.percentile("x", p).alias(n) for n, p in names.items()])
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    return order(got.collect()), order(want.collect())
+
+
+PS = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    """A hot group full of ties, wide and tiny ranges, signs, NULL values,
+    a NULL group, a group without values."""
     rng = np.random.default_rng(11)
-    rows = [("hot", float(v)) for v in rng.integers(0, 40, 3000)]            # ties galore
-    rows += [("mid", float(v)) for v in np.round(rng.normal(100, 15, 2000), 2)]
-    rows += [("tiny", float(v)) for v in [5.0, 1.0, 3.0]] + [("one", 7.0), ("mid", None)]
-    rows += [(f"g{i}", float(v)) for i in range(30) for v in rng.random(100)]
-    df = spark.createDataFrame(rows, "g string, x double")
-    ps = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
-    names = [f"q{i}" for i in range(len(ps))]
-    want = {r.g: tuple(r[n] for n in names) for r in
-            df.groupBy("g").agg(*[F.percentile("x", p).alias(n) for p, n in zip(ps, names)]).collect()}
-    for acc, limit in ((10, 10), (50, 40), (10, 1_000_000), (10_000, 1_000_000)):
-        # coarse sketches and a tiny rank limit force several narrowing rounds
-        got = {r.g: tuple(r[n] for n in names) for r in
-               split_exact_quantiles(df, ["g"], "x", ps, names, accuracy=acc, max_rank_rows=limit).collect()}
-        assert got == want, (acc, limit)
-    glob = split_exact_quantiles(df, [], "x", [0.5], ["m"], accuracy=10).first().m
-    assert glob == df.agg(F.percentile("x", 0.5)).first()[0]
-
-
-def test_auto_method_picks_by_group_size(values, monkeypatch):
-    from stagewise.operators import process as P
-    df, _, _ = values
-    exact = P.stage_sla(df.withColumnRenamed("g", "stage").withColumnRenamed("x", "hours")).collect()
-    auto_small = P.stage_sla(df.withColumnRenamed("g", "stage").withColumnRenamed("x", "hours"), method="auto").collect()
-    monkeypatch.setattr(P, "AUTO_EXACT_MAX_ROWS", 10)      # every group now counts as crowded
-    auto_split = P.stage_sla(df.withColumnRenamed("g", "stage").withColumnRenamed("x", "hours"), method="auto",
-                             accuracy=20).collect()
-    assert exact == auto_small == auto_split
+    rows = [("hot", float(v)) for v in rng.integers(0, 40, 3000)]
+    rows += [("mid", float(v)) for v in np.round(rng.normal(0, 15, 2000), 2)] + [("mid", None)]
+    rows += [("wide", float(v)) for v in 10.0 ** rng.uniform(-300, 300, 500)]
+    rows += [("near", 1 + float(v) * 1e-14) for v in rng.integers(0, 50, 500)]
+    rows += [("tiny", float(v)) for v in [5.0, 1.0, 3.0]] + [("one", 7.0), ("none", None), (None, 1.0), (None, 3.0)]
+    rows += [("same", 4.25)] * 2000 + [("zero", 0.0), ("zero", -0.0), ("zero", -1e-300)]
+    got, want = _percentiles(spark.createDataFrame(rows, "g string, x double"), ["g"], PS)
+    assert got == want
+
+
+def test_exact_quantiles_of_null_keys_and_two_keys(spark):
+    rows = [(None, 1, 1.0), (None, 1, 3.0), ("a", None, 2.0), ("a", None, 4.0), ("b", 2, None)]
+    got, want = _percentiles(spark.createDataFrame(rows, "g string, h int, x double"), ["g", "h"], [0.5, 0.9])
+    assert got == want
+
+
+def test_exact_quantiles_without_keys_and_without_rows(spark):
+    from stagewise.operators.quantiles import grouped_quantiles
+    df = spark.createDataFrame([(1.0,), (2.0,), (None,)], "x double")
+    assert tuple(grouped_quantiles(df, [], "x", {"m": 0.5}).first()) == (1.5,)
+    assert [tuple(r) for r in grouped_quantiles(df.limit(0), [], "x", {"m": 0.5}).collect()] == [(None,)]
+    assert process.distribution_summary(df.limit(0), "x").first().n == 0
+    assert grouped_quantiles(df.limit(0).withColumn("g", F.lit(1)), ["g"], "x", {"m": 0.5}).count() == 0
+
+
+def test_histogram_edges_and_nan(spark):
+    df = spark.createDataFrame([(1e-8,), (2e-8,), (3e-8,), (float("nan"),), (None,)], "x double")
+    rows = process.histogram(df, "x", 2).collect()
+    assert [(r.n, r.bin_lo, r.bin_hi) for r in rows] == [(1, 1e-8, 2e-8), (2, 2e-8, 3e-8)]
+
+
+def test_funnel_of_raw_equals_funnel_of_clean(spark):
+    from stagewise.operators import clean
+    from stagewise.plans.registry import Layer
+    from conftest import SF_SMALL
+    L = Layer(spark, SF_SMALL)
+    want = process.funnel(clean.clean_stage_events(L.events, L.clean_keys), L.clean_keys)
+    assert sorted(map(tuple, process.funnel_of_raw(L.events, L.apps).collect())) == sorted(map(tuple, want.collect()))

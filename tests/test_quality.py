@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import functions as F
 from stagewise.operators import clean, process, quality
 
 T0 = dt.datetime(2025, 3, 1, 9, 0)
@@ -150,12 +151,25 @@ def test_null_key_counts_as_one_unmatched_key(spark):
     assert [r.application_id for r in miss] == ["A2", None]
 
 
-def test_flag_repeats_without_persist_on_file_input(spark, apps):
-    import tempfile
-    from pyspark.sql import functions as F
+def test_flag_repeats_many_equal_rows(spark):
     from stagewise.operators.relational import flag_repeats
-    d = tempfile.mkdtemp(prefix="stagewise-flags-")
-    apps.write.mode("overwrite").parquet(f"{d}/a")
-    src = spark.read.parquet(f"{d}/a")
-    f = flag_repeats(src, "application_id", [F.col("submitted_at").asc_nulls_last()], persist=False)
-    assert f.count() == 10 and f.where("is_repeat").count() == 3
+    df = spark.createDataFrame([("a", 1, None)] * 2500 + [("a", 0, "x"), (None, 5, "y"), (None, 5, "y")], "k string, t int, v string")
+    f = flag_repeats(df, "k", [F.col("t").asc_nulls_last()], chunk=1000)
+    got = {(r.k, r.t, r.is_repeat): r["count"] for r in f.groupBy("k", "t", "is_repeat").count().collect()}
+    assert got == {("a", 0, False): 1, ("a", 1, True): 2500, (None, 5, False): 1, (None, 5, True): 1}
+
+
+def test_shares_need_no_folder_and_share_one_exchange(spark):
+    from stagewise.operators.relational import with_share
+    plan = with_share(spark.range(100).groupBy((F.col("id") % 3).alias("g")).agg(F.count(F.lit(1)).alias("n")), "n")
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in text
+
+
+def test_layer_counts(spark, apps):
+    ev = spark.createDataFrame([("A1", 1, 2), ("A1", 2, 1), ("A2", 1, None), (None, 1, 2), ("zz", 1, 2)],
+                               "application_id string, entered_at int, left_at int")
+    r = quality.layer_counts(apps, ev).first()
+    assert (r.apps_raw, r.apps_clean) == (apps.count(), clean.clean_applications(apps).count())
+    assert (r.events_raw, r.events_clean) == (5, 1)

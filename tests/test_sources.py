@@ -90,10 +90,10 @@ def test_bucketed_clean_layer_joins_without_shuffle(spark):
     L = Layer(spark, SF_SMALL)
     raw = {"raw_applications": L.apps, "raw_stage_events": L.events,
            "initiative_passport": L.passport, "initiative_fact": L.fact}
-    views = register_views(raw, bucket_clean=4)
-    panel = views["v_stage_sla_panel"]
-    want = register_views(raw)["v_stage_sla_panel"]
-    assert sorted(map(tuple, panel.collect())) == sorted(map(tuple, want.collect()))
+    views = register_views(raw, bucket_clean=4, bucket_tables=("clean_applications_b", "clean_stage_events_b"))
+    panel = views["v_pipeline_stage_sla"]
+    want = register_views(raw)["v_pipeline_stage_sla"]
+    assert sorted(map(tuple, panel.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # tiny fixture: force the big-table path
     try:
@@ -103,3 +103,48 @@ def test_bucketed_clean_layer_joins_without_shuffle(spark):
         assert j.count() == L.events_clean.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_number_shapes(spark):
+    from stagewise.sources.readers import infer_numeric
+    df = spark.createDataFrame([("12d", "1e3", " 4 ", "5F"), ("3", "-.5", "+2.", "1")], "a string, b string, c string, d string")
+    assert [t for _, t in infer_numeric(df).dtypes] == ["string", "double", "double", "string"]
+    assert infer_numeric(df).first().b == 1000.0
+
+
+def test_byte_order_mark_is_written_once_per_file(spark, tmp_path):
+    from stagewise.sources.readers import read_text_export
+    from stagewise.sources.sinks import write_csv
+    df = spark.createDataFrame([("1", " x ")], "id string, v string").coalesce(1)
+    write_csv(df, str(tmp_path / "o"), bom=True)
+    body = next((tmp_path / "o").glob("part-*")).read_bytes()
+    assert body.startswith(b"\xef\xbb\xbfid;v") and body.count(b"\xef\xbb\xbf") == 1
+    back = read_text_export(spark, str(tmp_path / "o"))
+    assert back.columns == ["id", "v"] and back.first().v == " x "
+
+
+def test_saved_table_has_its_comment_and_is_a_base_table(spark):
+    from stagewise.sources.catalog import list_tables
+    from stagewise.sources.schemas import SCHEMAS, TABLE_COMMENTS, with_comments
+    from stagewise.sources.sinks import save_table
+    save_table(spark.createDataFrame([], SCHEMAS["raw_decisions"]), "decisions_saved", TABLE_COMMENTS["raw_decisions"])
+    spark.createDataFrame([(1,)], "a int").createOrReplaceTempView("only_a_view")
+    said = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED decisions_saved").collect()}
+    assert said["Comment"] == TABLE_COMMENTS["raw_decisions"]
+    base = {r.name for r in list_tables(spark, base_only=True).collect()}
+    assert "decisions_saved" in base and "only_a_view" not in base
+    assert all(f.metadata["table_comment"] for f in with_comments("raw_decisions"))
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from stagewise import session
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Cluster:
+        conf, sparkContext = Conf(), type("C", (), {"master": "spark://x"})()
+    with pytest.raises(ValueError):
+        session.checkpoint_dir(Cluster())
