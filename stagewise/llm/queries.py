@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontamination import op5_spaced_seed_decontamination
 from .jaccard import op8_ngram_jaccard_join
+from .oracles import ORACLES  # noqa: F401
 from .packing import op10_best_fit_packing
 from .quality_classifier import op9_co_trained_quality
 from .quality_rules import op4_risk_controlled_rules
@@ -17,4 +18,3 @@ QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_kneser_ney_toxicity, op3_chunk_substring_dedup, op4_risk_controlled_rules,
     op5_spaced_seed_decontamination, op6_token_files, op7_sparse_suffix_dedup, op8_ngram_jaccard_join,
     op9_co_trained_quality, op10_best_fit_packing)}
-ORACLES: dict[str, str] = {}

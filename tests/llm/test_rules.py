@@ -1,0 +1,114 @@
+"""Quality rules: counts, binomial tails and cutoffs against brute force."""
+
+import math
+import random
+import re
+from fractions import Fraction
+
+import pytest
+from conftest import SF_CHECK
+from llm_data import frame, prose
+
+from stagewise.llm import quality_rules as rules
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def counted(text):
+    text = text or ""
+    words = WORD.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    places = {}
+    for i in range(len(words) - 4):
+        places.setdefault(tuple(words[i:i + 5]), []).append(i)
+    cover = {p + k for ps in places.values() if len(ps) > 1 for p in ps for k in range(5)}
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(cover))
+
+
+def _check(spark, docs, rows):
+    got = {r["doc_id"]: (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"])
+           for r in rules.counts(docs).collect()}
+    assert got == {d: counted(t) for d, t in rows}
+
+
+def test_counts_of_test_data(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    _check(spark, docs, [(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_counts_of_odd_texts(spark):
+    rng = random.Random(1)
+    texts = [None, "", " \x0b\x0c ", "a", "a b c d e a b c d e", "x " * 50, "a\n\n a\na\na \na", "#*$%&|<> ##\r\n##",
+             "ä ö ü\x85 é", " ".join(prose(rng, 30_000, 60)), "1 2 3 4 5 6 1 2 3 4 5 9 1 2 3 4 5",
+             "\n".join(rng.choice(["one line", "", "two", "\t"]) for _ in range(99))]
+    rows = list(enumerate(texts))
+    _check(spark, frame(spark, rows), rows)
+
+
+@pytest.mark.parametrize("n,k", [(1, 0), (10, 0), (200, 0), (1617, 0), (3000, 4), (3000, 14), (20_000, 60), (20_000, 99)])
+def test_binomial_tail(spark, n, k):
+    p = Fraction(1, 200)
+    exact = sum(math.comb(n, i) * p**i * (1 - p)**(n - i) for i in range(k + 1)) if n <= 200 else None
+    if exact is None:
+        exact = math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1)
+                                   + i * math.log(0.005) + (n - i) * math.log(0.995)) for i in range(k + 1))
+    got = spark.range(1).selectExpr(f"{n}D as n", f"{k}D as k").select(rules.binomial_tail("n", "k", 0.005)).first()[0]
+    assert got == pytest.approx(float(exact) if k < n * 0.005 else 1.0, rel=1e-8)
+
+
+def _synthetic(spark):
+    """A stratum with many labels, one with few; junk full of symbols."""
+    rng, rows, labels = random.Random(2), [], []
+    for d in range(6000):
+        good = d % 5 > 0
+        words = [rng.choice("abcdefgh") + str(rng.randrange(9999)) for _ in range(14)]
+        if not good:
+            words = [w + "###" for w in words]
+        elif d % 997 == 1:
+            words[0] += "$$$$$$$$$$"
+        rows.append((d, " ".join(words), "en" if d < 5800 else None, "s", 1))
+        labels.append((d, int(good), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), rows
+
+
+def test_cutoffs_are_the_strictest_safe_ones(spark):
+    docs, labels, rows = _synthetic(spark)
+    shared = rules.shares(rules.counts(docs))
+    cuts = {r["stratum"]: r for r in rules.cutoffs(shared, labels).collect()}
+    share = {r["doc_id"]: r for r in shared.collect()}
+    tests = 2 * sum(map(len, rules.CUTOFFS.values()))
+    for stratum in ("en", None):
+        good = [share[d] for d, _, lang, *_ in rows if lang == stratum and d % 5 > 0]
+        for rule, cs in rules.CUTOFFS.items():
+            safe = []
+            for c in cs:
+                k, n = sum(s[rule] > c for s in good), len(good)
+                tail = math.fsum(math.comb(n, i) * 0.005**i * 0.995**(n - i) for i in range(min(k, 40) + 1))
+                if k < n * 0.005 and tail <= 0.05 / tests:
+                    safe.append(c)
+            assert cuts[stratum][f"{rule}_cut"] == (min(safe) if safe else None)
+    assert cuts["en"]["symbol_share_cut"] is not None and cuts[None]["symbol_share_cut"] is None
+
+
+def test_verdicts(spark):
+    docs, labels, rows = _synthetic(spark)
+    got = {r["doc_id"]: r for r in rules.judge(docs, labels).collect()}
+    assert len(got) == len(rows)
+    rejected_good = [d for d, _, lang, *_ in rows if lang and d % 5 and not got[d]["kept"]]
+    assert len(rejected_good) <= 0.005 * 4 * 4640
+    assert not any(got[d]["kept"] for d, _, lang, *_ in rows if lang and d % 5 == 0)
+    assert all(got[d]["kept"] for d, _, lang, *_ in rows if lang is None)
+
+
+def test_query_columns_and_base_rule(spark):
+    got = rules.op4_risk_controlled_rules(spark, SF_CHECK)
+    assert got.columns == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                           "base_failed", "kept"]
+    for r in got.collect():
+        assert r["base_failed"] == (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"])
+        assert not (r["kept"] and r["base_failed"])
