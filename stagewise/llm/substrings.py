@@ -1,8 +1,9 @@
 """Operator 3: repeated passages by content-defined chunking.
 
 A gear hash rolls over the bytes of a text (32-bit, so it depends on the last
-32 bytes only); a chunk ends where its top bits are zero, but not within
-``least`` bytes of the last end, and at ``most`` bytes at the latest.  Ends
+32 bytes only); a chunk ends where its top bits are zero at the end of a word,
+but not within ``least`` bytes of the last end, and at ``most`` bytes at the
+latest (between two characters).  Ends
 depend on content, so an insertion shifts chunks without changing those
 around it.  Chunks are compared by a 128-bit digest; the first occurrence (by
 doc_id, then place) stays, later ones are repeats.
@@ -49,25 +50,34 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+# ASCII white space, and the byte that stands between texts
+_AFTER_WORD = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32, 255])
+
+
 def chunk_ends(bodies: list[bytes], bits: int, least: int, most: int) -> list[list[int]]:
     """The ends of each text's chunks."""
     gap = b"\xff" * WINDOW
-    h = gear_hashes(np.frombuffer(gap.join([b"", *bodies, b""]), np.uint8))
-    hits = np.flatnonzero(h >> np.uint32(32 - bits) == 0) + 1
+    data = np.frombuffer(gap.join([b"", *bodies, b""]), np.uint8)
+    hits = np.flatnonzero((gear_hashes(data)[:-1] >> np.uint32(32 - bits) == 0) & _AFTER_WORD[data[1:]]) + 1
     out, at = [], WINDOW
     for body in bodies:
         lo, hi = np.searchsorted(hits, [at + 1, at + len(body)])
         ends, last = [], 0
-        for hit in (hits[lo:hi] - at).tolist():
-            while hit - last > most:
+
+        def force(upto: int) -> None:
+            nonlocal last
+            while upto - last > most:
                 last += most
+                while body[last] & 0xC0 == 0x80:          # inside a character
+                    last -= 1
                 ends.append(last)
+
+        for hit in (hits[lo:hi] - at).tolist():
+            force(hit)
             if hit - last >= least:
                 ends.append(hit)
                 last = hit
-        while len(body) - last > most:
-            last += most
-            ends.append(last)
+        force(len(body))
         if last < len(body):
             ends.append(len(body))
         out.append(ends)
@@ -75,7 +85,7 @@ def chunk_ends(bodies: list[bytes], bits: int, least: int, most: int) -> list[li
     return out
 
 
-def chunks(docs: DataFrame, bits: int = 5, least: int = 24, most: int = 512) -> DataFrame:
+def chunks(docs: DataFrame, bits: int = 2, least: int = 32, most: int = 512) -> DataFrame:
     """(doc_id, text) as chunks: doc_id, seq, start, size (bytes), words (that
     start in it), d1, d2 (digest)."""
     names = ["doc_id", "seq", "start", "size", "words", "d1", "d2"]
@@ -119,7 +129,7 @@ def _copies(texts: DataFrame) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 20, key: str = "doc_id", text: str = "text",
-                      bits: int = 5, least: int = 24) -> DataFrame:
+                      bits: int = 2, least: int = 32) -> DataFrame:
     """One row per repeated passage: doc_id (the later document), start and
     size (bytes of its UTF-8 text), words, first_doc_id (a document that keeps
     it), exact_copy (the whole text equals that of first_doc_id)."""

@@ -9,7 +9,10 @@ order brings equal beginnings together) with a range exchange whose keys
 include the document, so a crowded beginning spreads over partitions.  Each
 suffix is compared with its neighbour before it and with the first of its
 group; where the first ``depth`` words agree, the match is extended word by
-word to the left and to the right in both texts.
+word to the left and to the right in both texts, by at most ``window +
+anchor`` words beyond its outermost kept suffixes.  (Where it goes on, kept
+suffixes follow there, and their matches, perhaps with other documents, are
+rows of their own.)
 
 ``depth = min_words - window + 1``: a common passage of ``min_words`` words has
 a kept position among its first ``window`` words, with ``depth`` words after.
