@@ -35,10 +35,24 @@ def _hashes(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
     return df.select(F.col(key).cast("long").alias(name), F.transform(words, lambda w: F.xxhash64(w)).alias("h"))
 
 
-def _seed(mask: int) -> Column:
-    """The seed of a mask at place i of the array h."""
-    places = [k for k, c in enumerate(MASKS[mask]) if c == "1"]
-    return F.expr(f"xxhash64({mask}, {', '.join(f'get(h, i + {k})' for k in places)})")
+def _seeds() -> Column:
+    """The seeds of all masks at place i of the array h, in the masks' order:
+    the hashes of the words that count, each rotated by its own number of bits."""
+    def rotated(place: int, bits: int) -> str:
+        x = f"get(h, i + {place})"
+        return f"(shiftleft({x}, {bits}) | shiftrightunsigned({x}, {64 - bits}))" if bits else x
+    return F.array(*(F.expr(" ^ ".join(rotated(k, 7 * n) for n, k in enumerate(
+        k for k, c in enumerate(mask) if c == "1"))) for mask in MASKS))
+
+
+def _placed(hashed: DataFrame, key: str) -> DataFrame:
+    """(key, h) with a row per place and mask: i, mask, seed (null where the
+    mask ends beyond the text).  Generators keep each seed a computed column,
+    so that the tests on it stay small enough to be compiled."""
+    spans = F.element_at(F.array(*(F.lit(len(m)) for m in MASKS)), F.col("mask") + 1)
+    return (hashed.where(F.size("h") > 0).select(key, "h", F.posexplode("h").alias("i", "_h"))
+            .select(key, "h", "i", F.posexplode(_seeds()).alias("mask", "seed"))
+            .where(F.col("i") + spans <= F.size("h")))
 
 
 def _around(least: int, most: int) -> Column:
@@ -51,12 +65,8 @@ def _longest() -> int:
 
 def seeds(items: DataFrame) -> DataFrame:
     """All seeds of (item_id, h): item_id, mask, seed, item_at, item_words, around."""
-    placed = items.where(F.size("h") > 0).select("item_id", "h", F.posexplode("h").alias("i", "_h"))
-    each = F.array(*(F.when(F.col("i") + len(m) <= F.size("h"), F.struct(F.lit(k).alias("mask"), _seed(k).alias("seed")))
-                     for k, m in enumerate(MASKS)))
-    return (placed.select("item_id", "i", "h", F.explode(F.array_compact(each)).alias("s"))
-            .select("item_id", F.col("s.mask").alias("mask"), F.col("s.seed").alias("seed"),
-                    F.col("i").alias("item_at"), F.size("h").alias("item_words"),
+    return (_placed(items, "item_id")
+            .select("item_id", "mask", "seed", F.col("i").alias("item_at"), F.size("h").alias("item_words"),
                     _around(REACH, _longest() + REACH).alias("item_around")))
 
 
@@ -74,11 +84,12 @@ def bit_set(seeded: DataFrame, bits: int = BITS) -> Column:
         .scalar())
 
 
-def _marked(bits: str, seed: str, size: int = BITS) -> str:
-    """SQL: both bits of a seed are set."""
-    def one(x: str) -> str:
-        return f"getbit({bits}[cast(shiftright({x}, 6) & {(1 << (size - 6)) - 1} as int)], cast({x} & 63 as int)) = 1"
-    return f"({one(seed)} and {one(f'shiftright({seed}, 32)')})"
+def _marked(bits: Column, size: int = BITS) -> Column:
+    """Both bits of the column seed are set."""
+    def one(x: str) -> Column:
+        word = F.expr(f"cast(shiftright({x}, 6) & {(1 << (size - 6)) - 1} as int)")
+        return F.getbit(F.get(bits, word), F.expr(f"cast({x} & 63 as int)")) == 1
+    return one("seed") & one("shiftright(seed, 32)")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id", text: str = "text",
@@ -88,16 +99,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str
     agree in it), run_words, hits (verified seed hits)."""
     items = seeds(_hashes(benchmark, item, text, "item_id"))
     items = staged(items, "benchmark-seeds")
-    placed = (_hashes(docs, key, text, "doc_id").select("doc_id", "h", F.posexplode("h").alias("i", "_h"))
-              .select("doc_id", "h", "i", *(_seed(k).alias(f"s{k}") for k in range(len(MASKS)))))
-    placed = placed.withColumn("bits", bit_set(items))
-    every = [f"if(i + {len(m)} <= size(h) and {_marked('bits', f's{k}')}, named_struct('mask', {k}, 'seed', s{k}), null)"
-             for k, m in enumerate(MASKS)]
-    some = " or ".join(f"(i + {len(m)} <= size(h) and {_marked('bits', f's{k}')})" for k, m in enumerate(MASKS))
-    found = (placed.where(F.expr(some))
-             .select("doc_id", "i", _around(REACH, _longest() + REACH).alias("around"),
-                     F.explode(F.expr(f"array_compact(array({', '.join(every)}))")).alias("s"))
-             .select("doc_id", "i", "around", F.col("s.mask").alias("mask"), F.col("s.seed").alias("seed")))
+    found = (_placed(_hashes(docs, key, text, "doc_id"), "doc_id").where(_marked(bit_set(items)))
+             .select("doc_id", "i", "mask", "seed", _around(REACH, _longest() + REACH).alias("around")))
     # agreement place by place around the seed; a run of ``w`` words begins at place o (from 1)
     agree = F.expr("transform(zip_with(around, item_around, (a, b) -> a = b), x -> if(x, 1, 0))")
     w = F.least(F.lit(span), F.col("item_words"))
