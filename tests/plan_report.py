@@ -24,7 +24,7 @@ def shape(plan: str) -> dict:
 
 def main() -> None:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    import __spark_entry__ as E
+    from stagewise.plans import registry as E
     from stagewise.session import get_spark
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = get_spark("local[8]")
