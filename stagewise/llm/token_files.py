@@ -122,8 +122,12 @@ def _runs(n: np.ndarray) -> np.ndarray:
 
 
 def _filesystem(path: str):
+    """A path in the shared folder as tasks see it: a mounted folder, or a store
+    that pyarrow reaches by its address."""
     from pyarrow import fs
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
 def _write(path: str, body: bytes) -> None:

@@ -42,6 +42,7 @@ SHARED = 2           # orders up to this are shared by the classes
 DISCOUNT = 0.75
 RUN = 3              # words in a run
 CLIP = 20.0          # most that one word counts
+SLICE = 20_000       # words whose n-grams are held at a time
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -50,7 +51,7 @@ def letter_words(text: bytes) -> list[str]:
     return _LETTERS.findall(text.decode("utf-8", "replace").lower())
 
 
-def _places(words: list[str]):
+def _places(words: list[str], longest: int = ORDER):
     """The places of the words (after a start sign, up to and with an end
     sign): for each order the keys of the n-gram that ends there, of its
     prefix, and whether it lies in its word; and the word's index."""
@@ -61,9 +62,9 @@ def _places(words: list[str]):
     depth = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     real = np.flatnonzero(depth > 0)
     symbols, key, keys, inside = mixed(points + np.uint64(1)), np.zeros(len(points), np.uint64), [], []
-    for order in range(1, ORDER + 1):
+    for order in range(1, longest + 1):
         back = np.zeros(len(points), np.uint64)
-        back[order - 1:] = symbols[: len(points) - order + 1]
+        back[order - 1:] = symbols[: max(0, len(points) - order + 1)]
         key = key * _MULT + back                             # the newest character first
         keys.append(mixed(key + np.uint64(order)))
         inside.append(depth[real] >= order - 1)
@@ -71,66 +72,63 @@ def _places(words: list[str]):
     return [k[real] for k in keys], prefixes, inside, index[real]
 
 
-def _counted(words: Counter, orders: range) -> tuple[np.ndarray, ...]:
-    """(order, key, prefix key, suffix key, count) of the n-grams of counted words."""
-    if not words:
-        return tuple(np.empty(0, t) for t in (np.int32, np.uint64, np.uint64, np.uint64, np.int64))
-    names = list(words)
-    weight = np.fromiter(words.values(), np.int64, len(names))
-    keys, prefixes, inside, index = _places(names)
-    parts = []
-    for order in orders:
-        ok = inside[order - 1]
-        key, first, back = np.unique(keys[order - 1][ok], return_index=True, return_inverse=True)
-        n = np.bincount(back, weights=weight[index][ok], minlength=len(key)).astype(np.int64)
-        zero = np.zeros(len(key), np.uint64)
-        parts.append((np.full(len(key), order, np.int32), key,
-                      prefixes[order - 1][ok][first],
-                      keys[order - 2][ok][first] if order > 1 else zero, n))
-    return tuple(np.concatenate(x) for x in zip(*parts))
-
-
-def _batch(order, key, prefix, suffix, *counts) -> pa.RecordBatch:
-    names = ["o", "key", "prefix", "suffix", "toxic", "ordinary"][: 4 + len(counts)]
-    if len(counts) == 1:
-        names[4] = "n"
-    return pa.RecordBatch.from_arrays(
-        [pa.array(order, pa.int32()), *(pa.array(x.view(np.int64)) for x in (key, prefix, suffix)),
-         *(pa.array(c, pa.int64()) for c in counts)], names=names)
+def _sliced(words: list) -> Iterator[list]:
+    """Bounded slices: every place of a word takes some hundred bytes of keys."""
+    for at in range(0, len(words), SLICE):
+        yield words[at: at + SLICE]
 
 
-def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct n-grams up to one order above the shared ones, of all texts."""
-    words: Counter = Counter()
-    seen: Counter = Counter()
-    for block in gathered(batches):
-        for body in raw(block.column("text")):
-            seen.update(body.split())
-        if len(seen) > 300_000:
-            _letters_of(seen, words)
-            seen.clear()
-        if len(words) > 300_000:
-            yield _batch(*_counted(words, range(1, SHARED + 2)))
-            words.clear()
-    _letters_of(seen, words)
-    yield _batch(*_counted(words, range(1, SHARED + 2)))
+def _rows(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(v.view(np.int64) if v.dtype == np.uint64 else v) for v in columns.values()], names=list(columns))
 
 
-def _letters_of(seen: Counter, words: Counter) -> None:
-    for body, n in seen.items():
-        for w in letter_words(body):
-            words[w] += n
+def _shared_kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of all texts up to one order above the shared ones."""
+    known: set[bytes] = set()
+    held = [np.empty((3, 0), np.uint64) for _ in range(SHARED + 1)]
+    for block in gathered(batches):
+        new = set().union(*(body.split() for body in raw(block.column("text")))) - known
+        if len(known) > 400_000:                             # forgetting costs time, not kinds
+            known.clear()
+        known |= new
+        words = list({x for w in new for x in letter_words(w)})
+        for part in _sliced(words):
+            keys, prefixes, inside, _ = _places(part, SHARED + 1)
+            for o in range(SHARED + 1):
+                ok = inside[o]
+                rows = np.stack([keys[o][ok], prefixes[o][ok], (keys[o - 1] if o else np.zeros_like(keys[0]))[ok]])
+                rows = np.concatenate([held[o], rows], 1)
+                held[o] = rows[:, np.unique(rows[0], return_index=True)[1]]
+    for o, rows in enumerate(held):
+        yield _rows({"o": np.full(rows.shape[1], o + 1, np.int32), "key": rows[0], "prefix": rows[1], "suffix": rows[2]})
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the n-grams above the shared orders, by class."""
+    tallies = {0: Counter(), 1: Counter()}
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for label, tally in tallies.items():
+            for words in _sliced(list(tally)):
+                weight = np.fromiter((tally[w] for w in words), np.int64, len(words))
+                keys, prefixes, inside, index = _places(words)
+                for o in range(SHARED, ORDER):
+                    ok = inside[o]
+                    key, first, back = np.unique(keys[o][ok], return_index=True, return_inverse=True)
+                    n = np.bincount(back, weights=weight[index][ok], minlength=len(key)).astype(np.int64)
+                    none = np.zeros(len(n), np.int64)
+                    yield _rows({"o": np.full(len(key), o + 1, np.int32), "key": key, "prefix": prefixes[o][ok][first],
+                                 "suffix": keys[o - 1][ok][first], "toxic": n if label else none,
+                                 "ordinary": none if label else n})
+            tally.clear()
+
     for block in gathered(batches):
-        tallies = {0: Counter(), 1: Counter()}
         for body, label in zip(raw(block.column("text")), block.column("toxic").to_pylist()):
             tallies[label].update(letter_words(body))
-        for label, words in tallies.items():
-            o, key, prefix, suffix, n = _counted(words, range(SHARED + 1, ORDER + 1))
-            none = np.zeros(len(n), np.int64)
-            yield _batch(o, key, prefix, suffix, *((n, none) if label else (none, n)))
+        if sum(map(len, tallies.values())) > 300_000:
+            yield from flush()
+    yield from flush()
 
 
 class Model:
@@ -178,15 +176,24 @@ class Model:
         """log P(word | toxic) - log P(word | ordinary) of each word."""
         if not words or not len(self.key):
             return np.zeros(len(words))
+        return np.concatenate([self._ratios(part) for part in _sliced(words)])
+
+    def _ratios(self, words: list[str]) -> np.ndarray:
         keys, prefixes, inside, index = _places(words)
-        logp = np.full((len(index), 2), self.floor, np.float32)
-        for order in range(1, ORDER + 1):
-            at = np.flatnonzero(inside[order - 1])
+        logp = np.zeros((len(index), 2), np.float32)
+        open_ = np.arange(len(index))                        # places not found at a higher order
+        for order in range(ORDER, 0, -1):
+            here = inside[order - 1][open_]
+            at = open_[here]
             place, hit = _find(self.key, keys[order - 1][at])
+            logp[at[hit]] += self.logp[place[hit]]
+            lost = at[~hit]
             if order > 1:
-                back, known = _find(self.key, prefixes[order - 1][at])
-                logp[at] += np.where(known[:, None], self.logb[back], 0)
-            logp[at[hit]] = self.logp[place[hit]]
+                back, known = _find(self.key, prefixes[order - 1][lost])
+                logp[lost[known]] += self.logb[back[known]]
+            else:
+                logp[lost] += self.floor
+            open_ = np.concatenate([open_[~here], lost])
         return np.bincount(index, weights=logp[:, 0] - logp[:, 1], minlength=len(words))
 
 
@@ -213,11 +220,17 @@ class _Ratios(dict):
             self.update(zip(new, (sums / n).tolist()))
 
 
+_WORKER: dict = {}
+
+
 def _evidence(docs: DataFrame, shared_model, keep: list[str]) -> DataFrame:
     """``keep`` columns with ``whole`` and ``run``: the mean log-ratio of the
     text's words, and that of its most toxic run of words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, ratios = shared_model.value, _Ratios()
+        model = shared_model.value
+        if _WORKER.get("model") is not model:                # one table per Python process and model
+            _WORKER.update(model=model, ratios=_Ratios())
+        ratios = _WORKER["ratios"]
         for block in gathered(batches):
             bodies = [body.split() for body in raw(block.column("text"))]
             ratios.learn(model, bodies)
@@ -251,7 +264,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 
 def score(docs: DataFrame, labels: DataFrame, held_out, key: str = "doc_id", text: str = "text",
-          label: str = "toxic", per_class: int = 20_000, cut: float = 0.7) -> DataFrame:
+          label: str = "toxic", per_class: int = 8_000, cut: float = 0.7) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted
     (1 if score >= cut), whole, run (the two length-normalised log-ratios).
 
@@ -268,15 +281,14 @@ def score(docs: DataFrame, labels: DataFrame, held_out, key: str = "doc_id", tex
     labelled = texts.join(F.broadcast(chosen), "doc_id")
 
     schema = "o int, key long, prefix long, suffix long"
-    shared = (map_arrow(texts.select("text"), _shared_counts, schema + ", n long")
-              .groupBy("o", "key").agg(F.first("prefix").alias("prefix"), F.first("suffix").alias("suffix"),
-                                       F.sum("n").alias("n")))
+    shared = (map_arrow(texts.select("text"), _shared_kinds, schema)
+              .groupBy("o", "key").agg(F.first("prefix").alias("prefix"), F.first("suffix").alias("suffix")))
     own = (map_arrow(labelled.where(~F.col("check")).select("text", "toxic"), _class_counts,
                      schema + ", toxic long, ordinary long")
            .groupBy("o", "key").agg(F.first("prefix").alias("prefix"), F.first("suffix").alias("suffix"),
                                     F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
            .where(F.expr("o <= 4 or toxic + ordinary >= 2")))
-    # shared: runs of three characters (bounded by the scripts in use); own: by the sample
+    # shared: kinds of three characters (bounded by the scripts in use); own: by the sample
     frames = [f.toPandas() for f in (shared, own)]
     for f in frames:
         for c in ("key", "prefix", "suffix"):
