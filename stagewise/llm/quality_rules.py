@@ -118,8 +118,8 @@ def cutoffs(shared: DataFrame, labels: DataFrame, key: str = "doc_id", label: st
                     *(F.sum((F.col(r) > c).cast("int")).cast("double").alias(f"k{i}") for i, (r, c) in enumerate(grid))))
     tests = held.agg((F.count_distinct(F.coalesce("stratum", F.lit("")))    # a null stratum counts with ''
                       + F.max(F.col("stratum").isNull().cast("int"))) * len(grid)).scalar()
-    safe = tallies.select("stratum", F.col("n"), *(
-        (binomial_tail("n", f"k{i}", alpha) <= delta / tests).alias(f"safe{i}") for i in range(len(grid))))
+    safe = tallies.withColumn("tests", tests).select("stratum", *(
+        (binomial_tail("n", f"k{i}", alpha) <= delta / F.col("tests")).alias(f"safe{i}") for i in range(len(grid))))
     strictest = []
     for rule in candidates:
         cases = [F.when(F.col(f"safe{i}"), F.lit(float(c))) for i, (r, c) in enumerate(grid) if r == rule]
