@@ -22,9 +22,11 @@ connected component, so copies need not be written as pairs.
    shares a key.
 4. In every key the most central node (fewest unshared shingles) is compared
    first; verified links form components.  Keys whose nodes still lie in
-   different components then compare all such nodes whose sizes and unshared
-   shingles allow a link.  Every link between components is thus verified or
-   excluded by its bound; links inside a component need no test.
+   different components then compare all such nodes that a bound allows to
+   link: a node's shared shingles set bits of a bitmap, and every bit that one
+   node has and the other lacks is a shingle they do not share.  Every link
+   between components is thus verified or excluded by its bound; links inside
+   a component need no test.
 
 Verification intersects the shared shingles of both sets (56-bit hashes).
 
@@ -49,6 +51,7 @@ from .common import WordHashes, documents, gathered, map_arrow, mixed, raw, ship
 
 HEAVY = np.uint32(0xFFFFFFFF)
 K = 2
+SIGNATURE = 16        # 64-bit words of a node's bitmap
 
 
 def shingle_set(words: list[bytes], hashes: WordHashes, n: int) -> np.ndarray:
@@ -221,13 +224,17 @@ def _active(counted: DataFrame, percent: int) -> DataFrame:
         for lo, hi in zip(starts, np.append(starts[1:], len(node))):
             n = int(size[lo])
             if 100 * (hi - lo) >= percent * n:
+                bits = np.zeros(64 * SIGNATURE, np.uint8)
+                bits[(h[lo:hi] % np.uint64(64 * SIGNATURE)).astype(np.int64)] = 1
                 rows.append({"node": int(node[lo]), "n": n, "u": n - int(hi - lo), "h": h[lo:hi].view(np.int64),
+                             "bits": np.packbits(bits).view(np.int64),
                              "counts": np.minimum(count[lo:hi], 0x7FFFFFFF).astype(np.int32)})
         return pa.Table.from_pylist(rows, schema=pa.schema(
             [("node", pa.int64()), ("n", pa.int32()), ("u", pa.int32()), ("h", pa.list_(pa.int64())),
-             ("counts", pa.list_(pa.int32()))]))
+             ("bits", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))]))
 
-    return counted.groupBy("dest").applyInArrow(one, "node long, n int, u int, h array<long>, counts array<int>")
+    return counted.groupBy("dest").applyInArrow(one, 
+        "node long, n int, u int, h array<long>, bits array<long>, counts array<int>")
 
 
 def _keys(active: DataFrame, percent: int, often: int, few: int) -> DataFrame:
@@ -319,10 +326,12 @@ def join(docs: DataFrame, percent: int = 80, words: int = 5, key: str = "doc_id"
     rooted = _rooted(index, roots)
     open_keys = (rooted.groupBy(*groups).agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
                  .select(*groups))
-    members = staged(rooted.join(open_keys, groups).select(*groups, "few", "node", "n", "u", "root"), "shingle-open")
-    left = members.select(*groups, *(F.col(c).alias(f"{c}_x") for c in ("few", "node", "n", "u", "root")))
-    right = members.select(*groups, *(F.col(c).alias(f"{c}_y") for c in ("few", "node", "n", "u", "root")))
-    most = F.least(F.col("n_x") - F.col("u_x"), F.col("n_y") - F.col("u_y"))
+    members = staged(rooted.join(open_keys, groups).join(active.select("node", "bits"), "node")
+                     .select(*groups, "few", "node", "n", "u", "root", "bits"), "shingle-open")
+    left, right = (members.select(*groups, *(F.col(c).alias(f"{c}_{side}") for c in
+                                             ("few", "node", "n", "u", "root", "bits"))) for side in "xy")
+    lacks = lambda a, b: F.expr(" + ".join(f"bit_count(bits_{a}[{i}] & ~bits_{b}[{i}])" for i in range(SIGNATURE)))
+    most = F.least(F.col("n_x") - F.col("u_x") - lacks("x", "y"), F.col("n_y") - F.col("u_y") - lacks("y", "x"))
     allowed = ((F.col("root_x") < F.col("root_y")) & ~(F.col("single") & F.col("few_x") & F.col("few_y"))
                & (100 * most >= percent * (F.col("n_x") + F.col("n_y") - most)))
     pairs = (left.join(right, groups).where(allowed).select(F.col("node_x").alias("x"), F.col("node_y").alias("y"))
