@@ -211,8 +211,10 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, anchor: int = 8, win
     side = {c: sides.where(F.col("id").startswith(c)).select(
         F.expr("substring(id, 2)").alias("id"), *(F.col(x).alias(f"{x}_{c}") for x in ("left", "starts", "right", "ends")))
         for c in "ab"}
-    same = "size(filter(sequence(1, least(size({0}_a), size({0}_b))), i -> slice({0}_a, 1, i) = slice({0}_b, 1, i)))"
-    ext = lambda x: F.when(F.least(F.size(f"{x}_a"), F.size(f"{x}_b")) > 0, F.expr(same.format(x))).otherwise(0)
+    def ext(x: str):                                         # words that agree from the start of both lists
+        differs = F.expr(f"array_position(zip_with({x}_a, {x}_b, (p, q) -> p = q), false)")
+        return F.when(differs > 0, differs - 1).otherwise(F.least(F.size(f"{x}_a"), F.size(f"{x}_b"))).cast("int")
+
     full = (spans.join(side["a"], "id").join(side["b"], "id")
             .withColumn("l", ext("left")).withColumn("r", ext("right"))
             .withColumn("start", F.expr("starts_b[l]")).withColumn("size", F.expr("ends_b[r] - starts_b[l]"))
