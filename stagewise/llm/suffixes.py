@@ -1,27 +1,31 @@
 """Operator 7: repeated passages by a sparse suffix array over words.
 
-Of all word positions only minimisers are kept: the least hash of an
-``anchor``-word run among ``window`` neighbouring runs.  The choice depends on
-the words alone, so equal passages of ``window + anchor - 1`` words keep the
-same positions.  The kept suffixes are sorted (by hashes of their first
-``anchor`` words, of the words up to ``depth``, and of as many again: any total
-order brings equal beginnings together) with a range exchange whose keys
-include the document, so a crowded beginning spreads over partitions.  Each
-suffix is compared with its neighbour before it and with the first of its
-group; where the first ``depth`` words agree, the match is extended word by
-word to the left and to the right in both texts, by at most ``window +
-anchor`` words beyond its outermost kept suffixes.  (Where it goes on, kept
-suffixes follow there, and their matches, perhaps with other documents, are
-rows of their own.)
-
-``depth = min_words - window + 1``: a common passage of ``min_words`` words has
-a kept position among its first ``window`` words, with ``depth`` words after.
+Every run of ``min_words`` words has one kept suffix: the least hash of an
+``anchor``-word run among the first ``window`` places (the first of equals).
+The choice depends on the words alone, so equal runs keep the same one, and
+``depth = min_words - window + 1`` words of the run follow it at least.  A kept
+suffix stands for all neighbouring runs that keep it.  The suffixes are sorted
+by a hash of their first ``depth`` words, with a range exchange whose keys
+include the document, so a crowded beginning spreads over partitions; only
+those that begin like the one before or after them stay (and the first and last
+of a partition, whatever stands beside them).
+
+The runs of the suffixes that stay are then compared whole: the least document
+with each run is found by a min that combines in the map tasks, and every
+other document's run is paired with it.  So a document is reported if and only
+if a document of lesser id has ``min_words`` of its words in a row, whatever
+else begins alike.  Runs on one diagonal of two documents that overlap or touch
+are one passage; its words are compared by a second hash and it is extended
+word by word to the left and to the right in both texts, by at most ``window +
+anchor`` words.  (Where it goes on, either its runs do too, or an earlier
+document has them and rows of their own.)
 
 Equal texts are told apart first, by digest.  Positions, hashes and short
-contexts of the passages' ends are exchanged; each text is exchanged at most
-once.
+contexts of the passages' ends are exchanged; texts are exchanged twice, for
+the runs and for the contexts.
 
-Cases: null, empty and short texts have no suffix; passages inside one
+Cases: null, empty and short texts have no suffix; documents with a null
+doc_id have no place in the order and are left out; passages inside one
 document are not reported; equal rows count as one document; an empty table
 gives an empty result; extra columns are ignored."""
 
@@ -31,175 +35,172 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, documents, gathered, map_arrow, mixed, raw, staged, windows_hash
+from .common import _STEP, WordHashes, documents, gathered, map_arrow, mixed, raw, staged
 from .substrings import _copies
 
-SUFFIX = "doc_id long, pos int, k1 long, k2 long, k3 long"
+SUFFIX = "doc_id long, words int, first int, runs int, k long"
 
 
-def minimisers(keys: np.ndarray, window: int) -> np.ndarray:
-    """Places of the least key in every run of ``window`` keys (the first of equals)."""
-    if not len(keys):
-        return np.empty(0, np.int64)
-    if len(keys) <= window:
-        return np.array([int(keys.argmin())])
-    runs = np.lib.stride_tricks.sliding_window_view(keys, window)
-    return np.unique(runs.argmin(1) + np.arange(len(runs)))
+def runs_hash(h: np.ndarray, n: int) -> np.ndarray:
+    """``windows_hash`` by doubling: the same values in some 2 log n steps."""
+    if len(h) < n:
+        return np.empty(0, np.uint64)
+    out, done, block, size, factor = h[:0], 0, h, 1, int(_STEP)
+    while True:
+        if n & 1:
+            out = out[: len(block) - done] * np.uint64(factor) + block[done:] if done else block
+            done += size
+        n >>= 1
+        if not n:
+            return mixed(out)
+        block = block[:-size] * np.uint64(factor) + block[size:]
+        factor, size = factor * factor % 2**64, 2 * size
 
 
-def suffixes(docs: DataFrame, anchor: int, window: int, depth: int) -> DataFrame:
-    """The kept suffixes of (doc_id, text)."""
+def suffixes(docs: DataFrame, min_words: int, anchor: int, window: int) -> DataFrame:
+    """The kept suffixes of (doc_id, text): the text's words, the place of the
+    first run that keeps it, how many runs do, and a hash of its beginning."""
+    depth = min_words - window + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, rest = WordHashes(), depth - anchor
-        for block in gathered(batches, most_rows=1024, most_bytes=4 << 20):
+        hashes = WordHashes()
+        for block in gathered(batches, most_rows=512, most_bytes=1 << 20):
             cols: list[list[np.ndarray]] = [[], [], [], [], []]
             for i, body in enumerate(raw(block.column("text"))):
                 words = body.split()
-                if len(words) < depth:
+                n = len(words) - min_words + 1
+                if n < 1:
                     continue
                 h = hashes.of(words)
-                first = windows_hash(h, anchor)
-                at = minimisers(first, window)
-                at = at[at + depth <= len(h)]               # a whole beginning must follow
-                more = windows_hash(h, rest) if rest else mixed(np.arange(len(h) + 1, dtype=np.uint64) * np.uint64(0))
-                far = windows_hash(h, depth)
-                third = at + depth
-                ok = third + depth <= len(h)
-                k3 = np.where(ok, far[np.minimum(third, len(far) - 1)], np.uint64(0))
-                for col, x in zip(cols, (np.full(len(at), i), at, first[at], more[at + anchor] if rest else more[at], k3)):
+                at = np.lib.stride_tricks.sliding_window_view(runs_hash(h, anchor), window)[:n].argmin(1) + np.arange(n)
+                first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+                for col, x in zip(cols, (np.full(len(first), i), np.full(len(first), len(h)), first, np.diff(np.append(first, n)),
+                                         runs_hash(h, depth)[at[first]])):
                     col.append(x)
             if cols[0]:
-                doc, pos, k1, k2, k3 = (np.concatenate(c) for c in cols)
+                doc, size, first, runs, k = (np.concatenate(c) for c in cols)
                 yield pa.RecordBatch.from_arrays(
-                    [block.column("doc_id").combine_chunks().take(pa.array(doc)), pa.array(pos.astype(np.int32)),
-                     *(pa.array(k.astype(np.uint64).view(np.int64)) for k in (k1, k2, k3))],
-                    names=["doc_id", "pos", "k1", "k2", "k3"])
+                    [block.column("doc_id").combine_chunks().take(pa.array(doc)),
+                     *(pa.array(x.astype(np.int32)) for x in (size, first, runs)), pa.array(k.view(np.int64))],
+                    names=["doc_id", "words", "first", "runs", "k"])
 
     return map_arrow(docs.select("doc_id", "text"), run, SUFFIX)
 
 
-PAIR = "kind int, part int, k1 long, k2 long, b long, pos_b int, a long, pos_a int"
+def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted suffixes, those that begin like a neighbour, and the
+    partition's first and last."""
+    held = None                                             # the last suffix so far, and whether it stays
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = batch.column("k").to_numpy()
+        same = np.append(held is None or held[0].column("k")[0].as_py() == k[0], k[1:] == k[:-1])
+        if held is not None and (held[1] or same[0]):
+            yield held[0].select(["doc_id", "first", "runs"])
+        stays = same | np.append(same[1:], False)
+        yield batch.slice(0, len(k) - 1).filter(pa.array(stays[:-1])).select(["doc_id", "first", "runs"])
+        held = batch.slice(len(k) - 1), stays[-1]
+    if held is not None:
+        yield held[0].select(["doc_id", "first", "runs"])
+
+
+def _runs(stays: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
+    """(w, doc_id, pos, at) of every run of the suffixes that stay: its hash,
+    its place and the first place of an equal run in the document."""
+    asked = stays.groupBy("doc_id").agg(F.collect_list(F.struct("first", "runs")).alias("asked"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for block in gathered(batches, most_rows=256, most_bytes=1 << 20):
+            lists = block.column("asked").combine_chunks()
+            ends, flat = np.append(0, np.cumsum(lists.value_lengths().to_numpy())), lists.flatten()
+            first, runs = (flat.field(c).to_numpy() for c in ("first", "runs"))
+            cols: list[list[np.ndarray]] = [[], [], [], []]
+            for doc, body, a, b in zip(block.column("doc_id").to_pylist(), raw(block.column("text")), ends, ends[1:]):
+                w = runs_hash(hashes.of(body.split()), min_words)
+                mark = np.zeros(len(w) + 1, np.int64)
+                np.add.at(mark, first[a:b], 1)
+                np.add.at(mark, first[a:b] + runs[a:b], -1)
+                pos = np.flatnonzero(np.cumsum(mark[:-1]))
+                _, of_first, same = np.unique(w[pos], return_index=True, return_inverse=True)
+                for col, x in zip(cols, (w[pos].view(np.int64), np.full(len(pos), doc, np.int64), pos, pos[of_first][same])):
+                    col.append(x)
+            w, doc, pos, at = (np.concatenate(c) for c in cols)
+            yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(doc), pa.array(pos.astype(np.int32)),
+                                              pa.array(at.astype(np.int32))], names=["w", "doc_id", "pos", "at"])
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """kind 0: suffix (b, pos_b) and one before it, (a, pos_a), that begins
-    alike in another document.  kind 1 and 2: the partition's first and last
-    suffix (as b), for the pairs across partitions."""
-    part = TaskContext.get().partitionId()
-    names = ["kind", "part", "k1", "k2", "b", "pos_b", "a", "pos_a"]
+    return map_arrow(texts.join(asked, "doc_id").select("doc_id", "text", "asked"), run,
+                     "w long, doc_id long, pos int, at int")
 
-    def batch(kind, k1, k2, b, pos_b, a, pos_a) -> pa.RecordBatch:
-        n = len(b)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, part, np.int32)), pa.array(k1), pa.array(k2),
-             pa.array(b), pa.array(pos_b), pa.array(a), pa.array(pos_a)], names=names)
 
-    last = lead = None                     # the suffix before this batch; the first of its group
-    for chunk in batches:
-        doc, pos, k1, k2 = (chunk.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "pos", "k1", "k2"))
-        if not len(doc):
-            continue
-        if last is None:
-            yield batch(1, k1[:1], k2[:1], doc[:1], pos[:1], doc[:1], pos[:1])
-        else:
-            doc, pos, k1, k2 = (np.concatenate([[x], col]).astype(col.dtype) for x, col in zip(last, (doc, pos, k1, k2)))
-        new = np.append(True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]))
-        group = np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))
-        lead_doc, lead_pos = doc[group], pos[group]
-        if last is not None and lead is not None:           # the first group goes on from the batch before
-            head = group == 0
-            lead_doc, lead_pos = np.where(head, lead[0], lead_doc), np.where(head, lead[1], lead_pos).astype(pos.dtype)
-        cur = np.arange(1, len(doc))
-        beside = cur[~new[1:] & (doc[1:] != doc[:-1])]
-        yield batch(0, k1[beside], k2[beside], doc[beside], pos[beside], doc[beside - 1], pos[beside - 1])
-        far = cur[~new[1:] & (lead_doc[1:] != doc[1:]) & ((lead_doc[1:] != doc[:-1]) | (lead_pos[1:] != pos[:-1]))]
-        yield batch(0, k1[far], k2[far], doc[far], pos[far], lead_doc[far], lead_pos[far])
-        last, lead = (doc[-1], pos[-1], k1[-1], k2[-1]), (lead_doc[-1], lead_pos[-1])
-    if last is not None:
-        one = [np.array([x]) for x in last]
-        one[1] = one[1].astype(np.int32)
-        yield batch(2, one[2], one[3], one[0], one[1], one[0], one[1])
-
-
-def _across(spark, edges: list) -> list[tuple]:
-    """Pairs of a partition's first suffix and the last one of the partition before."""
-    first = {e["part"]: e for e in edges if e["kind"] == 1}
-    last = {e["part"]: e for e in edges if e["kind"] == 2}
-    parts, out = sorted(first), []
-    for before, part in zip(parts, parts[1:]):
-        x, y = last[before], first[part]
-        if (x["k1"], x["k2"]) == (y["k1"], y["k2"]) and x["b"] != y["b"]:
-            out.append((y["b"], y["pos_b"], x["b"], x["pos_b"]))
-    return out
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def _contexts(needed: DataFrame, texts: DataFrame, reach: int) -> DataFrame:
     """For each (doc_id, id, first, end): hashes and byte places of the words
-    up to ``reach`` before ``first`` and after ``end``."""
+    up to ``reach`` before ``first`` and after ``end``, and a hash of those between."""
     asked = needed.groupBy("doc_id").agg(F.collect_list(F.struct("id", "first", "end")).alias("asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in gathered(batches, most_rows=256, most_bytes=4 << 20):
-            rows = []
-            for body, asked in zip(raw(batch.column("text")), batch.column("asked").to_pylist()):
+        for block in gathered(batches, most_rows=64, most_bytes=1 << 20):
+            ids, inner, cols = [], [], {c: [] for c in ("left", "starts", "right", "ends")}
+            for body, asked in zip(raw(block.column("text")), block.column("asked")):
                 words = body.split()
                 h = hashes.of(words).view(np.int64)
-                starts, at = np.empty(len(words), np.int64), 0
-                for i, w in enumerate(words):
-                    starts[i] = at = body.index(w, at)
-                    at += len(w)
-                ends = starts + np.fromiter(map(len, words), np.int64, len(words))
-                for q in asked:
+                within = ~_SPACE[np.frombuffer(b" " + body + b" ", np.uint8)]
+                starts = np.flatnonzero(within[1:] & ~within[:-1])
+                ends = np.flatnonzero(within[:-1] & ~within[1:])
+                for q in asked.as_py():
                     f, e = q["first"], q["end"]
                     lo, hi = max(0, f - reach), min(len(words), e + reach)
-                    rows.append((q["id"], h[lo:f][::-1].tolist(), starts[lo:f + 1][::-1].tolist(),
-                                 h[e:hi].tolist(), ends[e - 1:hi].tolist()))
-            if rows:
-                yield pa.RecordBatch.from_pydict(
-                    dict(zip(("id", "left", "starts", "right", "ends"), zip(*rows))),
-                    schema=pa.schema([("id", pa.string()), *((c, pa.list_(pa.int64())) for c in
-                                                             ("left", "starts", "right", "ends"))]))
+                    ids.append(q["id"])
+                    inner.append(xxhash.xxh3_64_intdigest(b" ".join(words[f:e])) - 2**63)
+                    for c, x in zip(cols, (h[lo:f][::-1], starts[lo:f + 1][::-1], h[e:hi], ends[e - 1:hi])):
+                        cols[c].append(x)
+            if ids:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids), pa.array(inner, pa.int64()),
+                     *(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]).astype(np.int32)),
+                                                pa.array(np.concatenate(x))) for x in cols.values())],
+                    names=["id", "inner", *cols])
 
     return map_arrow(texts.join(asked, "doc_id").select("text", "asked"), run,
-                     "id string, left array<long>, starts array<long>, right array<long>, ends array<long>")
+                     "id string, inner long, left array<long>, starts array<long>, right array<long>, ends array<long>")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 50, anchor: int = 8, window: int = 24,
                       key: str = "doc_id", text: str = "text", partitions: int | None = None) -> DataFrame:
     """One row per passage of at least ``min_words`` words that a document
-    shares with a neighbour in the suffix order: doc_id (the greater id),
-    start, size (bytes of its UTF-8 text), words, first_word, other_doc_id,
-    other_first_word, exact_copy (the whole text is equal)."""
+    shares with the least document that has ``min_words`` words of it: doc_id
+    (the greater id), start, size (bytes of its UTF-8 text), words, first_word,
+    other_doc_id, other_first_word, exact_copy (the whole text is equal)."""
     spark = docs.sparkSession
-    depth = min_words - window + 1
-    if depth < anchor:
+    if min_words - window + 1 < anchor:
         raise ValueError("min_words must be at least window + anchor - 1")
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null")
     later = staged(_copies(texts), "suffix-copies").where("doc_id > first_doc_id").distinct()
-    kept = staged(suffixes(texts, anchor, window, depth), "suffixes").join(later.select("doc_id"), "doc_id", "left_anti")
-    order = ["k1", "k2", "k3", "doc_id", "pos"]
-    found = staged(map_arrow(kept.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-                             .select("doc_id", "pos", "k1", "k2"), _neighbours, PAIR), "suffix-pairs")
-    edges = found.where("kind > 0").collect()               # two per partition
-    pairs = found.where("kind = 0").select("b", "pos_b", "a", "pos_a")
-    across = _across(spark, edges)
-    if across:
-        pairs = pairs.unionByName(spark.createDataFrame(across, pairs.schema))
-    # the greater id is b; hits of one pair on one diagonal that follow within reach are one passage
-    sided = pairs.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a"),
-                         F.when(F.col("b") > F.col("a"), F.col("pos_b")).otherwise(F.col("pos_a")).alias("pos"),
-                         F.when(F.col("b") > F.col("a"), F.col("pos_b") - F.col("pos_a"))
-                         .otherwise(F.col("pos_a") - F.col("pos_b")).alias("shift")).distinct()
+    every = staged(suffixes(texts, min_words, anchor, window), "suffixes")
+    kept = every.join(later.select("doc_id"), "doc_id", "left_anti").select("doc_id", "first", "runs", "k")
+    order = ["k", "doc_id", "first"]
+    stays = map_arrow(kept.repartitionByRange(partitions, *order).sortWithinPartitions(*order), _beside,
+                      "doc_id long, first int, runs int")
+    runs = staged(_runs(stays, texts, min_words), "suffix-runs")
+    least = (runs.groupBy("w").agg(F.min("doc_id").alias("a"), F.min_by("at", "doc_id").alias("pos_a"), F.max("doc_id").alias("greatest"))
+             .where("a < greatest").select("w", "a", "pos_a"))
+    # runs of one pair on one diagonal that overlap or touch are one passage
+    sided = (runs.join(least, "w").where("doc_id > a")
+             .select(F.col("doc_id").alias("b"), "a", "pos", (F.col("pos") - F.col("pos_a")).alias("shift")))
     line = Window.partitionBy("b", "a", "shift").orderBy("pos")
-    spans = (sided.withColumn("new", (F.col("pos") > F.lag("pos").over(line) + depth).cast("int"))
+    spans = (sided.withColumn("new", (F.col("pos") > F.lag("pos").over(line) + min_words).cast("int"))
              .withColumn("run", F.sum(F.coalesce("new", F.lit(0))).over(line))
-             .groupBy("b", "a", "shift", "run").agg(F.min("pos").alias("first"), (F.max("pos") + depth).alias("end"))
+             .groupBy("b", "a", "shift", "run").agg(F.min("pos").alias("first"), (F.max("pos") + min_words).alias("end"))
              .withColumn("id", F.concat_ws(":", "b", "a", "shift", "run")))
     spans = staged(spans, "suffix-spans")
     sides = staged(_contexts(
@@ -209,13 +210,13 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, anchor: int = 8, win
                                   (F.col("end") - F.col("shift")).cast("int").alias("end"))),
         texts, window + anchor), "suffix-contexts")
     side = {c: sides.where(F.col("id").startswith(c)).select(
-        F.expr("substring(id, 2)").alias("id"), *(F.col(x).alias(f"{x}_{c}") for x in ("left", "starts", "right", "ends")))
+        F.expr("substring(id, 2)").alias("id"), *(F.col(x).alias(f"{x}_{c}") for x in ("inner", "left", "starts", "right", "ends")))
         for c in "ab"}
     def ext(x: str):                                         # words that agree from the start of both lists
         differs = F.expr(f"array_position(zip_with({x}_a, {x}_b, (p, q) -> p = q), false)")
         return F.when(differs > 0, differs - 1).otherwise(F.least(F.size(f"{x}_a"), F.size(f"{x}_b"))).cast("int")
 
-    full = (spans.join(side["a"], "id").join(side["b"], "id")
+    full = (spans.join(side["a"], "id").join(side["b"], "id").where("inner_a = inner_b")
             .withColumn("l", ext("left")).withColumn("r", ext("right"))
             .withColumn("start", F.expr("starts_b[l]")).withColumn("size", F.expr("ends_b[r] - starts_b[l]"))
             .select(F.col("b").alias("doc_id"), F.col("start"), F.col("size"),
@@ -224,8 +225,7 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, anchor: int = 8, win
                     (F.col("first") - F.col("l") - F.col("shift")).cast("long").alias("other_first_word"),
                     F.lit(False).alias("exact_copy"))
             .where(F.col("words") >= min_words).distinct())
-    n_words = F.size(F.split(F.btrim("text", F.lit(" \t\n\u000b\u000c\r")), r"[\x20\x09-\x0D]+")).cast("long")
-    whole = (texts.select("doc_id", n_words.alias("words")).join(later, "doc_id").where(F.col("words") >= min_words)
+    whole = (every.where("first = 0").select("doc_id", F.col("words").cast("long").alias("words")).join(later, "doc_id")
              .select("doc_id", F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("size"), "words",
                      F.lit(0).cast("long").alias("first_word"), F.col("first_doc_id").alias("other_doc_id"),
                      F.lit(0).cast("long").alias("other_first_word"), F.lit(True).alias("exact_copy")).distinct())

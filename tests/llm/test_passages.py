@@ -8,6 +8,7 @@ from conftest import SF_CHECK
 from llm_data import frame, prose
 
 from stagewise.llm import substrings, suffixes
+from stagewise.llm.common import windows_hash
 
 
 def test_gear_hash_rolls():
@@ -128,3 +129,28 @@ def test_suffixes_across_partitions(spark):
     rows = [(d, f"{' '.join(prose(rng, 9, 10**6))} {passage} {' '.join(prose(rng, 9, 10**6))}") for d in range(50)]
     got = suffixes.repeated_passages(frame(spark, rows), partitions=23).collect()
     assert {r["doc_id"] for r in got} == set(range(1, 50))
+
+
+def test_runs_hash_is_the_hash_of_windows():
+    h = np.random.default_rng(3).integers(0, 2**64, 300, np.uint64)
+    for n in (1, 2, 8, 27, 50, 64, 300, 301):
+        assert suffixes.runs_hash(h, n).tolist() == windows_hash(h, n).tolist()
+
+
+def test_suffixes_of_crowded_passages(spark):
+    """Many copies whose surroundings differ, and beginnings that only some share to the end."""
+    rng = random.Random(12)
+    passages = [prose(rng, n) for n in (50, 55, 60)]
+    short = prose(rng, 45)
+    passages += [prose(rng, 6) + short, short]               # 51 words with a tail that others have alone
+    rows, ids = [], list(range(1000))
+    rng.shuffle(ids)
+    for i, d in enumerate(ids):
+        p = passages[i // 200 if i < 600 else 3 if i < 620 else 4]
+        rows.append((d, " ".join([*prose(rng, rng.randint(1, 9), 10**6), *p, *prose(rng, rng.randint(1, 9), 10**6)])))
+    got = suffixes.repeated_passages(frame(spark, rows), partitions=7).collect()
+    assert {r["doc_id"] for r in got} == _brute_passages(rows, 50)
+    texts = {d: _words(t) for d, t in rows}
+    for r in got:
+        i, j, n = r["first_word"], r["other_first_word"], r["words"]
+        assert texts[r["doc_id"]][i:i + n] == texts[r["other_doc_id"]][j:j + n] and n >= 50
