@@ -1,27 +1,32 @@
 """Operator 3: repeated passages by content-defined chunking.
 
-A gear hash rolls over the bytes of a text (32-bit, so it depends on the last
-32 bytes only); a chunk ends where its top bits are zero at the end of a word,
-but not within ``least`` bytes of the last end, and at ``most`` bytes at the
-latest (between two characters).  Ends
-depend on content, so an insertion shifts chunks without changing those
-around it.  Chunks are compared by a 128-bit digest; the first occurrence (by
-doc_id, then place) stays, later ones are repeats.
-
-Runs of touching repeats are passages.  Only those of at least ``min_words``
-words count: a passage of 50 words loses part of a chunk at either end, and
-single short chunks repeat by chance.
+A gear hash rolls over the bytes of a text's words, joined by single spaces; at
+the end of a word its low 16 bits depend on the last 16 bytes only.  A chunk
+ends at the word end with the least hash of any ``RUN`` = 20 in a row, and at
+``most`` bytes at the latest (between two characters).  These ends depend on
+nothing but the words around them: of 50 equal words at most 8 have bytes
+before them in their hash, the least of the next 20 ends a chunk in both texts,
+the least of the last 20 does too, and all ends between are the same.  So the
+chunk with the 30th of the 50 words is the same in both texts, always.
+
+Chunks are compared by a 64-bit digest, which only chooses what is compared
+further.  Where a chunk also stands in another document, the runs of ``passage_words`` words whose 30th word it holds are
+compared whole (see ``runs``): the first document that has the run keeps it,
+and runs that overlap or touch are one passage.  So exactly the words in a run of
+50 that an earlier document has are repeats.  A document's passages do not
+overlap; the later one begins where the earlier one ends.
 
 Equal texts are told apart first, by digest, so that a large group of copies
-is chunked once and its other members are one whole-text passage each.  The
-chunk rows (digest, place, length; no text) are written once; counting them
-combines in the map tasks, and only digests seen twice are joined back, where
-Spark splits crowded digests.
+is compared once and its other members are one whole-text passage each, from
+``min_words`` words on.  The chunk rows (digest, place; no text) are written
+once; counting them combines in the map tasks, and only digests seen twice are
+joined back, where Spark splits crowded digests.
 
-Cases: null, empty and shorter texts than ``min_words`` words have no passage;
-equal rows, doc_ids included, count as one document; texts of any length are
-chunked whole, and an empty table gives an empty result; extra columns are
-ignored."""
+Cases: null, empty and shorter texts have no passage; documents with a null
+doc_id have no place in the order and are left out; white space between words
+does not count; equal rows, doc_ids included, count as one document; texts of
+any length are chunked whole, and an empty table gives an empty result; extra
+columns are ignored."""
 
 from __future__ import annotations
 
@@ -34,8 +39,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import documents, gathered, map_arrow, mixed, raw, staged
+from .runs import matched
 
-WINDOW = 32
+WINDOW, RUN = 32, 20
 # one random 32-bit number per byte; byte 255 (never in UTF-8) is zero and stands between texts
 GEAR = np.append((mixed(np.arange(1, 256, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32), np.uint32(0))
 
@@ -54,11 +60,27 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
 _AFTER_WORD = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32, 255])
 
 
-def chunk_ends(bodies: list[bytes], bits: int, least: int, most: int) -> list[list[int]]:
-    """The ends of each text's chunks."""
+def _least_ends(data: np.ndarray, run: int) -> np.ndarray:
+    """Places of the word ends that have the least hash of some ``run`` word
+    ends in a row of one text (the first of equals)."""
+    after = _AFTER_WORD[data]
+    ends = np.flatnonzero(after[1:] & ~after[:-1])
+    keys = mixed((gear_hashes(data)[ends] & np.uint32(0xFFFF)).astype(np.uint64))
+    if len(ends) < run:
+        return ends[:0]
+    text = np.cumsum(data == 255)[ends]                      # the same within a text only
+    rows = np.lib.stride_tricks.sliding_window_view(keys, run)
+    whole = np.flatnonzero(text[run - 1:] == text[:len(text) - run + 1])
+    return ends[np.unique(rows.argmin(1)[whole] + whole)]
+
+
+def chunk_ends(bodies: list[bytes], bits: int, least: int, most: int, run: int = 0) -> list[list[int]]:
+    """The ends of each text's chunks: at word ends with ``bits`` zeros in their
+    hash, or, with ``run``, with the least hash of any ``run`` in a row."""
     gap = b"\xff" * WINDOW
     data = np.frombuffer(gap.join([b"", *bodies, b""]), np.uint8)
-    hits = np.flatnonzero((gear_hashes(data)[:-1] >> np.uint32(32 - bits) == 0) & _AFTER_WORD[data[1:]]) + 1
+    hits = 1 + (_least_ends(data, run) if run else
+                np.flatnonzero((gear_hashes(data)[:-1] >> np.uint32(32 - bits) == 0) & _AFTER_WORD[data[1:]]))
     out, at = [], WINDOW
     for body in bodies:
         lo, hi = np.searchsorted(hits, [at + 1, at + len(body)])
@@ -85,37 +107,37 @@ def chunk_ends(bodies: list[bytes], bits: int, least: int, most: int) -> list[li
     return out
 
 
-def chunks(docs: DataFrame, bits: int = 2, least: int = 32, most: int = 512) -> DataFrame:
-    """(doc_id, text) as chunks: doc_id, seq, start, size (bytes), words (that
-    start in it), d1, d2 (digest)."""
-    names = ["doc_id", "seq", "start", "size", "words", "d1", "d2"]
+def chunks(docs: DataFrame, run_words: int = RUN, most: int = 512) -> DataFrame:
+    """(doc_id, text) as chunks: doc_id, total (words of the text), first and
+    words (the first word that starts in it, and how many do), digest;
+    chunks in which no word starts are left out."""
+    names = ["doc_id", "total", "first", "words", "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in gathered(batches, most_rows=1024, most_bytes=4 << 20):
-            bodies = raw(block.column("text"))
-            every = chunk_ends(bodies, bits, least, most)
-            n = np.array([len(e) for e in every])
-            ends = np.concatenate([np.array(e, np.int32) for e in every]) if n.sum() else np.zeros(0, np.int32)
-            first = np.cumsum(n) - n
-            seq = np.arange(n.sum()) - np.repeat(first, n)
-            start = np.where(seq == 0, 0, np.concatenate([[0], ends[:-1]]) if len(ends) else ends).astype(np.int32)
-            digests, words = [], []
-            for body, e in zip(bodies, every):
-                a = 0
-                for b in e:
-                    part = body[a:b]
-                    digests.append(xxhash.xxh3_128_digest(part))
-                    words.append(len(part.split()))
-                    a = b
-            d = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id").combine_chunks().take(pa.array(np.repeat(np.arange(len(n)), n))),
-                 pa.array(seq.astype(np.int32)), pa.array(start), pa.array(ends - start),
-                 pa.array(np.array(words, np.int32)), pa.array(np.ascontiguousarray(d[:, 0])),
-                 pa.array(np.ascontiguousarray(d[:, 1]))], names=names)
+        for block in gathered(batches, most_rows=512, most_bytes=1 << 20):
+            split = [body.split() for body in raw(block.column("text"))]
+            bodies = [b" ".join(words) for words in split]
+            doc, total, first, count, digests = [], [], [], [], []
+            for i, (words, body, ends) in enumerate(zip(split, bodies, chunk_ends(bodies, 0, 0, most, run_words))):
+                if not words:
+                    continue
+                starts = np.append(0, np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)[:-1])
+                at = np.searchsorted(starts, [0, *ends])
+                holds = np.flatnonzero(np.diff(at))
+                doc.append(np.full(len(holds), i))
+                total.append(np.full(len(holds), len(words)))
+                first.append(at[holds])
+                count.append(np.diff(at)[holds])
+                edges = [0, *ends]
+                digests += [xxhash.xxh3_64_intdigest(body[edges[c]:edges[c + 1]].lstrip(b" ")) for c in holds.tolist()]
+            if doc:
+                yield pa.RecordBatch.from_arrays(
+                    [block.column("doc_id").combine_chunks().take(pa.array(np.concatenate(doc))),
+                     *(pa.array(np.concatenate(x).astype(np.int32)) for x in (total, first, count)),
+                     pa.array(np.array(digests, np.uint64).view(np.int64))], names=names)
 
     return map_arrow(docs.select("doc_id", "text"), run,
-                     "doc_id long, seq int, start int, size int, words int, d1 long, d2 long")
+                     "doc_id long, total int, first int, words int, digest long")
 
 
 def _copies(texts: DataFrame) -> DataFrame:
@@ -129,31 +151,39 @@ def _copies(texts: DataFrame) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 20, key: str = "doc_id", text: str = "text",
-                      bits: int = 2, least: int = 32) -> DataFrame:
+                      passage_words: int = 50) -> DataFrame:
     """One row per repeated passage: doc_id (the later document), start and
     size (bytes of its UTF-8 text), words, first_doc_id (a document that keeps
     it), exact_copy (the whole text equals that of first_doc_id)."""
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    if passage_words < 2 * RUN + 10:                         # 8 words of foreign hashes and two runs
+        raise ValueError(f"passages must have at least {2 * RUN + 10} words")
+    texts = (docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+             .where("doc_id is not null"))
     copies = staged(_copies(texts), "copies")
-    later = copies.where("doc_id > first_doc_id").select("doc_id", "first_doc_id", "size")
-    table = staged(chunks(texts, bits=bits, least=least), "chunks")
-    own = table.join(later.select("doc_id"), "doc_id", "left_anti")
-    whole = (table.join(later, "doc_id", "left_semi").groupBy("doc_id").agg(F.sum("words").alias("words"))
-             .join(later.distinct(), "doc_id")
-             .select("doc_id", F.lit(0).alias("start"), "size", F.col("words").cast("long").alias("words"),
-                     "first_doc_id", F.lit(True).alias("exact_copy")))
-    firsts = (own.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "seq")).alias("first"))
-              .where("n > 1").select("d1", "d2", "first"))
-    repeats = (own.join(firsts, ["d1", "d2"])
-               .where("doc_id != first.doc_id")          # repeats inside one document are not copies
-               .select("doc_id", "seq", "start", "size", "words", F.col("first.doc_id").alias("first_doc_id")))
-    # touching repeats share seq minus their rank
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("seq"))
-    runs = (repeats.withColumn("run", F.col("seq") - rank).groupBy("doc_id", "run")
-            .agg(F.min("start").alias("start"), F.sum("size").cast("int").alias("size"),
-                 F.sum("words").alias("words"), F.min("first_doc_id").alias("first_doc_id"))
-            .where(F.col("words") >= min_words).drop("run").withColumn("exact_copy", F.lit(False)))
-    return runs.unionByName(whole.where(F.col("words") >= min_words))
+    later = copies.where("doc_id > first_doc_id").select("doc_id", "first_doc_id", "size").distinct()
+    table = staged(chunks(texts), "chunks")
+    whole = (table.where("first = 0").join(later, "doc_id").where(F.col("total") >= min_words)
+             .select("doc_id", F.lit(0).alias("start"), F.col("size").cast("int").alias("size"),
+                     F.col("total").cast("long").alias("words"), "first_doc_id", F.lit(True).alias("exact_copy")).distinct())
+    own = table.where(F.col("total") >= passage_words).join(later.select("doc_id"), "doc_id", "left_anti")
+    shared = (own.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("greatest"))
+              .where("least < greatest").select("digest"))
+    # the runs whose word RUN + 10 stands in the chunk
+    low = F.greatest(F.col("first") - (RUN + 9), F.lit(0))
+    high = F.least(F.col("first") + F.col("words") - (RUN + 9), F.col("total") - passage_words + 1)
+    stays = (own.join(shared, "digest").select("doc_id", low.alias("first"), (high - low).alias("runs")).where("runs > 0"))
+    found = matched(stays, texts, passage_words, 0)
+    # of overlapping passages the one that begins first stays whole
+    before = (Window.partitionBy("doc_id").orderBy("first_word", F.desc("words"), "other_doc_id", "other_first_word")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    end, end_word = F.col("start") + F.col("size"), F.col("first_word") + F.col("words")
+    cut = (found.withColumn("to", F.max(end).over(before)).withColumn("to_word", F.max(end_word).over(before))
+           .withColumn("at", F.greatest("start", "to")).withColumn("at_word", F.greatest("first_word", "to_word"))
+           .where(end_word > F.col("at_word"))
+           .select("doc_id", F.col("at").cast("int").alias("start"), (end - F.col("at")).cast("int").alias("size"),
+                   (end_word - F.col("at_word")).alias("words"), F.col("other_doc_id").alias("first_doc_id"),
+                   F.lit(False).alias("exact_copy")))
+    return cut.unionByName(whole)
 
 
 def without_passages(docs: DataFrame, passages: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from conftest import SF_CHECK
 from llm_data import frame, prose
 
-from stagewise.llm import substrings, suffixes
+from stagewise.llm import runs, substrings, suffixes
 from stagewise.llm.common import windows_hash
 
 
@@ -134,7 +134,7 @@ def test_suffixes_across_partitions(spark):
 def test_runs_hash_is_the_hash_of_windows():
     h = np.random.default_rng(3).integers(0, 2**64, 300, np.uint64)
     for n in (1, 2, 8, 27, 50, 64, 300, 301):
-        assert suffixes.runs_hash(h, n).tolist() == windows_hash(h, n).tolist()
+        assert runs.runs_hash(h, n).tolist() == windows_hash(h, n).tolist()
 
 
 def test_suffixes_of_crowded_passages(spark):
@@ -154,3 +154,37 @@ def test_suffixes_of_crowded_passages(spark):
     for r in got:
         i, j, n = r["first_word"], r["other_first_word"], r["words"]
         assert texts[r["doc_id"]][i:i + n] == texts[r["other_doc_id"]][j:j + n] and n >= 50
+
+
+def test_chunks_of_fifty_words_meet():
+    """The chunk with the 30th of 50 equal words is the same in both texts, also of one-letter words."""
+    rng = random.Random(13)
+    for trial in range(600):
+        letters = trial % 2 * 6
+        word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 1 + letters)))
+        same, bodies, chunk = [word() for _ in range(50)], [], []
+        for _ in range(2):
+            before = [word() for _ in range(rng.randint(0, 60))]
+            body = " ".join([*before, *same, *(word() for _ in range(rng.randint(0, 60)))]).encode()
+            bodies.append((body, len(" ".join([*before, *same[:29]]).encode()) + 1))
+        for (body, at), ends in zip(bodies, substrings.chunk_ends([b for b, _ in bodies], 0, 0, 512, substrings.RUN)):
+            edges = [0, *ends]
+            k = np.searchsorted(edges, at, "right")
+            chunk.append(body[edges[k - 1]:edges[k]])
+        assert chunk[0] == chunk[1]
+
+
+def test_chunk_dedup_matches_brute_force(spark):
+    """Many passages of 50 to 60 words, some whose middle an earlier document has alone."""
+    rng, rows, d = random.Random(14), [], 0
+    around = lambda p: " ".join([*prose(rng, rng.randint(0, 40)), *p, *prose(rng, rng.randint(0, 40))])
+    for trial in range(700):
+        p = prose(rng, rng.randint(49, 60))
+        for part in ([p[10:45]] if trial % 3 == 0 else []) + [p, p]:
+            rows.append((d, around(part)))
+            d += 1
+    texts, got = dict(rows), substrings.repeated_passages(frame(spark, rows)).collect()
+    assert {r["doc_id"] for r in got} == _brute_passages(rows, 50)
+    for r in got:
+        part = texts[r["doc_id"]].encode()[r["start"]: r["start"] + r["size"]].decode()
+        assert part in texts[r["first_doc_id"]] and len(part.split()) == r["words"]
