@@ -85,7 +85,7 @@ def _batches(batches: Iterator[pa.RecordBatch], dims: int, parts: int, size: int
     for batch in batches:
         for lo in range(0, batch.num_rows, size):
             some = batch.slice(lo, size)
-            yield some, matrix(some.column("q"), dims).reshape(some.num_rows, parts, -1)
+            yield some, matrix(some.column("q"), dims).reshape(some.num_rows, parts, dims // parts)
 
 
 def _summed(rows: DataFrame, books: np.ndarray, dims: int) -> np.ndarray:
@@ -124,7 +124,7 @@ def encode(vectors: DataFrame, parts: int = 8, entries: int = 16, rounds: int =
     if 4 * most * most * size**3 >= 2**62:
         raise ValueError("components are too large for distances in 64 bits")
     head = rows.orderBy(F.asc_nulls_last("vec_id"), "q").select("q").limit(entries).collect()
-    start = np.array([r["q"] + [0] * (dims - len(r["q"])) for r in head], np.int64).reshape(len(head), parts, -1)
+    start = np.array([r["q"] + [0] * (dims - len(r["q"])) for r in head], np.int64).reshape(len(head), parts, dims // parts)
     books = np.ascontiguousarray(start.transpose(1, 0, 2))
     for _ in range(rounds if head else 0):
         books = _summed(rows, books, dims)

@@ -22,13 +22,13 @@ def floors(vector: Column | str, scale: int) -> Column:
 
 
 def extent(df: DataFrame, q: str = "q") -> tuple[int, int, int, float]:
-    """Rows, longest vector, greatest component and greatest squared length (all
+    """Rows, longest vector (1 at least), greatest component and greatest squared length (all
     absolute), as one row fetched from Spark."""
     double = F.transform(q, lambda x: x.cast("double"))
     square = F.aggregate(double, F.lit(0.0), lambda a, x: a + x * x)
     r = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(q)).alias("dims"), F.max(square).alias("square"),
                F.max(F.array_max(F.transform(double, lambda x: F.abs(x)))).alias("most")).first()
-    return r["n"], r["dims"] or 0, int(r["most"] or 0), r["square"] or 0.0
+    return r["n"], max(1, r["dims"] or 0), int(r["most"] or 0), r["square"] or 0.0
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
