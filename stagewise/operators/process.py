@@ -145,15 +145,16 @@ def histogram(df: DataFrame, x: str, bins: int = 45) -> DataFrame:
 
 def box_stats(df: DataFrame, group: str, x: str, k: float = 1.5) -> DataFrame:
     """Box-plot numbers per group: quartiles and whiskers (the most extreme
-    values inside ``k``·IQR of the box), groups ordered by median.  Counted
-    values, not rows, are joined with their group's quartiles."""
-    values = df.select(group, F.col(x).cast("double").alias("_x")).distinct()
+    values inside ``k``·IQR of the box), groups ordered by median.  The counted
+    values behind the quartiles, not rows, are joined with their group's."""
     q = grouped_quantiles(df, [group], x, {"_q1": 0.25, "_med": 0.5, "_q3": 0.75}, [Q.n_values().alias("n")])
     iqr = F.col("_q3") - F.col("_q1")
-    w = (values.withColumnRenamed(group, "_g").join(q, F.col("_g").eqNullSafe(F.col(group)))
-         .groupBy(group, "n", "_q1", "_med", "_q3").agg(
+    values = Q.counted(df, [group], x).select(F.col("_k").alias("_g"), "_x")
+    w = (values.join(q.withColumn("_k", F.struct(group)), F.col("_g") == F.col("_k"))
+         .groupBy("_g", "n", "_q1", "_med", "_q3").agg(
              F.min(F.when(F.col("_x") >= F.col("_q1") - F.lit(k) * iqr, F.col("_x"))).alias("_wlo"),
-             F.max(F.when(F.col("_x") <= F.col("_q3") + F.lit(k) * iqr, F.col("_x"))).alias("_whi")))
+             F.max(F.when(F.col("_x") <= F.col("_q3") + F.lit(k) * iqr, F.col("_x"))).alias("_whi"))
+         .withColumn(group, F.col("_g")[group]))
     return w.select(group, "n", *[round_half_up(F.col(c), 1).alias(a) for c, a in
                                   [("_q1", "q1"), ("_med", "median"), ("_q3", "q3"),
                                    ("_wlo", "whisker_lo"), ("_whi", "whisker_hi")]]
@@ -162,11 +163,12 @@ def box_stats(df: DataFrame, group: str, x: str, k: float = 1.5) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, x: str, k: float = 1.5) -> DataFrame:
     """Upper fence ``q3 + k·IQR`` (1 decimal) and the number of values
-    strictly above it.  The quartiles are one row, joined to the values."""
+    strictly above it.  The quartiles are one row, joined to the counted values."""
     q = grouped_quantiles(df, [], x, {"_q1": 0.25, "_q3": 0.75})
     fence = q.select((F.col("_q3") + F.lit(k) * (F.col("_q3") - F.col("_q1"))).alias("_fence"))
-    return (df.select(F.col(x).cast("double").alias("_x")).crossJoin(F.broadcast(fence))     # one row
-            .agg(F.count_if(F.col("_x") > F.col("_fence")).alias("outliers"), F.max("_fence").alias("_fence"))
+    return (Q.counted(df, [], x).crossJoin(F.broadcast(fence))               # one row
+            .agg(F.coalesce(F.sum(F.when(F.col("_x") > F.col("_fence"), F.col("_n"))), F.lit(0)).alias("outliers"),
+                 F.max("_fence").alias("_fence"))
             .select("outliers", round_half_up(F.col("_fence"), 1).alias("threshold")))
 
 

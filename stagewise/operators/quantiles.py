@@ -2,20 +2,23 @@
 
 Spark's ``percentile`` merges all distinct values of a group in one task.
 Here values are counted first (one row per group and distinct value, combined
-in the map tasks; ties are one row), and a target rank is then found by
-narrowing, without ever gathering a group:
-
-1. values fall into buckets by a fixed, order-preserving function (about a
-   thousand per power of e, the same for every input), and running counts over
-   a group's buckets tell which bucket holds the rank;
-2. the values of that bucket fall into ``CELLS`` equal cells between its least
-   and greatest value, and running counts again tell the cell;
-3. the values of that cell are ranked by running counts.
-
-Nothing is sampled, capped or switched by size, and nothing is written: the
-counted values are one exchange that the steps share.  Group columns may be
-NULL (a group of its own), a group without values has NULL quantiles, and a
-frame without group columns always gives one row.
+in the map tasks; ties are one row), and a target rank is then found by radix
+selection on the 64 bits of the values, without ever gathering a group:
+
+1. a value's sign, exponent and mantissa make an integer that sorts as the value
+   does; its upper 22 bits are the cell, and running counts over a group's cells
+   tell which one holds the rank;
+2. the values of that cell fall into 2^21 cells by the next 21 bits, whatever
+   their distribution, and running counts again tell the cell;
+3. the last 21 bits tell the value.
+
+So a running count reads at most 2^22 rows per group (one per cell), and every
+step narrows by a fixed number of bits.  Nothing is sampled, capped or switched
+by size, and nothing is written: the counted values are one exchange that all
+steps read (NULL is a cell of its own with no weight, so that no step filters
+the input differently).  Group columns may be NULL (a group of its own), a group
+without values has NULL quantiles, NaN counts as the greatest value, and a frame
+without group columns always gives one row.
 """
 
 from __future__ import annotations
@@ -25,8 +28,9 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEPS = 1024          # buckets per power of e
-CELLS = 4096          # equal cells in a bucket
+SHIFTS = (42, 21, 0)          # bits below the cells of each step
+_NULL = -2**63                # no value has these bits
+_INF, _NAN = 0x7FF << 52, 0xFFF << 51
 
 
 # Aggregates over counted values (``_x`` with multiplicity ``_n``), for ``extra``.
@@ -46,14 +50,37 @@ def maximum() -> Column:
     return F.max("_x")
 
 
-def _located(counted: DataFrame, by: Sequence[str], order: str, rank: str) -> DataFrame:
-    """Rows of ``counted`` (with ``_n``) whose running count reaches ``rank``
-    (0-based), with the rank left inside the row as ``_r``."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.sum("_n").over(w)
-    return (counted.withColumn("_upto", upto)
-            .where((F.col("_upto") > F.col(rank)) & (F.col("_upto") - F.col("_n") <= F.col(rank)))
-            .withColumn("_r", F.col(rank) - (F.col("_upto") - F.col("_n"))))
+def ordered_bits(x: Column) -> Column:
+    """A long that sorts as the double ``x`` does: its magnitude is the IEEE
+    pattern (exponent above mantissa), its sign that of ``x``.  Never NULL."""
+    size = F.abs(x)
+    near = F.floor(F.log2(size)).cast("double")          # off by one next to powers of two
+    power = F.pow(F.lit(2.0), near)
+    exponent = F.greatest(near + F.when(size >= 2 * power, 1).when(size < power, -1).otherwise(0), F.lit(-1022.0))
+    mantissa = size / F.pow(F.lit(2.0), exponent)         # exact; below 1 for subnormal values
+    finite = (exponent.cast("long") + 1022) * F.lit(2**52) + (mantissa * F.lit(2.0**52)).cast("long")
+    magnitude = (F.when(F.isnan(x), F.lit(_NAN)).when(size == float("inf"), F.lit(_INF))
+                 .when(size == 0, F.lit(0)).otherwise(finite))
+    return F.coalesce(F.when(x < 0, -magnitude).otherwise(magnitude), F.lit(_NULL))
+
+
+def counted(df: DataFrame, keys: Sequence[str], x: str) -> DataFrame:
+    """``_k`` (the keys as one struct: NULL keys are equal inside it), ``_x`` and
+    its multiplicity ``_n``.  Frames counted alike share one exchange."""
+    group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("_"))
+    return (df.select(group.alias("_k"), F.col(x).cast("double").alias("_x"))
+            .groupBy("_k", "_x").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _positions(qs: dict[str, float]) -> list[Column]:
+    return [(F.col("_total") - 1).cast("double") * F.lit(float(p)) for p in qs.values()]
+
+
+def _located(cells: DataFrame, by: Sequence[str], cell: str) -> DataFrame:
+    """Of cells with ``_n``, those that hold the rank ``_r``, which becomes the rank inside."""
+    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy(cell).rowsBetween(Window.unboundedPreceding, 0))
+    return (cells.withColumn("_upto", upto).where((F.col("_upto") > F.col("_r")) & (F.col("_upto") - F.col("_n") <= F.col("_r")))
+            .withColumn("_r", F.col("_r") - (F.col("_upto") - F.col("_n"))).drop("_upto", "_n"))
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], x: str, qs: dict[str, float],
@@ -61,44 +88,36 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], x: str, qs: dict[str,
     """One row per group: ``keys``, the ``extra`` aggregates (see above) and one
     unrounded column per quantile in ``qs`` (name → probability)."""
     keys = list(keys)
-    # the keys as one struct: NULL keys are equal inside a struct, so joins keep their group
-    group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("_"))
-    counted = (df.select(group.alias("_k"), F.col(x).cast("double").alias("_x"))
-               .groupBy("_k", "_x").agg(F.count(F.lit(1)).alias("_n")))
-    aggs = [*extra, n_values().alias("_total")]
-    base = counted.groupBy("_k").agg(*aggs) if keys else counted.agg(*aggs).withColumn("_k", group)
-
-    values = counted.where(F.col("_x").isNotNull()).withColumn(
-        "_b", F.rint(F.signum("_x") * F.log1p(F.abs("_x")) * STEPS))
-    buckets = values.groupBy("_k", "_b").agg(F.sum("_n").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    table = counted(df, keys, x)
+    values = table.withColumn("_b", ordered_bits(F.col("_x")))
+    first, second, last = SHIFTS
     # every quantile needs the ranks below and above its position
-    position = (base.where(F.col("_total") > 0).select("_k", F.posexplode(F.array(*[F.lit(float(p)) for p in qs.values()]))
-                                                       .alias("_q", "_p"), "_total")
-                .withColumn("_pos", (F.col("_total") - 1).cast("double") * F.col("_p")))
-    ranks = position.select("_k", F.explode(F.array_distinct(F.array(F.floor("_pos"), F.ceil("_pos")))).alias("_rank")).distinct()
-    w = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    running = buckets.withColumn("_upto", F.sum("_n").over(w))
-    first = (running.join(ranks, "_k")
-             .where((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("_n") <= F.col("_rank")))
-             .select("_k", "_rank", "_b", "_lo", "_hi", (F.col("_rank") - (F.col("_upto") - F.col("_n"))).alias("_r1")))
-    cell = F.when(F.col("_hi") > F.col("_lo"), F.least(F.lit(CELLS - 1.0), F.floor(
-        (F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * CELLS).cast("double"))).otherwise(0.0)
-    inside = values.join(first, ["_k", "_b"]).withColumn("_c", cell)
-    by = ["_k", "_rank"]
-    cells = inside.groupBy(*by, "_c", "_r1").agg(F.sum("_n").alias("_n"))
-    second = _located(cells, by, "_c", "_r1").select(*by, "_c", F.col("_r").alias("_r2"))
-    left = inside.select(*by, "_c", "_x", "_n").join(second, [*by, "_c"])
-    found = _located(left, by, "_x", "_r2").select("_k", "_rank", "_x")
+    ranks = F.array_distinct(F.array(*[f(p) for p in _positions(qs) for f in (F.floor, F.ceil)]))
+    weight = F.when(F.col("_c") > F.lit(_NULL >> first), F.col("_n")).otherwise(0)
+    order = Window.partitionBy("_k").orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
+    low = F.col("_upto") - F.col("_n")
+    located = (values.groupBy("_k", F.shiftright("_b", first).alias("_c")).agg(F.sum("_n").alias("_n"))
+               .withColumn("_n", weight)
+               .withColumns({"_upto": F.sum("_n").over(order), "_total": F.sum("_n").over(Window.partitionBy("_k"))})
+               .withColumn("_rank", F.explode(F.filter(ranks, lambda r: (low <= r) & (r < F.col("_upto")))))
+               .select("_k", "_total", "_rank", "_c", (F.col("_rank") - low).alias("_r")))
+    inside = (values.select("_k", F.shiftright("_b", first).alias("_c"), F.shiftright("_b", second).alias("_d"), "_n")
+              .join(located, ["_k", "_c"]).groupBy("_k", "_total", "_rank", "_r", "_d").agg(F.sum("_n").alias("_n")))
+    located = _located(inside, ["_k", "_rank"], "_d")
+    inside = (values.select("_k", F.shiftright("_b", second).alias("_d"), F.shiftright("_b", last).alias("_b"), "_x", "_n")
+              .join(located, ["_k", "_d"]))
+    found = _located(inside, ["_k", "_rank"], "_b")
 
     # interpolate between the two ranks
-    both = (position.join(found.select("_k", F.col("_rank").alias("_f"), F.col("_x").alias("_xf")),
-                          ["_k"]).where(F.col("_f").isin(F.floor("_pos"), F.ceil("_pos")))
-            .groupBy("_k", "_q", "_pos").agg(
-                F.max(F.when(F.col("_f") == F.floor("_pos"), F.col("_xf"))).alias("_a"),
-                F.max(F.when(F.col("_f") == F.ceil("_pos"), F.col("_xf"))).alias("_z")))
-    low, high = F.floor("_pos"), F.ceil("_pos")
-    value = F.when(low == high, F.col("_a")).otherwise(
-        (high - F.col("_pos")) * F.col("_a") + (F.col("_pos") - low) * F.col("_z"))
-    wide = both.groupBy("_k").agg(*[F.max(F.when(F.col("_q") == i, value)).alias(n) for i, n in enumerate(qs)])
-    out = base.join(wide, "_k", "left").drop("_total")
+    at = lambda rank: F.max(F.when(F.col("_rank") == rank, F.col("_x")))
+    wide = found.groupBy("_k", "_total").agg(*[at(f(p)).alias(f"_{side}{i}") for i, p in enumerate(_positions(qs))
+                                               for side, f in (("a", F.floor), ("z", F.ceil))])
+    value = lambda i, p: F.when(F.floor(p) == F.ceil(p), F.col(f"_a{i}")).otherwise(
+        (F.ceil(p) - p) * F.col(f"_a{i}") + (p - F.floor(p)) * F.col(f"_z{i}"))
+    wide = wide.select("_k", *[value(i, p).alias(n) for i, (n, p) in enumerate(zip(qs, _positions(qs)))])
+    # the rows are counted and used, so that the groups come from the same counted values
+    aggs = [*extra, n_rows().alias("_rows")]
+    base = (table.groupBy("_k").agg(*aggs) if keys else
+            table.agg(*aggs).withColumn("_k", F.struct(F.lit(0).alias("_")))).where("_rows >= 0")
+    out = base.join(wide, "_k", "left").drop("_rows")
     return out.select(*[F.col(f"_k.{k}").alias(k) for k in keys], *[c for c in out.columns if c != "_k"])

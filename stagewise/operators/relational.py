@@ -47,21 +47,23 @@ def flag_repeats(df: DataFrame, key: str | Sequence[str], order: Sequence[Column
                  name: str = "is_repeat", chunk: int = 1000) -> DataFrame:
     """Every row of a key except the first is flagged (pandas ``duplicated``).
 
-    Equal rows are interchangeable, so rows are counted first (combined in the
-    map tasks); the first distinct row per key is chosen (limited before the
-    exchange) and found again by equality of the whole row, which no crowded
-    key can skew; counted rows are then written out again in chunks of at most
-    ``chunk`` copies, dealt over the tasks.  Nothing is stored in between.
-    Columns must be comparable (no maps)."""
-    columns = df.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row")    # NULLs are equal inside a struct
-    counted = df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias("_n"))
-    firsts = first_per_key(counted.drop("_n"), key, order).select(row, F.lit(True).alias("_first"))
-    chunks = F.explode(F.sequence(F.lit(0), ((F.col("_n") - 1) / chunk).cast("long")))
-    dealt = (counted.select(row, "_n").join(firsts, "_row", "left").select("_row", "_n", "_first", chunks.alias("_c"))
-             .repartition("_row", "_c"))
-    copies = F.explode(F.sequence(F.col("_c") * chunk + 1, F.least(F.col("_n"), (F.col("_c") + 1) * chunk)))
-    return (dealt.select("_row", "_first", copies.alias("_copy"))
+    Equal rows are interchangeable, so rows are counted first (the one exchange
+    of all rows, copies combined in the map tasks).  The first distinct row per
+    key is limited in the tasks before its exchange, sent to the place of its
+    equal (a crowded key's rows lie apart) and found there by a join that moves
+    the counted rows no further; only its copies are numbered.  Rows with more than
+    ``chunk`` copies are dealt over the tasks in chunks before they are written
+    out again.  Columns must be comparable (no maps)."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")    # NULLs are equal inside a struct
+    counted = df.select(row).groupBy("_row").agg(F.count(F.lit(1)).alias("_n"))
+    firsts = first_per_key(counted.select("_row.*"), key, order).select(row, F.lit(True).alias("_first"))
+    found = counted.join(firsts, "_row", "left")
+    dealt = (found.where(F.col("_n") > chunk)
+             .withColumn("_lo", F.explode(F.sequence(F.lit(1), F.col("_n"), F.lit(chunk))))
+             .repartition("_row", "_lo").withColumn("_hi", F.least(F.col("_n"), F.col("_lo") + chunk - 1)))
+    some = found.where(F.col("_n") <= chunk).withColumns({"_lo": F.lit(1).cast("long"), "_hi": F.col("_n")})
+    copies = F.explode(F.sequence("_lo", "_hi"))
+    return (some.unionByName(dealt).select("_row", "_first", copies.alias("_copy"))
             .select("_row.*", (F.col("_first").isNull() | (F.col("_copy") > 1)).alias(name)))
 
 

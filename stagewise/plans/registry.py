@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from stagewise.functions import numeric as N
 from stagewise.functions.temporal import hours_between, month_label
 from stagewise.functions.text import normalize_channel, parse_amount, parse_date
-from stagewise.operators import cards, clean, frames, portfolio, process, quality, reconcile, relational
+from stagewise.operators import cards, clean, frames, ordered, portfolio, process, quality, reconcile, relational
 from stagewise.plans.oracle import PCT, R, alias_case, hours, parse_amount_sql, parse_date_sql, with_ctes
 from stagewise.session import shared_path
 from stagewise.sources import catalog, readers, sinks, testdata as td
@@ -505,6 +505,23 @@ def q12(L: Layer) -> DataFrame:
     return reconcile.reconcile(L.apps.select("application_id", "channel", "amount_requested"), right, keys=[0])
 
 
+_MOVED = "application_id + CASE WHEN application_id % 50 = 0 THEN 40 ELSE 0 END"
+
+
+@query("q12_reconcile_ordered", f"""
+WITH a AS (SELECT row_number() OVER (ORDER BY application_id) - 1 AS row_index, application_id AS k,
+                  CAST(amount_requested AS VARCHAR) AS v FROM v_applications_clean),
+b AS (SELECT row_number() OVER (ORDER BY {_MOVED}, application_id) - 1 AS row_index, application_id AS k,
+             CAST(amount_requested AS VARCHAR) AS v FROM v_applications_clean)
+SELECT row_index, 'differs' AS side, concat_ws(',', CASE WHEN a.k <> b.k THEN 'c0' END, CASE WHEN a.v IS DISTINCT FROM b.v THEN 'c1' END)
+         AS diff_columns, CAST(a.k AS VARCHAR) AS l0, CAST(b.k AS VARCHAR) AS r0, a.v AS l1, b.v AS r1
+FROM a JOIN b USING (row_index) WHERE a.k <> b.k OR a.v IS DISTINCT FROM b.v""")
+def q12o(L: Layer) -> DataFrame:
+    """Q12 in order: equal as bags, but every fiftieth id has moved down."""
+    rows = L.apps_clean.select("application_id", "amount_requested")
+    return reconcile.reconcile_ordered(rows, rows, ["application_id"], [F.expr(_MOVED).asc(), F.col("application_id").asc()])
+
+
 # ------------------------------------------------------------------ process analytics
 
 
@@ -863,6 +880,29 @@ def w6(L: Layer) -> DataFrame:
     return _iso_days(f.withColumnRenamed("submitted_at", "submitted_on"), "submitted_on")
 
 
+@query("w3_running_amount", """
+SELECT application_id, source_system, strftime(submitted_at, '%Y-%m-%d') AS submitted_on,
+       CAST(sum(amount_requested) OVER (PARTITION BY source_system ORDER BY submitted_at) AS DOUBLE) AS amount_so_far
+FROM raw_applications""")
+def w3(L: Layer) -> DataFrame:
+    """Every row with its source's sum up to its day (days are peers; two
+    sources, so each holds far more than a third of the rows)."""
+    rows = L.apps.select("application_id", "source_system", "submitted_at", "amount_requested")
+    f = ordered.with_running_sum(rows, "submitted_at", "amount_requested", "amount_so_far", ["source_system"])
+    f = f.withColumnRenamed("submitted_at", "submitted_on").drop("amount_requested")
+    return _dbl(_iso_days(f, "submitted_on"), "amount_so_far")
+
+
+@query("w4_running_total", """
+SELECT application_id, strftime(disbursed_at, '%Y-%m-%d') AS disbursed_on,
+       CAST(sum(sum(amount_disbursed)) OVER (ORDER BY disbursed_at, application_id) AS DOUBLE) AS paid_so_far
+FROM raw_disbursements GROUP BY disbursed_at, application_id""")
+def w4(L: Layer) -> DataFrame:
+    """The running total over all disbursements, in order of time and id."""
+    f = ordered.running_sums(L.disb, ["disbursed_at", "application_id"], {"amount_disbursed": "paid_so_far"})
+    return _dbl(_iso_days(f.withColumnRenamed("disbursed_at", "disbursed_on"), "disbursed_on"), "paid_so_far")
+
+
 @query("v1_chart_frame", """
 WITH s AS (SELECT CASE WHEN max(abs(CAST(cum_npv_rub AS DOUBLE))) >= 1000000 THEN 1000000.0 ELSE 1.0 END
              AS d FROM v_portfolio_npv)

@@ -118,3 +118,34 @@ def test_funnel_of_raw_equals_funnel_of_clean(spark):
     L = Layer(spark, SF_SMALL)
     want = process.funnel(clean.clean_stage_events(L.events, L.clean_keys), L.clean_keys)
     assert sorted(map(tuple, process.funnel_of_raw(L.events, L.apps).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_log_uniform_values_are_narrowed_by_bits(spark):
+    """A million values over eight powers of ten near zero: every cell of the
+    first step holds a small share of them, and quantiles are exact."""
+    from stagewise.operators.quantiles import SHIFTS, grouped_quantiles, ordered_bits
+    x = 10 ** (F.rand(3) * 8.6 - 12)
+    df = spark.range(1_000_000).select(x.alias("x"))
+    cells = df.groupBy(F.shiftright(ordered_bits(F.col("x")), SHIFTS[0])).count()
+    assert cells.agg(F.max("count")).first()[0] < 1_000_000 / 1000
+    got = tuple(grouped_quantiles(df, [], "x", {"a": 0.01, "b": 0.5, "c": 0.999}).first())
+    assert got == tuple(df.agg(*[F.percentile("x", p) for p in (0.01, 0.5, 0.999)]).first())
+
+
+def test_infinite_equal_and_subnormal_values(spark):
+    inf = float("inf")
+    rows = [("inf", v) for v in (-inf, -1.0, 0.0, 1.0, inf)] + [("same", 3.5)] * 5000 + [("sub", 5e-324 * i) for i in range(1, 30)]
+    rows += [("edge", 2.0 ** e * f) for e in range(-1030, 1023, 7) for f in (1, 1 - 2**-53, 1 + 2**-52)] + [("big", 1.7976931348623157e308)]
+    got, want = _percentiles(spark.createDataFrame(rows, "g string, x double"), ["g"], [0.0, 0.25, 0.5, 0.75, 1.0])
+    assert got == want
+
+
+def test_ordered_bits_are_the_ieee_pattern(spark):
+    import struct
+    from stagewise.operators.quantiles import ordered_bits
+    rng = np.random.default_rng(5)
+    xs = [float(v) for v in rng.integers(0, 0x7FF << 52, 4000).astype(np.int64).view(np.float64)]
+    xs += [0.0, 5e-324, 2.2250738585072014e-308, 1.0, 2.0 ** 1023, float("inf")] + [2.0 ** e for e in range(-1074, 1024)]
+    got = spark.createDataFrame([(x,) for x in xs + [-x for x in xs if x]], "x double").select("x", ordered_bits(F.col("x")).alias("b"))
+    for r in got.collect():
+        assert r.b == (-1 if r.x < 0 else 1) * struct.unpack("<q", struct.pack("<d", abs(r.x)))[0]
