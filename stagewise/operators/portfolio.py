@@ -9,10 +9,16 @@ initiative with ``explode(sequence(0, horizon))`` after hash-partitioning the
 one-row-per-initiative plan, so the running sum per initiative needs no
 further exchange; the portfolio then sums by month (≤ horizon+1 groups,
 map-side combined).
+
+Powers and quotients are decimal, as the model's SQL computes them: the factor
+of a month is the one before divided by 1 + rate, to 28 decimals; the monthly
+profit's quotient has 6 decimals before it is rounded up, so a quotient that is
+a whole number stays one (in doubles it may come out a unit higher).
 """
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,31 +33,56 @@ HORIZON = 36
 _DISC = "decimal(38,2)"
 
 
-def _pow(rate: float, m: Column) -> Column:
-    return F.pow(F.lit(1.0 + rate), m.cast("double"))
+_FACTOR = "decimal(30,28)"
+_FACTORS = "decimal(32,28)"          # sums of factors
+
+
+def _growth(rate: float) -> Decimal:
+    return 1 + Decimal(str(rate))
+
+
+def discount_factors(last: int, rate: float = RATE) -> list[Decimal]:
+    """The factors of months 0..last, with the rounding of the decimal types below."""
+    with localcontext() as c:
+        c.prec = 60
+        out = [Decimal(1)]
+        for _ in range(last):
+            quotient = out[-1] / _growth(rate)
+            scale = 28 + len(_growth(rate).as_tuple().digits) + 1       # of Spark's quotient
+            out.append(quotient.quantize(Decimal(1).scaleb(-scale), ROUND_HALF_UP).quantize(Decimal(1).scaleb(-28), ROUND_HALF_UP))
+        return out
 
 
 def initiative_plan(passport: DataFrame, rate: float = RATE) -> DataFrame:
     """Monthly cost = floor(cost / mp); monthly profit = ceil(spend_pv / unit_pv)
     with spend_pv = Σ_{t=0}^{mp-1} (cost/mp)/(1+r)^(start+t) and
-    unit_pv = Σ_{t=mp}^{pb} 1/(1+r)^(start+t) (both ends inclusive).
+    unit_pv = Σ_{t=mp}^{pb} 1/(1+r)^(start+t) (both ends inclusive).  The factor
+    of the start cancels out, so the sums run over t alone.
 
     Policy for an impossible passport (months_to_profit ≤ 0, or payback
     before profitability, where the SQL original divides by zero): the
     monthly amounts are NULL instead of failing the whole job."""
-    cost, mp, pb, start = (F.col("cost_rub").cast("double"), F.col("months_to_profit"),
-                           F.col("months_to_payback"), F.col("start_month"))
-    zero = F.lit(0.0)
-    spend_pv = F.aggregate(month_series(F.lit(0), mp - 1), zero,
-                           lambda acc, t: acc + F.try_divide(cost, mp) / _pow(rate, start + t))
-    unit_pv = F.aggregate(month_series(mp, pb), zero,
-                          lambda acc, t: acc + F.lit(1.0) / _pow(rate, start + t))
+    mp, pb = F.col("months_to_profit"), F.col("months_to_payback")
+    none = F.lit(0).cast(_FACTORS)
+    start = F.struct(F.lit(1).cast(_FACTOR).alias("d"), none.alias("spend"), none.alias("unit"))
+
+    def month(acc: Column, t: Column) -> Column:
+        spend, d = t < mp, acc["d"]
+        return F.struct((d / F.lit(_growth(rate))).cast(_FACTOR).alias("d"),
+                        F.when(spend, (acc["spend"] + d).cast(_FACTORS)).otherwise(acc["spend"]).alias("spend"),
+                        F.when(spend, acc["unit"]).otherwise((acc["unit"] + d).cast(_FACTORS)).alias("unit"))
+
+    # both sums as whole multiples of 1e-20, so that their quotient keeps its decimals
+    whole = lambda c: (F.round(c, 20).cast("decimal(24,20)") * F.lit(Decimal(10) ** 20)).cast("decimal(24,0)")
+    sums = F.aggregate(month_series(F.lit(0), pb), start, month)
+    spend_pv, unit_pv = F.col("cost_rub").cast("decimal(18,2)") * whole(sums["spend"]), mp.cast("decimal(10,0)") * whole(sums["unit"])
+    quotient = F.try_divide(spend_pv, F.when((mp > 0) & (unit_pv > 0), unit_pv)).cast("decimal(38,6)")
     return passport.select(
         "initiative_id", "name", "direction", "start_month", "cost_rub",
         "months_to_profit", "months_to_payback",
-        F.floor(F.try_divide(cost, F.when(mp > 0, mp))).cast("bigint").alias("monthly_cost_rub"),
-        F.ceil(F.try_divide(spend_pv, F.when((unit_pv > 0) & (mp > 0), unit_pv))).cast("bigint")
-         .alias("monthly_profit_rub"))
+        F.floor(F.try_divide(F.col("cost_rub").cast("decimal(18,2)"), F.when(mp > 0, mp).cast("decimal(10,0)")))
+         .cast("bigint").alias("monthly_cost_rub"),
+        F.ceil(quotient).cast("bigint").alias("monthly_profit_rub"))
 
 
 def _flow(m: Column) -> Column:
@@ -61,8 +92,9 @@ def _flow(m: Column) -> Column:
             .otherwise(F.col("monthly_profit_rub")))
 
 
-def _discounted(flow: Column, m: Column, rate: float) -> Column:
-    return F.round((flow.cast("double") / _pow(rate, m)).cast("decimal(38,6)"), 2).cast(_DISC)
+def _discounted(flow: Column, m: Column, horizon: int, rate: float) -> Column:
+    factors = F.array(*[F.lit(d).cast(_FACTOR) for d in discount_factors(horizon, rate)])
+    return F.round(flow.cast("decimal(20,0)") * F.element_at(factors, m + 1), 2).cast(_DISC)
 
 
 def initiative_npv(plan: DataFrame, horizon: int = HORIZON, rate: float = RATE) -> DataFrame:
@@ -80,7 +112,7 @@ def initiative_npv(plan: DataFrame, horizon: int = HORIZON, rate: float = RATE)
                     "monthly_cost_rub", "monthly_profit_rub",
                     F.explode(F.sequence(F.lit(0), F.lit(horizon))).alias("month_index"))
             .withColumn("cash_flow_rub", _flow(m))
-            .withColumn("discounted_rub", _discounted(F.col("cash_flow_rub"), m, rate)))
+            .withColumn("discounted_rub", _discounted(F.col("cash_flow_rub"), m, horizon, rate)))
     w = (Window.partitionBy("initiative_id").orderBy("month_index")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return rows.select("initiative_id", "name", "direction", "month_index", "cash_flow_rub",

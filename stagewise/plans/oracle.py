@@ -157,26 +157,34 @@ FROM raw_stage_events e
 WHERE e.left_at IS NOT NULL AND e.left_at > e.entered_at
   AND e.application_id IN (SELECT application_id FROM v_applications_clean)"""
 
-_POW = "power(CAST(1.01 AS DOUBLE), CAST({m} AS DOUBLE))"
 
+
+def _factor_list(last: int) -> str:
+    """1.01 ** -m for m = 0..last as whole multiples of 1e-28 (HUGEINT)."""
+    out = [10**28]
+    for _ in range(last):
+        out.append((2 * out[-1] * 100 + 101) // 202)              # half up
+    return "[" + ", ".join(f"{d}::HUGEINT" for d in out) + "]"
+
+
+# Whole numbers stand for decimals: sums of factors in 1e-20, money in kopecks,
+# the quotient in 1e-6 roubles.
 CTES["v_initiative_plan"] = f"""
 SELECT initiative_id, name, direction, start_month, cost_rub, months_to_profit, months_to_payback,
-       CAST(floor(CAST(cost_rub AS DOUBLE) / months_to_profit) AS BIGINT) AS monthly_cost_rub,
-       CAST(ceil(
-         list_reduce(list_transform(range(0, months_to_profit),
-                     lambda t: (CAST(cost_rub AS DOUBLE) / months_to_profit) / {_POW.format(m='start_month + t')}),
-                     lambda a, b: a + b, 0.0::DOUBLE)
-         / list_reduce(list_transform(range(months_to_profit, months_to_payback + 1),
-                     lambda t: 1.0::DOUBLE / {_POW.format(m='start_month + t')}),
-                     lambda a, b: a + b, 0.0::DOUBLE)) AS BIGINT) AS monthly_profit_rub
-FROM initiative_passport"""
+       CAST(kopecks // (100 * months_to_profit) AS BIGINT) AS monthly_cost_rub,
+       CAST(((2 * kopecks * spend * 10000 + months_to_profit * unit) // (2 * months_to_profit * unit) + 999999) // 1000000
+            AS BIGINT) AS monthly_profit_rub
+FROM (SELECT *, CAST(cost_rub * 100 AS HUGEINT) AS kopecks,
+             (list_reduce(f[1:months_to_profit], lambda a, b: a + b) + 50000000) // 100000000 AS spend,
+             (list_reduce(f[months_to_profit + 1:months_to_payback + 1], lambda a, b: a + b) + 50000000) // 100000000 AS unit
+      FROM (SELECT *, {_factor_list(60)} AS f FROM initiative_passport) x) sums"""
 
 # Money of a month: nothing until the first month of spending, then the phase's
 # flow, read off a list by how far the month lies into the initiative.
 CTES["v_initiative_cashflow"] = f"""
 SELECT initiative_id, name, direction, month_index, cash_flow_rub,
-       CAST(round(CAST(cash_flow_rub / {_POW.format(m='month_index')} AS DECIMAL(38,6)), 2)
-            AS DECIMAL(38,2)) AS discounted_rub
+       CAST(sign(cash_flow_rub) * ((2 * abs(CAST(cash_flow_rub AS HUGEINT)) * {_factor_list(36)}[month_index + 1] + {10**26}::HUGEINT)
+                                   // {2 * 10**26}::HUGEINT) AS DECIMAL(30,0)) * 0.01::DECIMAL(2,2) AS discounted_rub
 FROM (SELECT initiative_id, name, direction, month_index,
              [0, -monthly_cost_rub, monthly_profit_rub][
                  1 + CAST(month_index >= start_month AS INTEGER)

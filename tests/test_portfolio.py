@@ -124,3 +124,44 @@ def test_edge_passports(spark):
     assert len(z2) == 37 and set(z2) == {0}           # nothing happens inside the horizon
     be = {r.initiative_id: r.breakeven_month for r in P.breakeven_month(curve, ["initiative_id"]).collect()}
     assert be["Z3"] == 5
+
+
+def test_a_whole_quotient_is_not_rounded_up(spark):
+    """Spending of one month, paid back in the month after: the quotient is
+    cost * 1.01, a whole number.  Doubles make it a rouble more for some."""
+    import math
+    doubles = lambda s, c: math.ceil((c / 1.01 ** s) / (1 / 1.01 ** (s + 1)))
+    assert doubles(1, 100) == 102
+    rows = [(str(c), "n", "d", s, Decimal(c), 1, 1) for c in range(100, 10_100, 100) for s in (0, 1)]
+    plan = P.initiative_plan(spark.createDataFrame(
+        rows, "initiative_id string, name string, direction string, start_month int, cost_rub decimal(18,2),"
+              " months_to_profit int, months_to_payback int")).collect()
+    assert len(plan) == 200 and all(r.monthly_profit_rub == r.cost_rub * 101 / 100 for r in plan)
+
+
+def test_discount_factors_equal_spark_decimals(spark):
+    step = lambda a, _: (a / F.lit(Decimal("1.01"))).cast("decimal(30,28)")
+    got = [spark.range(1).select(F.aggregate(F.array([F.lit(i) for i in range(n)]), F.lit(1).cast("decimal(30,28)"), step)).first()[0]
+           for n in (1, 2, 17, 36, 60)]
+    want = P.discount_factors(60)
+    assert got == [want[n] for n in (1, 2, 17, 36, 60)]
+    assert abs(want[60] - 1 / Decimal("1.01") ** 60) < Decimal("1e-26")
+
+
+def test_plan_equals_exact_fractions(spark):
+    from fractions import Fraction
+    import math
+    import random
+    rng = random.Random(6)
+    rows = []
+    for i in range(300):
+        mp = rng.randint(1, 30)
+        rows.append((str(i), "n", "d", rng.randint(0, 12), Decimal(rng.randrange(1, 10**11)) / 100, mp, mp + rng.randint(0, 60)))
+    got = P.initiative_plan(spark.createDataFrame(
+        rows, "initiative_id string, name string, direction string, start_month int, cost_rub decimal(18,2),"
+              " months_to_profit int, months_to_payback int")).collect()
+    d = [Fraction(100, 101) ** n for n in range(100)]
+    for r in got:
+        mp, pb, cost = r.months_to_profit, r.months_to_payback, Fraction(r.cost_rub)
+        assert r.monthly_cost_rub == math.floor(cost / mp)
+        assert r.monthly_profit_rub == math.ceil(cost / mp * sum(d[:mp]) / sum(d[mp:pb + 1]))
