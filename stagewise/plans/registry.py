@@ -7,6 +7,7 @@ whole tables.  The oracle states the same result in DuckDB SQL.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 from typing import Callable
 
@@ -17,9 +18,11 @@ from stagewise.functions import numeric as N
 from stagewise.functions.temporal import hours_between, month_label
 from stagewise.functions.text import normalize_channel, parse_amount, parse_date
 from stagewise.operators import cards, clean, frames, ordered, portfolio, process, quality, reconcile, relational
+from stagewise.plans import catalog_views
 from stagewise.plans.oracle import PCT, R, alias_case, hours, parse_amount_sql, parse_date_sql, with_ctes
 from stagewise.session import shared_path
-from stagewise.sources import catalog, readers, sinks, testdata as td
+from stagewise.sources import catalog, readers, sinks, tables, testdata as td
+from stagewise.sources.schemas import TABLE_COMMENTS
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -656,10 +659,13 @@ def n2(L: Layer) -> DataFrame:
     return _dbl(portfolio.cashflow(L.plan), "discounted_rub")
 
 
-@query("n3_initiative_npv", """
+_NPV_SQL = """
 SELECT initiative_id, name, direction, month_index, cash_flow_rub,
        CAST(discounted_rub AS DOUBLE) AS discounted_rub, CAST(cum_npv_rub AS DOUBLE) AS cum_npv_rub
-FROM v_initiative_npv""")
+FROM v_initiative_npv"""
+
+
+@query("n3_initiative_npv", _NPV_SQL)
 def n3(L: Layer) -> DataFrame:
     return _dbl(L.npv, "discounted_rub", "cum_npv_rub")
 
@@ -930,6 +936,30 @@ def s13(L: Layer) -> DataFrame:
         FROM v_pipeline_stage_sla ORDER BY median_hours DESC""")
 
 
+def _catalog(L: Layer) -> str:
+    """A database of its own with the raw tables and the eight views."""
+    name = tables.create_database(L.spark, f"stagewise_{uuid.uuid4().hex}")
+    for table, df in {"raw_applications": L.apps, "raw_stage_events": L.events, "initiative_passport": L.passport,
+                      "initiative_fact": L.fact}.items():
+        sinks.save_table(df, f"{name}.{table}", TABLE_COMMENTS[table])
+    catalog_views.create_views(L.spark, name)
+    return name
+
+
+@query("s11_catalog_panel", _sla_sql("a.channel, e.stage", _EV_APPS, n="applications"))
+def s11(L: Layer) -> DataFrame:
+    """S3 + S4 + S11: stored raw tables, catalog views over them, and the panel
+    as a new session reads it."""
+    return catalog_views.read_catalog_view(L.spark.newSession(), _catalog(L), "v_pipeline_stage_sla")
+
+
+@query("s12_catalog_curves", _NPV_SQL)
+def s12(L: Layer) -> DataFrame:
+    """S11 + S12: the initiatives' curves, read back by a new session."""
+    found = catalog_views.read_catalog_view(L.spark.newSession(), _catalog(L), "v_initiative_npv")
+    return _dbl(found, "discounted_rub", "cum_npv_rub")
+
+
 # ------------------------------------------------------------------ files written and read back
 
 
@@ -962,6 +992,30 @@ def s2(L: Layer) -> DataFrame:
     return cards.from_export(readers.read_text_export(L.spark, path))
 
 
+@query("s3_declared_table", """
+SELECT CAST(application_id AS VARCHAR) AS application_id, client_id, product, channel, region,
+       CAST(amount_requested AS DOUBLE) AS amount_requested, submitted_at, source_system, is_test
+FROM raw_applications""")
+def s3(L: Layer) -> DataFrame:
+    """S1 + S3 + S4: the applications' CSV loaded into a catalog table that was
+    created from the declared schema, and read back from it."""
+    path, name = shared_path(L.spark, "csv"), tables.create_database(L.spark, f"stagewise_{uuid.uuid4().hex}")
+    out = L.apps.select(*_ROUND_TRIP_COLUMNS).withColumn("submitted_at", F.date_format("submitted_at", "yyyy-MM-dd HH:mm:ss"))
+    sinks.write_csv(out, path, sep=",")
+    tables.create_declared_table(L.spark, "raw_applications", name)
+    tables.load_declared_csv(L.spark, path, "raw_applications", name)
+    return _dbl(readers.read_table(L.spark, f"{name}.raw_applications"), "amount_requested")
+
+
+_STORED = ["customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier"]
+
+
+@query("s7_stored_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _STORED))
+def s7f(L: Layer) -> DataFrame:
+    """Counts of the stored tables from their footers."""
+    return tables.stored_row_counts(L.spark, {t: f"{L.t.sf_dir}/{t}.parquet" for t in _STORED})
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True,
-              mode: str = "overwrite", bom: bool = False) -> None:
+              mode: str = "errorifexists", bom: bool = False) -> None:
     """CSV with a chosen delimiter, header and minimal quoting, written in
-    parallel, one file per partition.  With ``bom`` every file begins with the
+    parallel, one file per partition; an existing target is an error unless
+    ``mode`` says otherwise.  With ``bom`` every file begins with the
     UTF-8 byte order mark (it stands before the header, which is needed)."""
     if bom and not header:
         raise ValueError("a byte order mark needs a header")
@@ -20,7 +21,7 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True,
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite") -> DataFrame:
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists") -> DataFrame:
     """Save ``df`` as a catalog table hash-bucketed (and sorted) by ``key``.
 
     Two tables bucketed by the same key into the same number of buckets join
