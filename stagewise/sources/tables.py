@@ -79,12 +79,13 @@ def stored_row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     source and no column is read.
 
     That needs Spark's second file source, which a session of its own switches
-    on; the caller's session stays as it is."""
+    on; the caller's session stays as it is.  (A table without any footer gives
+    that source's count no row to add up, hence the 0.)"""
     own = spark.newSession()
     first = [x for x in own.conf.get("spark.sql.sources.useV1SourceList").split(",") if x != "parquet"]
     own.conf.set("spark.sql.sources.useV1SourceList", ",".join(first))
     own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     parts = [own.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
-             .select(F.lit(name).alias("table_name"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"))     # no footer: no row
+             .select(F.lit(name).alias("table_name"), F.coalesce(F.nullif("n_rows", F.lit(-1)), F.lit(0)).alias("n_rows"))
              for name, path in paths.items()]
     return reduce(DataFrame.unionByName, parts)
