@@ -120,8 +120,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str
 
 def without_leaks(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` without the documents of ``found`` (null keys stay)."""
-    ids = found.select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(ids, docs[key] == F.col("_leak"), "left_anti")
+    ids = found.select("doc_id").distinct().alias("found")
+    return docs.alias("own").join(ids, F.col(f"own.`{key}`") == F.col("found.doc_id"), "left_anti")
 
 
 def op5_spaced_seed_decontamination(spark, sf_dir: str) -> DataFrame:

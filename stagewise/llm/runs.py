@@ -66,36 +66,44 @@ _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def _contexts(needed: DataFrame, texts: DataFrame, reach: int) -> DataFrame:
-    """For each (doc_id, id, first, end): hashes and byte places of the words
-    up to ``reach`` before ``first`` and after ``end``, and a hash of those between."""
-    asked = needed.groupBy("doc_id").agg(F.collect_list(F.struct("id", "first", "end")).alias("asked"))
+    """For each distinct (doc_id, first, end): hashes and byte places of the words
+    up to ``reach`` before ``first`` and after ``end``, and a hash of those between.
+    However many documents share a place, it is asked for once."""
+    asked = needed.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("first", "end")).alias("asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for block in gathered(batches, most_rows=64, most_bytes=1 << 20):
-            ids, inner, cols = [], [], {c: [] for c in ("left", "starts", "right", "ends")}
-            for body, asked in zip(raw(block.column("text")), block.column("asked")):
+            found, inner, cols = [], [], {c: [] for c in ("left", "starts", "right", "ends")}
+            for doc, body, asked in zip(block.column("doc_id").to_pylist(), raw(block.column("text")), block.column("asked")):
                 words = body.split()
                 h = hashes.of(words).view(np.int64)
                 within = ~_SPACE[np.frombuffer(b" " + body + b" ", np.uint8)]
                 starts = np.flatnonzero(within[1:] & ~within[:-1])
                 ends = np.flatnonzero(within[:-1] & ~within[1:])
-                for q in asked.as_py():
-                    f, e = q["first"], q["end"]
+                places = asked.values
+                for f, e in zip(places.field("first").to_pylist(), places.field("end").to_pylist()):
                     lo, hi = max(0, f - reach), min(len(words), e + reach)
-                    ids.append(q["id"])
+                    found.append((doc, f, e))
                     inner.append(xxhash.xxh3_64_intdigest(b" ".join(words[f:e])) - 2**63)
                     for c, x in zip(cols, (h[lo:f][::-1], starts[lo:f + 1][::-1], h[e:hi], ends[e - 1:hi])):
                         cols[c].append(x)
-            if ids:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(inner, pa.int64()),
-                     *(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]).astype(np.int32)),
-                                                pa.array(np.concatenate(x))) for x in cols.values())],
-                    names=["id", "inner", *cols])
+                    if len(found) == 2048:                   # a document may be asked for many places
+                        yield batch(found, inner, cols)
+                        found, inner, cols = [], [], {c: [] for c in cols}
+            if found:
+                yield batch(found, inner, cols)
+
+    def batch(found: list, inner: list, cols: dict) -> pa.RecordBatch:
+        doc, first, end = zip(*found)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc, pa.int64()), pa.array(first, pa.int32()), pa.array(end, pa.int32()), pa.array(inner, pa.int64()),
+             *(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]).astype(np.int32)),
+                                        pa.array(np.concatenate(x))) for x in cols.values())],
+            names=["doc_id", "first", "end", "inner", *cols])
 
-    return map_arrow(texts.join(asked, "doc_id").select("text", "asked"), run,
-                     "id string, inner long, left array<long>, starts array<long>, right array<long>, ends array<long>")
+    return map_arrow(texts.join(asked, "doc_id").select("doc_id", "text", "asked"), run,
+                     "doc_id long, first int, end int, inner long, left array<long>, starts array<long>, right array<long>, ends array<long>")
 
 
 def matched(stays: DataFrame, texts: DataFrame, min_words: int, reach: int) -> DataFrame:
@@ -103,8 +111,10 @@ def matched(stays: DataFrame, texts: DataFrame, min_words: int, reach: int) -> D
     places where a document may share that many.  Each run goes to the least
     document that has it; passages are extended by at most ``reach`` words."""
     runs = staged(_runs(stays, texts, min_words), "word-runs")
-    least = (runs.groupBy("w").agg(F.min("doc_id").alias("a"), F.min_by("at", "doc_id").alias("pos_a"), F.max("doc_id").alias("greatest"))
-             .where("a < greatest").select("w", "a", "pos_a"))
+    # written, so that the join has an exchange of its own on both sides and Spark splits a crowded run
+    least = staged(runs.groupBy("w").agg(F.min("doc_id").alias("a"), F.min_by("at", "doc_id").alias("pos_a"),
+                                         F.max("doc_id").alias("greatest"))
+                   .where("a < greatest").select("w", "a", "pos_a"), "run-least")
     # runs of one pair on one diagonal that overlap or touch are one passage
     sided = (runs.join(least, "w").where("doc_id > a")
              .select(F.col("doc_id").alias("b"), "a", "pos", (F.col("pos") - F.col("pos_a")).alias("shift")))
@@ -112,22 +122,24 @@ def matched(stays: DataFrame, texts: DataFrame, min_words: int, reach: int) -> D
     spans = (sided.withColumn("new", (F.col("pos") > F.lag("pos").over(line) + min_words).cast("int"))
              .withColumn("run", F.sum(F.coalesce("new", F.lit(0))).over(line))
              .groupBy("b", "a", "shift", "run").agg(F.min("pos").alias("first"), (F.max("pos") + min_words).alias("end"))
-             .withColumn("id", F.concat_ws(":", "b", "a", "shift", "run")))
+             .withColumns({"first_a": (F.col("first") - F.col("shift")).cast("int"),
+                           "end_a": (F.col("end") - F.col("shift")).cast("int")}))
     spans = staged(spans, "run-spans")
     sides = staged(_contexts(
-        spans.select(F.col("b").alias("doc_id"), F.concat(F.lit("b"), "id").alias("id"), "first", "end")
-        .unionByName(spans.select(F.col("a").alias("doc_id"), F.concat(F.lit("a"), "id").alias("id"),
-                                  (F.col("first") - F.col("shift")).cast("int").alias("first"),
-                                  (F.col("end") - F.col("shift")).cast("int").alias("end"))),
+        spans.select(F.col("b").alias("doc_id"), "first", "end")
+        .unionByName(spans.select(F.col("a").alias("doc_id"), F.col("first_a").alias("first"), F.col("end_a").alias("end"))),
         texts, reach), "run-contexts")
-    side = {c: sides.where(F.col("id").startswith(c)).select(
-        F.expr("substring(id, 2)").alias("id"), *(F.col(x).alias(f"{x}_{c}") for x in ("inner", "left", "starts", "right", "ends")))
-        for c in "ab"}
+    side = {c: sides.select(*(F.col(x).alias(f"{x}_of_{c}") for x in ("doc_id", "first", "end")),
+                            *(F.col(x).alias(f"{x}_{c}") for x in ("inner", "left", "starts", "right", "ends")))
+            for c in "ab"}
+    at = {"a": ["a", "first_a", "end_a"], "b": ["b", "first", "end"]}
+    same = {c: [F.col(x) == F.col(f"{y}_of_{c}") for x, y in zip(at[c], ("doc_id", "first", "end"))] for c in "ab"}
+
     def ext(x: str):                                         # words that agree from the start of both lists
         differs = F.expr(f"array_position(zip_with({x}_a, {x}_b, (p, q) -> p = q), false)")
         return F.when(differs > 0, differs - 1).otherwise(F.least(F.size(f"{x}_a"), F.size(f"{x}_b"))).cast("int")
 
-    return (spans.join(side["a"], "id").join(side["b"], "id").where("inner_a = inner_b")
+    return (spans.join(side["b"], same["b"]).join(side["a"], same["a"]).where("inner_a = inner_b")
             .withColumn("l", ext("left")).withColumn("r", ext("right"))
             .withColumn("start", F.expr("starts_b[l]")).withColumn("size", F.expr("ends_b[r] - starts_b[l]"))
             .select(F.col("b").alias("doc_id"), F.col("start"), F.col("size"),

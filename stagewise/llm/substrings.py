@@ -190,19 +190,23 @@ def without_passages(docs: DataFrame, passages: DataFrame, key: str = "doc_id",
     """``docs`` with the passages cut out of their texts; a document of which
     nothing but white space is left goes.  Other columns are kept; ``n_chars``,
     if there is one, is set to the new length of texts that changed."""
-    spans = passages.groupBy(F.col("doc_id").alias("_id")).agg(   # a text's passages do not overlap
-        F.array_sort(F.collect_list(F.struct("start", "size"))).alias("_spans"))
+    spans = passages.groupBy(F.col("doc_id").alias("id")).agg(   # a text's passages do not overlap
+        F.array_sort(F.collect_list(F.struct("start", "size"))).alias("spans"))
+    # names are qualified: ``docs`` may have columns of any name
+    joined = docs.alias("own").join(spans.alias("cut"), F.col(f"own.`{key}`") == F.col("cut.id"), "left")
+    untouched, body = F.col("cut.spans").isNull(), F.col(f"own.`{text}`")
     # the bytes between one passage's end and the next one's start
-    kept = F.expr(f"""aggregate(_spans, named_struct('at', 0, 'out', X''),
-        (a, s) -> named_struct('at', s.start + s.size, 'out', a.out || substring(encode({text}, 'utf-8'), a.at + 1, s.start - a.at)),
-        a -> a.out || substring(encode({text}, 'utf-8'), a.at + 1))""")
-    joined = docs.join(spans, docs[key] == F.col("_id"), "left")
-    cut = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(F.decode(kept, "utf-8"))
-    out = joined.withColumn(text, cut).where(F.col("_spans").isNull() | (F.length(F.btrim(text)) > 0))
+    data = F.encode(body, "utf-8")
+    none = F.struct(F.lit(0).alias("at"), F.lit(b"").alias("out"))
+    kept = F.aggregate("cut.spans", none, lambda a, x: F.struct(
+        (x["start"] + x["size"]).alias("at"), F.concat(a["out"], F.substring(data, a["at"] + 1, x["start"] - a["at"])).alias("out")),
+        lambda a: F.concat(a["out"], F.substring(data, a["at"] + 1, F.octet_length(body))))
+    cut = F.when(untouched, body).otherwise(F.decode(kept, "utf-8"))
+    columns = {c: F.col(f"own.`{c}`") for c in docs.columns} | {text: cut}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars"))
-                             .otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        columns["n_chars"] = F.when(untouched, columns["n_chars"]).otherwise(F.length(cut)).cast(docs.schema["n_chars"].dataType)
+    return (joined.where(untouched | (F.length(F.btrim(cut)) > 0))
+            .select(*[columns[c].alias(c) for c in docs.columns]))
 
 
 def op3_chunk_substring_dedup(spark, sf_dir: str) -> DataFrame:

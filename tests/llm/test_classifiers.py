@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import SF_CHECK
 from pyspark.sql import functions as F
@@ -117,6 +118,45 @@ def test_quality_on_held_out_labels(spark):
     assert rows[rows["quality"] == 1]["kept"].mean() > 0.98
 
 
+def _pick(pool, sure=0.95):
+    """Naive choice among arrays: sort all free documents by surety."""
+    left = set(range(len(pool[0])))
+
+    def pick(models, most):
+        given, gone = [], set()
+        for view, model in enumerate(models):
+            p = 1 / (1 + np.exp(-model.logit(pool[view])))
+            rows = []
+            for label in most:
+                ranked = sorted(((-(p[i] if label else 1 - p[i]), i) for i in left))[:most[label]]
+                rows += [(i, label) for s, i in ranked if -s >= sure]
+            rows.sort()
+            gone |= {i for i, _ in rows}
+            given.append((pool[1 - view][[i for i, _ in rows]], np.array([c for _, c in rows], float)))
+        left.difference_update(gone)
+        return given
+
+    return pick
+
+
+def test_co_training_equals_the_naive_one(spark):
+    """Spark's choice among all documents gives the classifiers of a plain loop."""
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").dropDuplicates(["text"])
+    labels = spark.read.parquet(f"{SF_CHECK}/labels.parquet").where("doc_id % 4 = 1")
+    got = {r["doc_id"]: r["score"] for r in quality_classifier.score(docs, labels, sure=0.6, growth=0.2).collect()}
+    whole = docs.join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id", "left").select(
+        "doc_id", "label", "text", "source", "lang", "n_chars").orderBy("doc_id").toArrow()
+    table = pa.Table.from_batches(quality_classifier._features(whole.combine_chunks().to_batches()))
+    has = np.array([x is not None for x in table.column("label").to_pylist()])
+    x = quality_classifier._matrices(table)
+    weights = quality_classifier._fit(table.filter(pa.array(has)), _pick([v[~has] for v in x], 0.6), 4, 0.2)
+    (ta, tb), (pa_, pb) = weights[3]
+    a, b, c = weights[2]
+    z = (weights[0].logit(x[0]) * ta + tb) * a + (weights[1].logit(x[1]) * pa_ + pb) * b + c
+    assert has.any() and len(got) == len(z) and len(set(got.values())) > 100
+    assert np.allclose([got[d] for d in table.column("doc_id").to_pylist()], 1 / (1 + np.exp(-np.clip(z, -30, 30))), atol=1e-4)
+
+
 def test_views_teach_each_other():
     """With few labels, exchanged pseudo-labels lift the weaker view."""
     rng = np.random.default_rng(0)
@@ -124,6 +164,6 @@ def test_views_teach_each_other():
     views = [y[:, None] * 2 + rng.normal(0, s, (1200, 6)) for s in (0.8, 2.5)]
     few, pool, test = slice(0, 16), slice(16, 800), slice(800, 1200)
     alone = quality_classifier.Logistic().fit(views[1][few], y[few], np.ones(16))
-    both = quality_classifier.co_train([v[few] for v in views], y[few], [v[pool] for v in views], rounds=6, growth=0.1)
+    both = quality_classifier.co_train([v[few] for v in views], y[few], _pick([v[pool] for v in views]), rounds=6, growth=5)
     hits = lambda m: ((m.logit(views[1][test]) > 0) == (y[test] > 0)).mean()
     assert hits(both[1]) > hits(alone)

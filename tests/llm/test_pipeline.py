@@ -90,4 +90,4 @@ def test_planted_cases(spark):
 def test_registered(spark):
     import __spark_entry__ as entry
     assert entry.queries()["pipeline"] is pipeline.run
-    assert len([k for k in entry.queries() if k.startswith("op")]) == 10
+    assert len([k for k in entry.queries() if k.startswith("op")]) == 13
