@@ -19,17 +19,21 @@ from stagewise.llm import decontamination, jaccard, packing, quality_classifier,
 from stagewise.llm.common import documents, staged
 
 
+def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` (with columns of any name) without the doc_ids of ``found``."""
+    found = found.select("doc_id").alias("found")
+    return docs.alias("own").join(found, F.col("own.doc_id") == F.col("found.doc_id"), "left_anti")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier accepts."""
     scored = quality_classifier.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rejected = scored.groupBy(F.col("doc_id").alias("_rejected")).agg(F.max("kept").alias("_kept")).where("not _kept")
-    return docs.join(rejected.select("_rejected"), docs["doc_id"] == F.col("_rejected"), "left_anti")
+    return _without(docs, scored.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near duplicates."""
-    later = jaccard.join(docs).where("doc_id != component_id").select(F.col("doc_id").alias("_later")).distinct()
-    return docs.join(later, docs["doc_id"] == F.col("_later"), "left_anti")
+    return _without(docs, jaccard.join(docs).where("doc_id != component_id").distinct())
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
