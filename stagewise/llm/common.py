@@ -8,10 +8,9 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import tempfile
-import uuid
 import zipfile
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
@@ -21,31 +20,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagewise.session import shared_path
+
 SPACES = " \t\n\u000b\u000c\r"
 
 
 # ---------------------------------------------------------------- staging
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where it is unset, a
-    private folder in local mode (tests) and an error on a cluster."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    folder = tempfile.mkdtemp(prefix="stagewise-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def new_path(spark: SparkSession, name: str) -> str:
-    """An unused path in the shared folder, deleted when the session's JVM ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.deleteOnExit(hadoop)
-    return path
+    """An unused path in the shared folder, with its scheme (so that tasks that
+    write there themselves mean the same store as Spark does), deleted when the
+    session's JVM ends."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_path(spark, name))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -178,43 +165,67 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+# The settings of a vocabulary file whose ids can be made word by word.
+_BY_WORD = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None}
+
+
 class TokenIds(dict):
     """word (bytes) → its token ids as little-endian uint32 bytes.
 
-    The vocabulary file drops white space and never joins tokens across it,
-    so a text's ids are those of its words in a row.  For Latin words the
-    normaliser lower-cases and the pre-tokeniser splits by the pattern in the
-    file, which is applied here once per distinct word before the library's
-    BPE model; other words take the library's whole path."""
+    Where the vocabulary file drops white space and never joins tokens across
+    it (its settings are compared on load), a text's ids are those of its words
+    in a row.  For Latin words the normaliser lower-cases and the pre-tokeniser
+    splits by the pattern in the file, which is applied here once per distinct
+    word before the library's BPE model; other words take the library's whole
+    path.  With any other file, whole texts do."""
 
     def __init__(self, path: str, most: int = 800_000):
         super().__init__()
+        import json
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        self.by_word = all(settings.get(k) == v for k, v in _BY_WORD.items()) and settings["model"]["type"] == "BPE"
+        self.size = self.tokenizer.get_vocab_size()
         self.model, self.most, self.pieces = self.tokenizer.model, most, {}
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.most:
             self.clear()
+        if word.isalpha():                                    # ASCII letters: one piece
+            value = self[word] = self._piece(word.lower().decode())
+            return value
         text = word.decode("utf-8", "replace")
         if _PLAIN.fullmatch(text) and "<|" not in text:
             value = b"".join(map(self._piece, _PIECES.findall(text.lower())))
         else:
-            value = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            value = self._whole(text)
         self[word] = value
         return value
 
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def _piece(self, piece: str) -> bytes:
         value = self.pieces.get(piece)
         if value is None:
             if len(self.pieces) >= self.most:
                 self.pieces.clear()
             mapped = piece if piece.isascii() else "".join(map(_LETTERS.__getitem__, piece.encode()))
-            ids = [t.id for t in self.model.tokenize(mapped)]
-            value = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            value = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
         return value
 
     def of(self, text: bytes, end: int) -> bytes:
+        if not self.by_word:
+            return self._whole(text.decode("utf-8", "replace")) + int(end).to_bytes(4, "little")
         return b"".join(map(self.__getitem__, text.split())) + int(end).to_bytes(4, "little")
 
 

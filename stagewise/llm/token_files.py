@@ -68,52 +68,52 @@ def decode(control: np.ndarray, data: np.ndarray) -> np.ndarray:
     return held.astype(np.uint8).reshape(-1, 4).view("<u4").ravel()
 
 
+_TOKENS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("seen", pa.binary())])
+
+
 def _tokenised(docs: DataFrame, path: str, end: int, key: str, text: str) -> DataFrame:
+    """doc_id, n and ids (in 16 bits where the vocabulary fits) of every text, and
+    as each task's last row ``seen``, how often it has met each id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = token_ids(path).of
+        tokens = token_ids(path)
+        kind = "<u2" if max(tokens.size, end + 1) <= 1 << 16 else "<u4"
+        total = np.zeros(max(tokens.size, end + 1), np.int64)
         for block in gathered(batches, "text", 1024, 4 << 20):
-            ids = [of(body, end) for body in raw(block.column("text"))]
+            ids = [np.frombuffer(tokens.of(body, end), "<u4") for body in raw(block.column("text"))]
+            total += np.bincount(np.concatenate(ids), minlength=len(total))
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id").combine_chunks(), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                [block.column("doc_id").combine_chunks(), pa.array([len(x) for x in ids], pa.int64()),
+                 pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()), pa.nulls(len(ids), pa.binary())], schema=_TOKENS)
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int64()), pa.array([None], pa.binary()),
+                                          pa.array([total.astype("<i8").tobytes()], pa.binary())], schema=_TOKENS)
 
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return map_arrow(narrow, run, "doc_id long, ids binary")
+    return map_arrow(narrow, run, "doc_id long, n long, ids binary, seen binary")
 
 
 def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4")
-        count = np.bincount(ids, minlength=len(total))
-        count[: len(total)] += total
-        total = count
+        for body in batch.column("seen").to_pylist():
+            total = np.frombuffer(body, "<i8") + (total if len(total) else 0)
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())],
                                      names=["id", "n"])
 
 
-def _coded(tokens: DataFrame, rank: np.ndarray) -> DataFrame:
-    shared = tokens.sparkSession.sparkContext.broadcast(rank)   # bounded by the vocabulary
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = shared.value
-        for block in gathered(batches, "ids", 4096, 4 << 20):
-            ids = [np.frombuffer(x, "<u4") for x in block.column("ids").to_pylist()]
-            n = np.array([len(x) for x in ids])
-            groups = -(-n // 4)
-            values = np.zeros(4 * groups.sum(), np.uint32)
-            first = 4 * (np.cumsum(groups) - groups)
-            values[np.repeat(first, n) + _runs(n)] = rank[np.concatenate(ids)]
-            control, data, sizes = encode(values)
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            g = np.concatenate([[0], np.cumsum(groups)])
-            yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id").combine_chunks(), pa.array(n, pa.int64()),
-                 pa.array([control[a:b].tobytes() for a, b in zip(g, g[1:])], pa.binary()),
-                 pa.array([data[ends[a]:ends[b]].tobytes() for a, b in zip(g, g[1:])], pa.binary())],
-                names=["doc_id", "n", "control", "data"])
-
-    return map_arrow(tokens, run, "doc_id long, n long, control binary, data binary")
+def _coded(block: pa.Table, rank: np.ndarray) -> Iterator[tuple]:
+    """(doc_id, n, control bytes, data bytes) of rows of tokens."""
+    n = block.column("n").to_numpy()
+    ids = [np.frombuffer(x, "<u2" if len(x) == 2 * k else "<u4") for x, k in zip(block.column("ids").to_pylist(), n)]
+    groups = -(-n // 4)
+    values = np.zeros(4 * groups.sum(), np.uint32)
+    first = 4 * (np.cumsum(groups) - groups)
+    values[np.repeat(first, n) + _runs(n)] = rank[np.concatenate(ids)]
+    control, data, sizes = encode(values)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    g = np.concatenate([[0], np.cumsum(groups)])
+    for doc, k, a, b in zip(block.column("doc_id").to_pylist(), n.tolist(), g, g[1:]):
+        yield doc, k, control[a:b].tobytes(), data[ends[a]:ends[b]].tobytes()
 
 
 def _runs(n: np.ndarray) -> np.ndarray:
@@ -175,12 +175,14 @@ def write(docs: DataFrame, folder: str, end: int = 2, tokenizer: str | None = No
     spark = docs.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tokens = staged(_tokenised(docs, tokenizer or vocabulary_path(), end, key, text), "token-ids")
-    counts = (map_arrow(tokens, _histogram, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    seen = tokens.where("seen is not null").select("seen")       # one row per task
+    counts = (map_arrow(seen, _histogram, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
               .orderBy(F.desc("n"), "id").toPandas())           # at most one row per vocabulary entry
     ids = counts["id"].to_numpy(np.uint32)
     rank = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.uint32)
     rank[ids] = np.arange(len(ids), dtype=np.uint32)
     _write(f"{folder}/ranks.bin", ids.astype("<u4").tobytes())
+    shared = spark.sparkContext.broadcast(rank)                 # bounded by the vocabulary
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, held, n = TaskContext.get().partitionId(), 0, [], 0
@@ -193,8 +195,8 @@ def write(docs: DataFrame, folder: str, end: int = 2, tokenizer: str | None = No
                 [("file", pa.string()), ("part", pa.int32()), ("seq", pa.int32()),
                  ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "control", "data"))):
+        for block in gathered(batches, "ids", 4096, 4 << 20):
+            for row in _coded(block, shared.value):
                 held.append(row)
                 n += row[1]
                 if n >= file_tokens:
@@ -203,8 +205,9 @@ def write(docs: DataFrame, folder: str, end: int = 2, tokenizer: str | None = No
         if held:
             yield flush()
 
-    order = ["doc_id", "n", "control", "data"]
-    ordered = (_coded(tokens, rank).repartitionByRange(partitions, "doc_id", "n").sortWithinPartitions(*order))
+    # the ranges are sampled from the written ids and counts; coding stands behind the exchange
+    rows = tokens.where("seen is null").select("doc_id", "n", "ids")
+    ordered = rows.repartitionByRange(partitions, "doc_id", "n").sortWithinPartitions("doc_id", "n", "ids")
     manifest = staged(map_arrow(ordered, save, "file string, part int, seq int, n_docs long, n_tokens long"),
                       "token-manifest")
     # one row per file, put in order of (part, seq) for the running sum

@@ -55,6 +55,31 @@ def test_ids_equal_the_library_on_any_text(text):
     assert own == library.encode(text, add_special_tokens=False).ids + [2]
 
 
+@pytest.mark.parametrize("text", [*TEXTS, "  two  spaces\nand lines ", "It's 12 o'clock"])
+def test_another_vocabulary_takes_the_whole_path(text):
+    path = vocabulary_path("byte_bpe_50k.json")
+    own = TokenIds(path)
+    assert not own.by_word and TokenIds(vocabulary_path()).by_word
+    expected = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids + [2]
+    assert np.frombuffer(own.of(text.encode(), 2), "<u4").tolist() == expected
+
+
+def test_files_of_another_vocabulary(spark):
+    from llm_data import frame
+    from stagewise.llm.common import new_path
+    rows = [(3, "Two  spaces and\nlines"), (1, None), (2, "x" * 3000 + " 日本"), (None, "no id")]
+    path, folder = vocabulary_path("byte_bpe_50k.json"), new_path(spark, "other")
+    assert folder.startswith("file:")                          # as tasks must see it
+    manifest = token_files.write(frame(spark, rows), folder, end=60_000, tokenizer=path)      # ids of more than 16 bits
+    got = token_files.read(spark, folder, manifest).collect()
+    library = Tokenizer.from_file(path)
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in got} == {
+        d: library.encode(t or "", add_special_tokens=False).ids + [60_000] for d, t in rows}
+    large = token_files.write(frame(spark, rows), new_path(spark, "large"), end=70_000)
+    assert large.agg({"n_tokens": "sum"}).first()[0] == sum(
+        len(_library().encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows)
+
+
 _CACHE = {}
 
 
