@@ -19,9 +19,7 @@ def chart_frame(df: DataFrame, x: str, y: str, series: str | None = None, kind:
         raise ValueError(f"no column {missing[0]!r} in the result; available: {', '.join(df.columns)}")
     if check_empty and df.isEmpty():
         raise ValueError("the query returned no rows; nothing to draw")
-    # the largest magnitude is one value: fetched once, used as a literal
-    top = df.agg(F.max(F.abs(F.col(y).cast("double"))).alias("m")).first()["m"]
-    div = scale_unit(F.lit(top).cast("double"))
+    div = scale_unit(df.agg(F.max(F.abs(F.col(y).cast("double")))).scalar())     # the largest magnitude, a subquery
     out = df.select(
         F.col(x).alias("x"),
         (F.col(series).cast("string") if series else F.lit("")).alias("series"),

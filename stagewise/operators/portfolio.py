@@ -187,11 +187,11 @@ def initiative_kpis(passport: DataFrame) -> DataFrame:
     """Per initiative the relative payback (months from its own start) and
     the absolute payback month (from the portfolio start), with the count of
     initiatives on every row."""
-    total = passport.count()                   # one number, used as a literal
+    total = passport.agg(F.count(F.lit(1))).scalar()
     return passport.select(
         "initiative_id", "name", "start_month", "months_to_payback",
         (F.col("start_month") + F.col("months_to_payback")).alias("payback_month"),
-        F.lit(total).cast("bigint").alias("initiatives"))
+        total.cast("bigint").alias("initiatives"))
 
 
 def not_recovered(curve: DataFrame, horizon: int = HORIZON) -> DataFrame:
@@ -202,11 +202,9 @@ def not_recovered(curve: DataFrame, horizon: int = HORIZON) -> DataFrame:
 
 def shift_most_expensive(passport: DataFrame, months: int = 3) -> DataFrame:
     """What-if alteration: the most expensive initiative (id breaks ties) starts
-    later.  Its id is one value (a top-1), fetched once and used as a literal."""
-    top = passport.orderBy(F.col("cost_rub").desc(), F.col("initiative_id")).select("initiative_id").first()
-    if top is None:
-        return passport
-    hit = F.col("initiative_id") == F.lit(top["initiative_id"])
+    later.  Its id is the value of a top-1 subquery."""
+    top = passport.orderBy(F.col("cost_rub").desc(), F.col("initiative_id")).select("initiative_id").limit(1)
+    hit = F.col("initiative_id") == top.scalar()
     return passport.withColumn("start_month", F.when(hit, F.col("start_month") + months)
                                .otherwise(F.col("start_month")).cast("int"))
 

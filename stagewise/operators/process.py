@@ -123,21 +123,18 @@ def distribution_summary(df: DataFrame, x: str) -> DataFrame:
 def histogram(df: DataFrame, x: str, bins: int = 45) -> DataFrame:
     """Equal-width bins from min to max, last edge closed, empty bins
     included; edges are not rounded, NULL and NaN are in no bin.  The bounds
-    are one row, fetched once (a job) and used as literals; the counting pass
-    groups into ≤ ``bins`` groups."""
+    are a one-row subquery; the counting pass groups into ≤ ``bins`` groups.
+    Without values there is no bin."""
     v = F.col(x).cast("double")
     known = df.where(v.isNotNull() & ~F.isnan(v))
-    b = known.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
     spark = df.sparkSession
-    if b is None or b.lo is None:
-        return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, n bigint")
-    lo, hi = F.lit(float(b.lo)), F.lit(float(b.hi))
+    lo, hi = known.agg(F.min(v)).scalar(), known.agg(F.max(v)).scalar()
     idx = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(bins))) + 1, F.lit(bins))).cast("int")
     counts = known.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     spine = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     width = (hi - lo) / F.lit(float(bins))
-    return (spine.join(counts, "bin", "left")
+    return (spine.join(counts, "bin", "left").where(lo.isNotNull())
             .select("bin", (lo + width * (F.col("bin") - 1)).alias("bin_lo"),
                     (lo + width * F.col("bin")).alias("bin_hi"), F.coalesce("n", F.lit(0)).alias("n"))
             .orderBy("bin"))

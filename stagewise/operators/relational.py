@@ -91,10 +91,9 @@ def top_n(df: DataFrame, measure: str, key: str, n: int) -> DataFrame:
 
 def top_n_with_ties(df: DataFrame, measure: str, n: int) -> DataFrame:
     """``rank() <= n`` without a global window: the n-th value comes from a
-    top-n (bounded, fetched once as a literal), then a filter keeps every tied row."""
-    cut = (df.select(measure).where(F.col(measure).isNotNull()).orderBy(F.col(measure).desc()).limit(n)
-           .agg(F.min(measure).alias("c")).first()["c"])
-    return df.where(F.col(measure) >= F.lit(cut)) if cut is not None else df.limit(0)
+    top-n subquery, then a filter keeps every tied row."""
+    first = df.select(measure).where(F.col(measure).isNotNull()).orderBy(F.col(measure).desc()).limit(n)
+    return df.where(F.col(measure) >= first.agg(F.min(measure)).scalar())
 
 
 def bucket(x, edges: Sequence[float], labels: Sequence[str]) -> Column:
