@@ -10,22 +10,30 @@ them.  They are joined with the benchmark's seeds, and a hit is verified on
 the words around it: some run of ``span`` words (the whole item, if shorter)
 must agree in at least ``similarity`` of its places.
 
+From 11 words on, three masks meet every allowed pattern of replaced words.
+Shorter items have masks of their own length: all ways to leave out as many
+words as may differ (none up to 4 words, one up to 9, two of 10).  Masks are
+made for the lengths that the benchmark has; without short items there are none.
+
 Only DataFrame and SQL functions.  The bit set does not grow with the data; a
 benchmark too large for it passes more seeds on, with the same result.
 
-Words are lower-cased.  Cases: null, empty and short texts have no seeds;
-items shorter than the shortest mask have none either and are never found;
+Words are lower-cased.  Cases: null and empty texts and items have no seeds;
 equal items are found as often as they stand; equal rows count as one
 document; empty tables give an empty result; extra columns are ignored."""
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, staged, words_column
 
 MASKS = ("1101011", "11100101", "110010101")
+SHORT = 10                                               # items up to so many words have masks of their own
 REACH = 13
 BITS = 24                                                # log2 of the bit set's size
 
@@ -35,23 +43,29 @@ def _hashes(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
     return df.select(F.col(key).cast("long").alias(name), F.transform(words, lambda w: F.xxhash64(w)).alias("h"))
 
 
-def _seeds() -> Column:
+def short_masks(words: int, similarity: float) -> list[str]:
+    """All ways to leave out the words of a short item that may differ."""
+    out = words - ceil(words * similarity - 1e-9)
+    return ["".join("0" if k in gaps else "1" for k in range(words)) for gaps in combinations(range(words), out)]
+
+
+def _seeds(masks: list[str]) -> Column:
     """The seeds of all masks at place i of the array h, in the masks' order:
     the hashes of the words that count, each rotated by its own number of bits."""
     def rotated(place: int, bits: int) -> str:
         x = f"get(h, i + {place})"
         return f"(shiftleft({x}, {bits}) | shiftrightunsigned({x}, {64 - bits}))" if bits else x
     return F.array(*(F.expr(" ^ ".join(rotated(k, 7 * n) for n, k in enumerate(
-        k for k, c in enumerate(mask) if c == "1"))) for mask in MASKS))
+        k for k, c in enumerate(mask) if c == "1"))) for mask in masks))
 
 
-def _placed(hashed: DataFrame, key: str) -> DataFrame:
+def _placed(hashed: DataFrame, key: str, masks: list[str]) -> DataFrame:
     """(key, h) with a row per place and mask: i, mask, seed (null where the
     mask ends beyond the text).  Generators keep each seed a computed column,
     so that the tests on it stay small enough to be compiled."""
-    spans = F.element_at(F.array(*(F.lit(len(m)) for m in MASKS)), F.col("mask") + 1)
+    spans = F.element_at(F.array(*(F.lit(len(m)) for m in masks)), F.col("mask") + 1)
     return (hashed.where(F.size("h") > 0).select(key, "h", F.posexplode("h").alias("i", "_h"))
-            .select(key, "h", "i", F.posexplode(_seeds()).alias("mask", "seed"))
+            .select(key, "h", "i", F.posexplode(_seeds(masks)).alias("mask", "seed"))
             .where(F.col("i") + spans <= F.size("h")))
 
 
@@ -59,15 +73,14 @@ def _around(least: int, most: int) -> Column:
     return F.expr(f"transform(sequence(-{least}, {most}), k -> get(h, i + k))")
 
 
-def _longest() -> int:
-    return max(map(len, MASKS))
-
-
-def seeds(items: DataFrame) -> DataFrame:
-    """All seeds of (item_id, h): item_id, mask, seed, item_at, item_words, around."""
-    return (_placed(items, "item_id")
+def seeds(items: DataFrame, masks: list[str]) -> DataFrame:
+    """All seeds of (item_id, h): item_id, mask, seed, item_at, item_words,
+    around; short items only by the masks of their length."""
+    length = F.element_at(F.array(*(F.lit(len(m) if k >= len(MASKS) else 0) for k, m in enumerate(masks))), F.col("mask") + 1)
+    own = F.when(F.size("h") <= SHORT, F.size("h")).otherwise(0)
+    return (_placed(items, "item_id", masks).where(length == own)
             .select("item_id", "mask", "seed", F.col("i").alias("item_at"), F.size("h").alias("item_words"),
-                    _around(REACH, _longest() + REACH).alias("item_around")))
+                    _around(REACH, max(map(len, masks)) + REACH).alias("item_around")))
 
 
 def bit_set(seeded: DataFrame, bits: int = BITS) -> Column:
@@ -97,10 +110,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str
     """One row per document and item with a verified overlap: doc_id, item_id,
     first_word (place in the document of the best run), agreeing (words that
     agree in it), run_words, hits (verified seed hits)."""
-    items = seeds(_hashes(benchmark, item, text, "item_id"))
-    items = staged(items, "benchmark-seeds")
-    found = (_placed(_hashes(docs, key, text, "doc_id"), "doc_id").where(_marked(bit_set(items)))
-             .select("doc_id", "i", "mask", "seed", _around(REACH, _longest() + REACH).alias("around")))
+    hashed = _hashes(benchmark, item, text, "item_id")
+    lengths = sorted(r[0] for r in hashed.select(F.size("h").alias("n")).where(f"n between 1 and {SHORT}").distinct().collect())
+    masks = [*MASKS, *(m for n in lengths for m in short_masks(n, similarity))]
+    items = staged(seeds(hashed, masks), "benchmark-seeds")
+    found = (_placed(_hashes(docs, key, text, "doc_id"), "doc_id", masks).where(_marked(bit_set(items)))
+             .select("doc_id", "i", "mask", "seed", _around(REACH, max(map(len, masks)) + REACH).alias("around")))
     # agreement place by place around the seed; a run of ``w`` words begins at place o (from 1)
     agree = F.expr("transform(zip_with(around, item_around, (a, b) -> a = b), x -> if(x, 1, 0))")
     w = F.least(F.lit(span), F.col("item_words"))

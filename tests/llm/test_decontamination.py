@@ -64,6 +64,31 @@ def test_substitutions(spark):
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} == clean
 
 
+def test_short_items_equal_brute_force(spark):
+    """Items of 1 to 12 words, exact and with words replaced: exactly the
+    documents of which some window agrees in 80 % of the item's places."""
+    rng = random.Random(23)
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(1, 13)] + [(20, None), (21, " ")]
+    rows = []
+    for d in range(400):
+        n = rng.randint(1, 12)
+        leak = [f"i{n}w{k}" for k in range(n)]
+        for k in rng.sample(range(n), rng.randint(0, min(3, n))):
+            leak[k] = "other"
+        before, after = (prose(rng, rng.randint(0, 15)) for _ in range(2))
+        rows.append((d, " ".join(before + leak + after)))
+    expected = set()
+    for i, item in items:
+        v = (item or "").split()
+        for d, t in rows:
+            u = t.split()
+            if v and any(5 * sum(a == b for a, b in zip(u[k:], v)) >= 4 * len(v) for k in range(len(u) - len(v) + 1)):
+                expected.add((d, i))
+    found = decontamination.leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == expected
+    assert {i for _, i in expected} == set(range(1, 13))
+
+
 def test_no_python_in_the_plan(spark):
     plan = decontamination.op5_spaced_seed_decontamination(spark, SF_CHECK)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
