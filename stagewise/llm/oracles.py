@@ -10,12 +10,12 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _ALPHA, _DELTA = 0.005, 0.05
 
 
-def op4_sql() -> str:
+def op4_sql(alpha: float = _ALPHA, delta: float = _DELTA) -> str:
     """Counts by unnesting windows; binomial tails as sums of terms."""
     grid = [(rule, c) for rule, cs in CUTOFFS.items() for c in cs]
     rows = ", ".join(f"('{rule}', {c!r}::DOUBLE)" for rule, c in grid)
     share = " ".join(f"WHEN '{rule}' THEN {rule}" for rule in CUTOFFS)
-    log_a, log_b = math.log(_ALPHA), math.log(1 - _ALPHA)
+    log_a, log_b = math.log(alpha), math.log(1 - alpha)
     return f"""
 WITH base AS (
   SELECT doc_id, lang AS stratum, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words,
@@ -48,12 +48,12 @@ tallies AS (
          sum(CASE WHEN CASE rule {share} END > cutoff THEN 1 ELSE 0 END) AS k
   FROM shares SEMI JOIN good USING (doc_id) CROSS JOIN grid GROUP BY ALL),
 tails AS (
-  SELECT *, CASE WHEN k >= n * {_ALPHA} THEN 1.0 ELSE list_sum(list_transform(range(0, CAST(k + 1 AS BIGINT)), lambda i:
+  SELECT *, CASE WHEN k >= n * {alpha} THEN 1.0 ELSE list_sum(list_transform(range(0, CAST(k + 1 AS BIGINT)), lambda i:
            exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * {log_a!r} + (n - i) * {log_b!r}))) END AS tail
   FROM tallies),
 cuts AS (
   SELECT stratum, rule, min(cutoff) AS cutoff FROM tails
-  WHERE tail <= {_DELTA} / (SELECT count(*) FROM tails) GROUP BY stratum, rule),
+  WHERE tail <= {delta} / (SELECT count(*) FROM tails) GROUP BY stratum, rule),
 failed AS (
   SELECT DISTINCT doc_id FROM shares JOIN cuts ON cuts.stratum IS NOT DISTINCT FROM shares.stratum
   WHERE CASE rule {share} END > cutoff)

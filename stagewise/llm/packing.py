@@ -17,8 +17,7 @@ part-filled sequence, against thousands of full ones.
 
 Cases: a null or empty text is the end id alone (one piece of length 1); an
 empty table gives an empty result; pieces of equal length are taken in
-(doc_id, piece) order; repeated doc_ids are told apart by a row number inside
-their group; a full-length piece has a sequence of its own; extra columns of
+(doc_id, piece) order, those of repeated doc_ids in any; a null doc_id is kept; a full-length piece has a sequence of its own; extra columns of
 the input are ignored."""
 
 from __future__ import annotations

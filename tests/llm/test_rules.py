@@ -112,3 +112,17 @@ def test_query_columns_and_base_rule(spark):
     for r in got.collect():
         assert r["base_failed"] == (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"])
         assert not (r["kept"] and r["base_failed"])
+
+
+def test_active_rules_equal_sql(spark):
+    """With alpha 0.1 some cutoffs are safe on the test data's labels, and the
+    verdicts of the method are those of the SQL text."""
+    import os, sys
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    from oracle_harness import duck
+    from stagewise.llm.oracles import op4_sql
+    docs, labels = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in rules.judge(docs, labels, alpha=0.1).collect()}
+    rows = duck(SF_CHECK).execute(op4_sql(alpha=0.1)).fetchall()
+    assert got == {r[0]: (r[-2], r[-1]) for r in rows}
+    assert any(not base and not kept for base, kept in got.values())

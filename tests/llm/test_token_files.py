@@ -131,6 +131,36 @@ def test_best_two_fit_places_every_piece_once(lengths):
         assert at <= 64
 
 
+def _naive(lengths, capacity):
+    """Best-two-fit over a plain list of pieces: the bins' contents."""
+    pool, bins = sorted(lengths), []
+    while pool:
+        held = []
+        while fits := [x for x in pool if x <= capacity - sum(held)]:
+            held.append(max(fits))
+            pool.remove(max(fits))
+        while sum(held) < capacity:
+            short, room = min(held), capacity - sum(held) + min(held)
+            pairs = [(x + y, -x) for i, x in enumerate(pool) for y in pool[i + 1:] if x + y <= room]
+            if not pairs or max(pairs)[0] <= short:
+                break
+            total, x = max(pairs)
+            held.remove(short)
+            pool.remove(-x)
+            pool.remove(total + x)
+            held += [-x, total + x]
+            pool = sorted(pool + [short])
+        bins.append(sorted(held))
+    return sorted(bins)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 40), min_size=1, max_size=40))
+def test_best_two_fit_equals_the_naive_one(lengths):
+    number, _, n = packing.best_two_fit(np.array(lengths), 40)
+    assert sorted(sorted(lengths[i] for i in range(len(lengths)) if number[i] == b) for b in range(int(n))) == _naive(lengths, 40)
+
+
 def test_two_pieces_replace_the_shortest():
     # greedy takes 6 then 3 (gap 1); 2 + 2 fill the place of 3 and the gap exactly
     number, _, n = packing.best_two_fit(np.array([6, 3, 2, 2, 7]), 10)
