@@ -56,7 +56,8 @@ def flag_repeats(df: DataFrame, key: str | Sequence[str], order: Sequence[Column
     out again.  Columns must be comparable (no maps)."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")    # NULLs are equal inside a struct
     counted = df.select(row).groupBy("_row").agg(F.count(F.lit(1)).alias("_n"))
-    firsts = first_per_key(counted.select("_row.*"), key, order).select(row, F.lit(True).alias("_first"))
+    # the count is used here too, so that both sides read one exchange
+    firsts = first_per_key(counted.where("_n > 0").select("_row.*"), key, order).select(row, F.lit(True).alias("_first"))
     found = counted.join(firsts, "_row", "left")
     dealt = (found.where(F.col("_n") > chunk)
              .withColumn("_lo", F.explode(F.sequence(F.lit(1), F.col("_n"), F.lit(chunk))))

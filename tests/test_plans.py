@@ -58,8 +58,8 @@ def test_source_gap_single_shuffle(spark):
 @pytest.mark.parametrize("key,table,scans", [
     ("r4_channel_stage_sla", "lineitem", 2),     # stage events, and the lines that applications are made of
     ("r2_stage_sla", "lineitem", 2), ("r9_box_stats", "lineitem", 2), ("r7_distribution", "lineitem", 2),
-    ("p18_percentile", "lineitem", 1), ("p21_outliers", "lineitem", 1), ("r10_iqr_outliers", "events", 1)])
-def test_percentile_input_is_computed_once(spark, key, table, scans):
+    ("p18_percentile", "lineitem", 1), ("w6_repeat_flags", "lineitem", 1), ("p21_outliers", "lineitem", 1), ("r10_iqr_outliers", "events", 1)])
+def test_input_is_computed_once(spark, key, table, scans):
     df = registry.queries()[key](spark, SF_SMALL)
     df.collect()
     final = plan_of(df).split("== Initial Plan ==")[0]
