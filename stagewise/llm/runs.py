@@ -34,8 +34,11 @@ def runs_hash(h: np.ndarray, n: int) -> np.ndarray:
 
 
 def _runs(stays: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
-    """(w, doc_id, pos, at) of every run of the ones that stay: its hash,
-    its place and the first place of an equal run in the document."""
+    """(w, doc_id, pos, turn, at, step, times) of every run of the ones that
+    stay: its hash and place, the first place ``at`` of an equal run in the
+    document, and how often that one returns: ``times`` places, ``step`` apart.
+    ``turn`` numbers a run's own returns.  Only returns that overlap or touch
+    count; they are what a text that repeats a few words is made of."""
     asked = stays.groupBy("doc_id").agg(F.collect_list(F.struct("first", "runs")).alias("asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,7 +47,7 @@ def _runs(stays: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
             lists = block.column("asked").combine_chunks()
             ends, flat = np.append(0, np.cumsum(lists.value_lengths().to_numpy())), lists.flatten()
             first, runs = (flat.field(c).to_numpy() for c in ("first", "runs"))
-            cols: list[list[np.ndarray]] = [[], [], [], []]
+            cols: list[list[np.ndarray]] = [[], [], [], [], [], [], []]
             for doc, body, a, b in zip(block.column("doc_id").to_pylist(), raw(block.column("text")), ends, ends[1:]):
                 w = runs_hash(hashes.of(body.split()), min_words)
                 mark = np.zeros(len(w) + 1, np.int64)
@@ -52,14 +55,38 @@ def _runs(stays: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
                 np.add.at(mark, first[a:b] + runs[a:b], -1)
                 pos = np.flatnonzero(np.cumsum(mark[:-1]))
                 _, of_first, same = np.unique(w[pos], return_index=True, return_inverse=True)
-                for col, x in zip(cols, (w[pos].view(np.int64), np.full(len(pos), doc, np.int64), pos, pos[of_first][same])):
+                for col, x in zip(cols, (w[pos].view(np.int64), np.full(len(pos), doc, np.int64), pos,
+                                         *_returns(pos, same, len(of_first), min_words))):
                     col.append(x)
-            w, doc, pos, at = (np.concatenate(c) for c in cols)
-            yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(doc), pa.array(pos.astype(np.int32)),
-                                              pa.array(at.astype(np.int32))], names=["w", "doc_id", "pos", "at"])
+            w, doc, *places = (np.concatenate(c) for c in cols)
+            yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(doc), *(pa.array(x.astype(np.int32)) for x in places)],
+                                             names=["w", "doc_id", "pos", "turn", "at", "step", "times"])
 
     return map_arrow(texts.join(asked, "doc_id").select("doc_id", "text", "asked"), run,
-                     "w long, doc_id long, pos int, at int")
+                     "w long, doc_id long, pos int, turn int, at int, step int, times int")
+
+
+def _returns(pos: np.ndarray, same: np.ndarray, n: int, reach: int) -> tuple[np.ndarray, ...]:
+    """turn, at, step and times of runs at the ascending places ``pos``, of
+    which those with equal ``same`` (of ``n`` values) are equal."""
+    if n == len(pos):
+        return np.zeros(n, np.int64), pos, np.zeros(n, np.int64), np.ones(n, np.int64)
+    order = np.argsort(same, kind="stable")
+    group, place, i = same[order], pos[order], np.arange(len(pos))
+    begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    gap = np.append(0, np.diff(place))
+    fresh = gap > reach
+    fresh[begin] = True
+    turn = np.empty_like(pos)
+    turn[order] = i - np.maximum.accumulate(np.where(fresh, i, 0))
+    # the first place's returns: as long as the gap stays the first one
+    second = np.minimum(begin + 1, len(pos) - 1)
+    step = np.where(fresh[second], 0, gap[second])
+    ends = fresh | (gap != step[group])
+    ends[begin] = False
+    size = np.diff(np.append(begin, len(pos)))
+    times = np.minimum(size, np.minimum.reduceat(np.where(ends, i, len(pos)), begin) - begin)
+    return turn, place[begin][same], step[same], times[same]
 
 
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -109,15 +136,18 @@ def _contexts(needed: DataFrame, texts: DataFrame, reach: int) -> DataFrame:
 def matched(stays: DataFrame, texts: DataFrame, min_words: int, reach: int) -> DataFrame:
     """Passages of ``min_words`` words at least from (doc_id, first, runs): the
     places where a document may share that many.  Each run goes to the least
-    document that has it; passages are extended by at most ``reach`` words."""
+    document that has it, and the returns of a run in turn to its returns there,
+    so that words repeated over and over are few passages, not one for each
+    return; passages are extended by at most ``reach`` words."""
     runs = staged(_runs(stays, texts, min_words), "word-runs")
     # written, so that the join has an exchange of its own on both sides and Spark splits a crowded run
-    least = staged(runs.groupBy("w").agg(F.min("doc_id").alias("a"), F.min_by("at", "doc_id").alias("pos_a"),
-                                         F.max("doc_id").alias("greatest"))
-                   .where("a < greatest").select("w", "a", "pos_a"), "run-least")
+    least = staged(runs.groupBy("w").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("greatest"),
+                                         *(F.min_by(c, "doc_id").alias(f"{c}_a") for c in ("at", "step", "times")))
+                   .where("a < greatest").drop("greatest"), "run-least")
     # runs of one pair on one diagonal that overlap or touch are one passage
-    sided = (runs.join(least, "w").where("doc_id > a")
-             .select(F.col("doc_id").alias("b"), "a", "pos", (F.col("pos") - F.col("pos_a")).alias("shift")))
+    pos_a = F.col("at_a") + F.col("step_a") * (F.col("turn") % F.col("times_a"))
+    sided = (runs.select("w", "doc_id", "pos", "turn").join(least, "w").where("doc_id > a")
+             .select(F.col("doc_id").alias("b"), "a", "pos", (F.col("pos") - pos_a).alias("shift")))
     line = Window.partitionBy("b", "a", "shift").orderBy("pos")
     spans = (sided.withColumn("new", (F.col("pos") > F.lag("pos").over(line) + min_words).cast("int"))
              .withColumn("run", F.sum(F.coalesce("new", F.lit(0))).over(line))

@@ -188,3 +188,61 @@ def test_chunk_dedup_matches_brute_force(spark):
     for r in got:
         part = texts[r["doc_id"]].encode()[r["start"]: r["start"] + r["size"]].decode()
         assert part in texts[r["first_doc_id"]] and len(part.split()) == r["words"]
+
+
+def _held(rows, least):
+    """Per document, the places of words in a run of ``least`` that an earlier document has."""
+    first, held = {}, {}
+    for d, t in sorted(rows):
+        w = _words(t)
+        for i in range(len(w) - least + 1):
+            if first.setdefault(tuple(w[i:i + least]), d) != d:
+                held.setdefault(d, set()).update(range(i, i + least))
+    return held
+
+
+@pytest.mark.parametrize("find", [substrings.repeated_passages, suffixes.repeated_passages])
+def test_words_repeated_over_and_over_are_few_passages(spark, find):
+    """A text that repeats a few words has equal runs at many places; they are
+    paired in turn, not each with the first place of the other document."""
+    rng = random.Random(15)
+    around = lambda: prose(rng, 9, 10**6)
+    beats = [["a", "b"], ["c"], prose(rng, 7), prose(rng, 49)]
+    rows = []
+    for k, beat in enumerate(beats):
+        for d, (turn, n) in enumerate([(0, 240), (0, 240), (1, 700), (0, 130)]):
+            rows.append((10 * k + d, " ".join([*around(), *(beat * 700)[turn:turn + n], *around(),
+                                               *(beat * 9)[:100 * (d == 1)], *around()])))
+    got = find(frame(spark, rows)).collect()
+    texts, held = {d: _words(t) for d, t in rows}, {}
+    for r in got:
+        body = dict(rows)[r["doc_id"]].encode()
+        i = len(body[:r["start"]].split())
+        part = body[r["start"]: r["start"] + r["size"]].split()
+        other = texts[r["first_doc_id" if "first_doc_id" in r else "other_doc_id"]]
+        assert len(part) == r["words"] and any(other[j:j + len(part)] == part for j in range(len(other)))
+        held.setdefault(r["doc_id"], set()).update(range(i, i + r["words"]))
+    assert held == _held(rows, 50)
+    counts = {d: sum(r["doc_id"] == d for r in got) for d in texts}
+    assert max(counts.values()) <= 16, counts
+
+
+def test_returns_of_runs():
+    """Against a plain loop: turns in a row, and the first place's even returns."""
+    rng = np.random.default_rng(16)
+    for trial in range(200):
+        pos = np.flatnonzero(rng.random(60) < rng.random())
+        if not len(pos):
+            continue
+        _, same = np.unique(rng.integers(0, rng.integers(1, 6), len(pos)), return_inverse=True)
+        turn, at, step, times = runs._returns(pos, same, same.max() + 1, 5)
+        for g in range(same.max() + 1):
+            own = pos[same == g].tolist()
+            turns, even = [0], [own[0]]
+            for p, q in zip(own, own[1:]):
+                turns.append(turns[-1] + 1 if q - p <= 5 else 0)
+            gap = own[1] - own[0] if len(own) > 1 and own[1] - own[0] <= 5 else 0
+            while gap and len(even) < len(own) and own[len(even)] == even[-1] + gap:
+                even.append(even[-1] + gap)
+            assert turn[same == g].tolist() == turns
+            assert {(a, s, t) for a, s, t in zip(at[same == g], step[same == g], times[same == g])} == {(own[0], gap, len(even))}
