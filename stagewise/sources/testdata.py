@@ -97,6 +97,24 @@ def _export_moment(t: Tables):
     return t.export_moment
 
 
+# Order lines that one task of a join by order takes, on average.
+LINES_A_TASK = 1_000_000
+
+
+def _by_order(t: Tables, df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt by order over tasks of some million lines at most.
+
+    Left to itself, Spark joins small partitions to tasks of a number of
+    compressed bytes, and sorted keys pack so well that one task would sort
+    tens of millions of rows.  The lines are counted in the files' footers;
+    where one task can take them all, Spark is left to itself."""
+    if not hasattr(t, "order_tasks"):
+        lines = t["lineitem"].count()
+        t.order_tasks = 0 if lines <= LINES_A_TASK else max(
+            int(t.spark.conf.get("spark.sql.shuffle.partitions")), -(-lines // LINES_A_TASK))
+    return df.repartition(t.order_tasks, key) if t.order_tasks else df
+
+
 def applications(t: Tables) -> DataFrame:
     li = t["lineitem"].select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_linestatus")
     o = t["orders"].select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", "o_orderdate")
@@ -105,7 +123,9 @@ def applications(t: Tables) -> DataFrame:
                  F.col("c_nationkey") == F.col("n_nationkey"), "left")
            .join(t["region"].select("r_regionkey", "r_name"),
                  F.col("n_regionkey") == F.col("r_regionkey"), "left"))
-    rows = li.join(o, "o_orderkey").join(geo, F.col("o_custkey") == F.col("c_custkey"), "left")
+    # customers are looked up by order, not by line; the lines come last
+    placed = o.join(geo, F.col("o_custkey") == F.col("c_custkey"), "left")
+    rows = _by_order(t, li, "o_orderkey").join(_by_order(t, placed, "o_orderkey"), "o_orderkey")
     return rows.select(
         F.col("o_orderkey").alias("application_id"),
         F.when(_gap("technical_client"), F.lit("CL-TEST")).otherwise(_unless(
@@ -124,7 +144,7 @@ def stage_events(t: Tables) -> DataFrame:
     li = t["lineitem"].select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
     o = t["orders"].select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderstatus")
     cut = _export_moment(t)
-    return li.join(o, "l_orderkey").select(
+    return _by_order(t, li, "l_orderkey").join(_by_order(t, o, "l_orderkey"), "l_orderkey").select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"),
                     F.col("l_linenumber").cast("string")).alias("event_id"),
         F.col("l_orderkey").alias("application_id"),
@@ -194,7 +214,7 @@ def cards_export(t: Tables) -> DataFrame:
     def ru_or_iso(ts, ru):
         return F.when(ru, F.date_format(ts, "dd.MM.yyyy")).otherwise(F.date_format(ts, "yyyy-MM-dd"))
 
-    return li.join(o, "l_orderkey").select(
+    return _by_order(t, li, "l_orderkey").join(_by_order(t, o, "l_orderkey"), "l_orderkey").select(
         F.col("l_orderkey").cast("string").alias("card_id"),
         ru_or_iso(F.col("o_orderdate"), line % 2 == 1).alias("issued"),
         F.element_at(spell, ((F.col("l_orderkey") + line) % 16 + 1).cast("int")).alias("channel"),

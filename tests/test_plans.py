@@ -1,11 +1,13 @@
 """Physical-plan properties the operators are designed for."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from stagewise.plans import registry
 from stagewise.plans.registry import Layer
 from stagewise.operators import portfolio, quality
+from stagewise.sources import testdata as td
 
 
 def plan_of(df) -> str:
@@ -64,3 +66,17 @@ def test_input_is_computed_once(spark, key, table, scans):
     df.collect()
     final = plan_of(df).split("== Initial Plan ==")[0]
     assert final.count(f"{table}.parquet") == scans, final
+
+
+def test_order_joins_are_dealt_by_lines(spark, monkeypatch):
+    """A task takes a number of lines, however well they pack, and the counts
+    of the layers come out of those tasks without another exchange."""
+    monkeypatch.setattr(td, "LINES_A_TASK", 1000, raising=False)
+    layer = Layer(spark, SF_SMALL)
+    lines = layer.t["lineitem"].count()
+    for rows in (layer.apps, layer.events, layer.cards_raw):
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+        assert sum(sizes) == lines and max(sizes) < 2000, sizes
+    counts = quality.layer_counts(layer.apps, layer.events)
+    assert counts.first().apps_raw == counts.first().events_raw == lines
+    assert "hashpartitioning(application_id" not in plan_of(counts)
