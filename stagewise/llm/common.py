@@ -35,11 +35,25 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
+#: A Spark setting (4.1 and later; others ignore it): a finished query's shuffle files are deleted.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: it is computed once,
-    and a lost executor costs a read, not a recomputation."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    and a lost executor costs a read, not a recomputation.  What the write has
+    exchanged goes from disk when it ends, not when the driver happens to
+    collect its garbage."""
+    path, conf = new_path(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            conf.unset(_CLEANUP)
+        else:
+            conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

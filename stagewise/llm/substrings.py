@@ -10,8 +10,13 @@ the least of the last 20 does too, and all ends between are the same.  So the
 chunk with the 30th of the 50 words is the same in both texts, always.
 
 Chunks are compared by a 64-bit digest, which only chooses what is compared
-further.  Where a chunk also stands in another document, the runs of ``passage_words`` words whose 30th word it holds are
-compared whole (see ``runs``): the first document that has the run keeps it,
+further.  The runs of ``passage_words`` words whose 30th word stands in a chunk
+of n words all hold the 30 - n words before it and, of 50, the 21 - n after it
+(counted from its ends), so the digest is of the chunk with these words: where
+a run is shared, it is the same in both texts, and some 40 words must agree
+instead of a chunk's ten before runs are compared.  A chunk that holds no run's
+30th word is not compared.  Where a chunk also stands in another document, its
+runs are compared whole (see ``runs``): the first document that has the run keeps it,
 and runs that overlap or touch are one passage.  So exactly the words in a run of
 50 that an earlier document has are repeats.  A document's passages do not
 overlap; the later one begins where the earlier one ends.
@@ -20,7 +25,8 @@ Equal texts are told apart first, by digest, so that a large group of copies
 is compared once and its other members are one whole-text passage each, from
 ``min_words`` words on.  The chunk rows (digest, place; no text) are written
 once; counting them combines in the map tasks, and only digests seen twice are
-joined back, where Spark splits crowded digests.
+joined back, where Spark splits crowded digests.  These rows are written before
+texts are exchanged, so that the two exchanges are not on disk together.
 
 Cases: null, empty and shorter texts have no passage; documents with a null
 doc_id have no place in the order and are left out; white space between words
@@ -107,37 +113,45 @@ def chunk_ends(bodies: list[bytes], bits: int, least: int, most: int, run: int =
     return out
 
 
-def chunks(docs: DataFrame, run_words: int = RUN, most: int = 512) -> DataFrame:
-    """(doc_id, text) as chunks: doc_id, total (words of the text), first and
-    words (the first word that starts in it, and how many do), digest;
-    chunks in which no word starts are left out."""
-    names = ["doc_id", "total", "first", "words", "digest"]
+def chunks(docs: DataFrame, passage_words: int = 50, run_words: int = RUN, most: int = 512) -> DataFrame:
+    """(doc_id, text) as chunks: doc_id, total (words of the text), place (of the
+    first word that starts in it), first and runs (the first run of
+    ``passage_words`` words whose word ``run_words`` + 10 starts in it, and how
+    many do), digest of it and of the words around it that all these runs hold.
+    Of chunks without runs only a text's first one is there."""
+    names = ["doc_id", "total", "place", "first", "runs", "digest"]
+    before = run_words + 9                                   # words of a run before the one that stands in the chunk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in gathered(batches, most_rows=512, most_bytes=1 << 20):
             split = [body.split() for body in raw(block.column("text"))]
             bodies = [b" ".join(words) for words in split]
-            doc, total, first, count, digests = [], [], [], [], []
+            doc, cols, digests = [], [[], [], [], []], []
             for i, (words, body, ends) in enumerate(zip(split, bodies, chunk_ends(bodies, 0, 0, most, run_words))):
                 if not words:
                     continue
                 starts = np.append(0, np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)[:-1])
                 at = np.searchsorted(starts, [0, *ends])
-                holds = np.flatnonzero(np.diff(at))
+                place, after = at[:-1], at[1:]               # the chunk's first word, and the one after its last
+                first = np.maximum(place - before, 0)
+                runs = np.maximum(np.minimum(after - before, len(words) - passage_words + 1) - first, 0) * (after > place)
+                holds = np.flatnonzero((runs > 0) | (place == 0) & (after > 0))
                 doc.append(np.full(len(holds), i))
-                total.append(np.full(len(holds), len(words)))
-                first.append(at[holds])
-                count.append(np.diff(at)[holds])
-                edges = [0, *ends]
-                digests += [xxhash.xxh3_64_intdigest(body[edges[c]:edges[c + 1]].lstrip(b" ")) for c in holds.tolist()]
+                for col, x in zip(cols, (np.full(len(holds), len(words)), place[holds], first[holds], runs[holds])):
+                    col.append(x)
+                # none is cut off by the text's ends if the chunk has runs
+                lo = np.maximum(np.minimum(place, after - before - 1), 0)[holds]
+                hi = np.minimum(np.maximum(after, place - before + passage_words), len(words))[holds]
+                edges = np.append(starts, len(body) + 1)
+                digests += [xxhash.xxh3_64_intdigest(body[x:y]) for x, y in zip(edges[lo].tolist(), (edges[hi] - 1).tolist())]
             if doc:
                 yield pa.RecordBatch.from_arrays(
                     [block.column("doc_id").combine_chunks().take(pa.array(np.concatenate(doc))),
-                     *(pa.array(np.concatenate(x).astype(np.int32)) for x in (total, first, count)),
+                     *(pa.array(np.concatenate(x).astype(np.int32)) for x in cols),
                      pa.array(np.array(digests, np.uint64).view(np.int64))], names=names)
 
     return map_arrow(docs.select("doc_id", "text"), run,
-                     "doc_id long, total int, first int, words int, digest long")
+                     "doc_id long, total int, place int, first int, runs int, digest long")
 
 
 def _copies(texts: DataFrame) -> DataFrame:
@@ -161,17 +175,15 @@ def repeated_passages(docs: DataFrame, min_words: int = 20, key: str = "doc_id",
              .where("doc_id is not null"))
     copies = staged(_copies(texts), "copies")
     later = copies.where("doc_id > first_doc_id").select("doc_id", "first_doc_id", "size").distinct()
-    table = staged(chunks(texts), "chunks")
-    whole = (table.where("first = 0").join(later, "doc_id").where(F.col("total") >= min_words)
+    # of a later copy only the first chunk, which has the text's number of words
+    table = staged(chunks(texts, passage_words).join(later, "doc_id", "left").where("first_doc_id is null or place = 0"), "chunks")
+    whole = (table.where(F.col("first_doc_id").isNotNull() & (F.col("total") >= min_words))
              .select("doc_id", F.lit(0).alias("start"), F.col("size").cast("int").alias("size"),
                      F.col("total").cast("long").alias("words"), "first_doc_id", F.lit(True).alias("exact_copy")).distinct())
-    own = table.where(F.col("total") >= passage_words).join(later.select("doc_id"), "doc_id", "left_anti")
+    own = table.where("first_doc_id is null and runs > 0")
     shared = (own.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("greatest"))
               .where("least < greatest").select("digest"))
-    # the runs whose word RUN + 10 stands in the chunk
-    low = F.greatest(F.col("first") - (RUN + 9), F.lit(0))
-    high = F.least(F.col("first") + F.col("words") - (RUN + 9), F.col("total") - passage_words + 1)
-    stays = (own.join(shared, "digest").select("doc_id", low.alias("first"), (high - low).alias("runs")).where("runs > 0"))
+    stays = staged(own.join(shared, "digest").select("doc_id", "first", "runs"), "shared-chunks")
     found = matched(stays, texts, passage_words, 0)
     # of overlapping passages the one that begins first stays whole
     before = (Window.partitionBy("doc_id").orderBy("first_word", F.desc("words"), "other_doc_id", "other_first_word")

@@ -1,6 +1,8 @@
 """Chunk dedup and sparse suffix array against brute force and planted passages."""
 
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,7 +10,7 @@ from conftest import SF_CHECK
 from llm_data import frame, prose
 
 from stagewise.llm import runs, substrings, suffixes
-from stagewise.llm.common import windows_hash
+from stagewise.llm.common import staged, windows_hash
 
 
 def test_gear_hash_rolls():
@@ -246,3 +248,43 @@ def test_returns_of_runs():
                 even.append(even[-1] + gap)
             assert turn[same == g].tolist() == turns
             assert {(a, s, t) for a, s, t in zip(at[same == g], step[same == g], times[same == g])} == {(own[0], gap, len(even))}
+
+
+def test_chunks_that_share_no_run_are_not_compared(spark):
+    """Of texts that share 30 words no chunk is equal; of those that share 50, the one with the 30th."""
+    rng, rows, at = random.Random(17), [], {}
+    for trial in range(400):
+        same = prose(rng, 30 if trial % 2 else 50)
+        for d in (2 * trial, 2 * trial + 1):
+            before = prose(rng, rng.randint(0, 60), 10**6)
+            rows.append((d, " ".join([*before, *same, *prose(rng, rng.randint(25, 60), 10**6)])))
+            at[d] = len(before)
+    held: dict[int, list] = {}
+    for r in substrings.chunks(frame(spark, rows).select("doc_id", "text")).collect():
+        if r["runs"]:
+            held.setdefault(r["doc_id"], []).append(r)
+    for d in range(0, 800, 2):
+        one, other = ({r["digest"]: r for r in held.get(x, [])} for x in (d, d + 1))
+        equal = one.keys() & other.keys()
+        if d // 2 % 2:
+            assert not equal
+        else:                                                # the shared run is among those of an equal chunk
+            assert any(all(x[k]["first"] <= at[i] < x[k]["first"] + x[k]["runs"] for i, x in ((d, one), (d + 1, other)))
+                       for k in equal)
+
+
+def _shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in dirs for f in Path(d.getPath()).rglob("shuffle_*")}
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    """What a write has exchanged goes when it ends, without the driver's garbage collection."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = _shuffle_files(spark), spark.conf.get(setting, None)
+    out = staged(spark.range(10_000).selectExpr("id % 977 as k", "id").groupBy("k").sum("id"), "test-staging")
+    until = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert out.count() == 977 and spark.conf.get(setting, None) == was
