@@ -181,8 +181,9 @@ def repeated_passages(docs: DataFrame, min_words: int = 20, key: str = "doc_id",
              .select("doc_id", F.lit(0).alias("start"), F.col("size").cast("int").alias("size"),
                      F.col("total").cast("long").alias("words"), "first_doc_id", F.lit(True).alias("exact_copy")).distinct())
     own = table.where("first_doc_id is null and runs > 0")
-    shared = (own.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("greatest"))
-              .where("least < greatest").select("digest"))
+    # written, so that the join has an exchange of its own on both sides and Spark splits a crowded digest
+    shared = staged(own.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("greatest"))
+                    .where("least < greatest").select("digest"), "shared-digests")
     stays = staged(own.join(shared, "digest").select("doc_id", "first", "runs"), "shared-chunks")
     found = matched(stays, texts, passage_words, 0)
     # of overlapping passages the one that begins first stays whole

@@ -273,6 +273,20 @@ def test_chunks_that_share_no_run_are_not_compared(spark):
                        for k in equal)
 
 
+def test_crowded_digests_are_joined_by_exchanges_of_their_own(spark, monkeypatch):
+    """Spark splits a crowded key of a join only if no grouping needs the key whole beside it."""
+    plans = {}
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name)
+
+    monkeypatch.setattr(substrings, "staged", noted)
+    rows, _, _ = _planted(seed=18)
+    assert substrings.repeated_passages(frame(spark, rows)).count()
+    assert "Join" in plans["shared-chunks"] and "Aggregate" not in plans["shared-chunks"]
+
+
 def _shuffle_files(spark):
     dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
     return {f for d in dirs for f in Path(d.getPath()).rglob("shuffle_*")}
