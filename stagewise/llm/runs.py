@@ -34,8 +34,9 @@ def runs_hash(h: np.ndarray, n: int) -> np.ndarray:
 
 
 def _runs(stays: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
-    """(w, doc_id, pos, turn, at, step, times) of every run of the ones that
-    stay: its hash and place, the first place ``at`` of an equal run in the
+    """(w, check, doc_id, pos, start, stop, turn, at, step, times) of every run of
+    the ones that stay: a hash of its words' hashes and one of its words, its
+    place in words and in bytes, the first place ``at`` of an equal run in the
     document, and how often that one returns: ``times`` places, ``step`` apart.
     ``turn`` numbers a run's own returns.  Only returns that overlap or touch
     count; they are what a text that repeats a few words is made of."""
@@ -47,23 +48,30 @@ def _runs(stays: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
             lists = block.column("asked").combine_chunks()
             ends, flat = np.append(0, np.cumsum(lists.value_lengths().to_numpy())), lists.flatten()
             first, runs = (flat.field(c).to_numpy() for c in ("first", "runs"))
-            cols: list[list[np.ndarray]] = [[], [], [], [], [], [], []]
+            cols: list[list[np.ndarray]] = [[] for _ in range(10)]
             for doc, body, a, b in zip(block.column("doc_id").to_pylist(), raw(block.column("text")), ends, ends[1:]):
-                w = runs_hash(hashes.of(body.split()), min_words)
+                words = body.split()
+                w = runs_hash(hashes.of(words), min_words)
                 mark = np.zeros(len(w) + 1, np.int64)
                 np.add.at(mark, first[a:b], 1)
                 np.add.at(mark, first[a:b] + runs[a:b], -1)
                 pos = np.flatnonzero(np.cumsum(mark[:-1]))
                 _, of_first, same = np.unique(w[pos], return_index=True, return_inverse=True)
-                for col, x in zip(cols, (w[pos].view(np.int64), np.full(len(pos), doc, np.int64), pos,
+                joined, edges = b" ".join(words), np.append(0, np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1))
+                check = [xxhash.xxh3_64_intdigest(joined[x:y])
+                         for x, y in zip(edges[pos].tolist(), (edges[pos + min_words] - 1).tolist())]
+                starts, stops = _word_places(body)
+                for col, x in zip(cols, (w[pos].view(np.int64), np.array(check, np.uint64).view(np.int64),
+                                         np.full(len(pos), doc, np.int64), pos, starts[pos], stops[pos + min_words - 1],
                                          *_returns(pos, same, len(of_first), min_words))):
                     col.append(x)
-            w, doc, *places = (np.concatenate(c) for c in cols)
-            yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(doc), *(pa.array(x.astype(np.int32)) for x in places)],
-                                             names=["w", "doc_id", "pos", "turn", "at", "step", "times"])
+            w, check, doc, *places = (np.concatenate(c) for c in cols)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(w), pa.array(check), pa.array(doc), *(pa.array(x.astype(np.int32)) for x in places)],
+                names=["w", "check", "doc_id", "pos", "start", "stop", "turn", "at", "step", "times"])
 
     return map_arrow(texts.join(asked, "doc_id").select("doc_id", "text", "asked"), run,
-                     "w long, doc_id long, pos int, turn int, at int, step int, times int")
+                     "w long, check long, doc_id long, pos int, start int, stop int, turn int, at int, step int, times int")
 
 
 def _returns(pos: np.ndarray, same: np.ndarray, n: int, reach: int) -> tuple[np.ndarray, ...]:
@@ -92,6 +100,12 @@ def _returns(pos: np.ndarray, same: np.ndarray, n: int, reach: int) -> tuple[np.
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
+def _word_places(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The byte places where words start, and those after their ends."""
+    within = ~_SPACE[np.frombuffer(b" " + body + b" ", np.uint8)]
+    return np.flatnonzero(within[1:] & ~within[:-1]), np.flatnonzero(within[:-1] & ~within[1:])
+
+
 def _contexts(needed: DataFrame, texts: DataFrame, reach: int) -> DataFrame:
     """For each distinct (doc_id, first, end): hashes and byte places of the words
     up to ``reach`` before ``first`` and after ``end``, and a hash of those between.
@@ -105,9 +119,7 @@ def _contexts(needed: DataFrame, texts: DataFrame, reach: int) -> DataFrame:
             for doc, body, asked in zip(block.column("doc_id").to_pylist(), raw(block.column("text")), block.column("asked")):
                 words = body.split()
                 h = hashes.of(words).view(np.int64)
-                within = ~_SPACE[np.frombuffer(b" " + body + b" ", np.uint8)]
-                starts = np.flatnonzero(within[1:] & ~within[:-1])
-                ends = np.flatnonzero(within[:-1] & ~within[1:])
+                starts, ends = _word_places(body)
                 places = asked.values
                 for f, e in zip(places.field("first").to_pylist(), places.field("end").to_pylist()):
                     lo, hi = max(0, f - reach), min(len(words), e + reach)
@@ -138,23 +150,30 @@ def matched(stays: DataFrame, texts: DataFrame, min_words: int, reach: int) -> D
     places where a document may share that many.  Each run goes to the least
     document that has it, and the returns of a run in turn to its returns there,
     so that words repeated over and over are few passages, not one for each
-    return; passages are extended by at most ``reach`` words."""
+    return; passages are extended by at most ``reach`` words.  Runs are equal if
+    both their hashes are; the texts themselves are read again only to extend."""
     runs = staged(_runs(stays, texts, min_words), "word-runs")
     # written, so that the join has an exchange of its own on both sides and Spark splits a crowded run
-    least = staged(runs.groupBy("w").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("greatest"),
+    least = staged(runs.groupBy("w", "check").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("greatest"),
                                          *(F.min_by(c, "doc_id").alias(f"{c}_a") for c in ("at", "step", "times")))
                    .where("a < greatest").drop("greatest"), "run-least")
     # runs of one pair on one diagonal that overlap or touch are one passage
     pos_a = F.col("at_a") + F.col("step_a") * (F.col("turn") % F.col("times_a"))
-    sided = (runs.select("w", "doc_id", "pos", "turn").join(least, "w").where("doc_id > a")
-             .select(F.col("doc_id").alias("b"), "a", "pos", (F.col("pos") - pos_a).alias("shift")))
+    sided = (runs.select("w", "check", "doc_id", "pos", "turn", "start", "stop").join(least, ["w", "check"]).where("doc_id > a")
+             .select(F.col("doc_id").alias("b"), "a", "pos", "start", "stop", (F.col("pos") - pos_a).alias("shift")))
     line = Window.partitionBy("b", "a", "shift").orderBy("pos")
     spans = (sided.withColumn("new", (F.col("pos") > F.lag("pos").over(line) + min_words).cast("int"))
              .withColumn("run", F.sum(F.coalesce("new", F.lit(0))).over(line))
-             .groupBy("b", "a", "shift", "run").agg(F.min("pos").alias("first"), (F.max("pos") + min_words).alias("end"))
+             .groupBy("b", "a", "shift", "run").agg(F.min("pos").alias("first"), (F.max("pos") + min_words).alias("end"),
+                                               F.min("start").alias("start"), F.max("stop").alias("stop"))
              .withColumns({"first_a": (F.col("first") - F.col("shift")).cast("int"),
                            "end_a": (F.col("end") - F.col("shift")).cast("int")}))
-    spans = staged(spans, "run-spans")
+    if not reach:
+        return spans.select(F.col("b").alias("doc_id"), F.col("start").cast("long"), (F.col("stop") - F.col("start")).cast("long").alias("size"),
+                            (F.col("end") - F.col("first")).cast("long").alias("words"), F.col("first").cast("long").alias("first_word"),
+                            F.col("a").alias("other_doc_id"), F.col("first_a").cast("long").alias("other_first_word"),
+                            F.lit(False).alias("exact_copy"))
+    spans = staged(spans.drop("start", "stop"), "run-spans")
     sides = staged(_contexts(
         spans.select(F.col("b").alias("doc_id"), "first", "end")
         .unionByName(spans.select(F.col("a").alias("doc_id"), F.col("first_a").alias("first"), F.col("end_a").alias("end"))),

@@ -118,7 +118,9 @@ def chunks(docs: DataFrame, passage_words: int = 50, run_words: int = RUN, most:
     first word that starts in it), first and runs (the first run of
     ``passage_words`` words whose word ``run_words`` + 10 starts in it, and how
     many do), digest of it and of the words around it that all these runs hold.
-    Of chunks without runs only a text's first one is there."""
+    Of chunks without runs only a text's first one is there.  Chunks in a row
+    with the same digest are one with the runs of all, so that a few words
+    repeated over and over are one row, not one for each return."""
     names = ["doc_id", "total", "place", "first", "runs", "digest"]
     before = run_words + 9                                   # words of a run before the one that stands in the chunk
 
@@ -136,19 +138,24 @@ def chunks(docs: DataFrame, passage_words: int = 50, run_words: int = RUN, most:
                 first = np.maximum(place - before, 0)
                 runs = np.maximum(np.minimum(after - before, len(words) - passage_words + 1) - first, 0) * (after > place)
                 holds = np.flatnonzero((runs > 0) | (place == 0) & (after > 0))
-                doc.append(np.full(len(holds), i))
-                for col, x in zip(cols, (np.full(len(holds), len(words)), place[holds], first[holds], runs[holds])):
-                    col.append(x)
                 # none is cut off by the text's ends if the chunk has runs
                 lo = np.maximum(np.minimum(place, after - before - 1), 0)[holds]
                 hi = np.minimum(np.maximum(after, place - before + passage_words), len(words))[holds]
                 edges = np.append(starts, len(body) + 1)
-                digests += [xxhash.xxh3_64_intdigest(body[x:y]) for x, y in zip(edges[lo].tolist(), (edges[hi] - 1).tolist())]
+                own = np.array([xxhash.xxh3_64_intdigest(body[x:y])
+                                for x, y in zip(edges[lo].tolist(), (edges[hi] - 1).tolist())], np.uint64)
+                first, runs = first[holds], runs[holds]
+                fresh = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (first[1:] != first[:-1] + runs[:-1])))
+                doc.append(np.full(len(fresh), i))
+                for col, x in zip(cols, (np.full(len(fresh), len(words)), place[holds][fresh], first[fresh],
+                                         np.add.reduceat(runs, fresh))):
+                    col.append(x)
+                digests.append(own[fresh])
             if doc:
                 yield pa.RecordBatch.from_arrays(
                     [block.column("doc_id").combine_chunks().take(pa.array(np.concatenate(doc))),
                      *(pa.array(np.concatenate(x).astype(np.int32)) for x in cols),
-                     pa.array(np.array(digests, np.uint64).view(np.int64))], names=names)
+                     pa.array(np.concatenate(digests).view(np.int64))], names=names)
 
     return map_arrow(docs.select("doc_id", "text"), run,
                      "doc_id long, total int, place int, first int, runs int, digest long")

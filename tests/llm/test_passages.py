@@ -302,3 +302,33 @@ def test_staging_leaves_no_shuffle_files(spark):
         time.sleep(0.2)
     assert not _shuffle_files(spark) - before
     assert out.count() == 977 and spark.conf.get(setting, None) == was
+
+
+def test_words_repeated_over_and_over_are_few_chunk_rows(spark):
+    """The rows that meet in a digest's join follow the documents, not a text's returns to a few words."""
+    rng, rows = random.Random(19), []
+    for d, beat in enumerate([["a", "b"], ["c"], prose(rng, 7)] * 2):
+        rows.append((d, " ".join([*prose(rng, 60, 10**6), *(beat * 800)[:800], *prose(rng, 60, 10**6)])))
+    held: dict[int, list] = {}
+    for r in substrings.chunks(frame(spark, rows).select("doc_id", "text")).collect():
+        held.setdefault(r["doc_id"], []).append(r)
+    for d, text in rows:
+        runs_of = sorted((r["first"], r["first"] + r["runs"]) for r in held[d] if r["runs"])
+        assert len(held[d]) <= 60 and sum(r["place"] == 0 for r in held[d]) == 1
+        # every run of 50 words is in one row
+        assert runs_of[0][0] == 0 and runs_of[-1][1] == len(text.split()) - 49
+        assert all(a[1] == b[0] for a, b in zip(runs_of, runs_of[1:]))
+
+
+def test_passages_not_extended_read_the_texts_once(spark, monkeypatch):
+    """Places and both hashes come with the runs; the texts are not joined a second time."""
+    joined = []
+
+    def noted(df, name):
+        joined.extend([name] if "asked" in df._jdf.queryExecution().optimizedPlan().toString() else [])
+        return staged(df, name)
+
+    monkeypatch.setattr(runs, "staged", noted)
+    rows, _, _ = _planted(seed=20)
+    assert substrings.repeated_passages(frame(spark, rows)).where("not exact_copy").count()
+    assert joined == ["word-runs"]
