@@ -76,3 +76,13 @@ def test_long_chain_is_one_component(spark):
     got = jaccard.join(frame(spark, rows))
     assert sorted(map(tuple, got.collect())) == brute_force(rows)
     assert {r["component_id"] for r in got.collect()} == {61}
+
+
+def test_links_found_later_join_the_components(spark):
+    rng = random.Random(23)
+    old, new = ([(a, b) for a, b in ((rng.randrange(90), rng.randrange(90)) for _ in range(40)) if a != b] for _ in "on")
+    pairs = lambda rows: spark.createDataFrame(rows, "x long, y long")
+    got = lambda df: sorted(map(tuple, df.select("node", "root").collect()))
+    roots = jaccard.components(pairs(old))
+    assert got(jaccard._merged(roots, pairs(new))) == got(jaccard.components(pairs(old + new)))
+    assert jaccard._merged(roots, pairs([])) is roots
