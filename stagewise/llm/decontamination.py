@@ -36,6 +36,7 @@ MASKS = ("1101011", "11100101", "110010101")
 SHORT = 10                                               # items up to so many words have masks of their own
 REACH = 13
 BITS = 24                                                # log2 of the bit set's size
+BLOCK = 256                                              # places of a text that are looked at in one row
 
 
 def _hashes(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
@@ -49,38 +50,54 @@ def short_masks(words: int, similarity: float) -> list[str]:
     return ["".join("0" if k in gaps else "1" for k in range(words)) for gaps in combinations(range(words), out)]
 
 
+def _blocks(hashed: DataFrame, key: str, masks: list[str]) -> DataFrame:
+    """(key, h) cut into rows of BLOCK places each: words (of the whole text),
+    base (the first of the places), first (the place of h's first word), h (the
+    words of these places and those that masks and runs around them reach).
+
+    Spark keeps all rows that a generator makes of one row until that row is
+    done, and each seed's row has its h with it.  With whole texts these are
+    as many copies of a text as it has seeds that may match."""
+    first, reach = f"greatest(b - {REACH}, 0)", BLOCK + max(map(len, masks)) + REACH
+    return hashed.select(key, F.inline(F.expr(f"""transform(sequence(0, greatest(size(h) - 1, 0), {BLOCK}),
+        b -> named_struct('words', size(h), 'base', b, 'first', {first},
+                          'h', slice(h, {first} + 1, b - {first} + {reach})))""")))
+
+
 def _seeds(masks: list[str]) -> Column:
-    """The seeds of all masks at place i of the array h, in the masks' order:
+    """The seeds of all masks at place ``at`` of the array h, in the masks' order:
     the hashes of the words that count, each rotated by its own number of bits."""
     def rotated(place: int, bits: int) -> str:
-        x = f"get(h, i + {place})"
+        x = f"get(h, at + {place})"
         return f"(shiftleft({x}, {bits}) | shiftrightunsigned({x}, {64 - bits}))" if bits else x
     return F.array(*(F.expr(" ^ ".join(rotated(k, 7 * n) for n, k in enumerate(
         k for k, c in enumerate(mask) if c == "1"))) for mask in masks))
 
 
 def _placed(hashed: DataFrame, key: str, masks: list[str]) -> DataFrame:
-    """(key, h) with a row per place and mask: i, mask, seed (null where the
-    mask ends beyond the text).  Generators keep each seed a computed column,
-    so that the tests on it stay small enough to be compiled."""
+    """The blocks of (key, h) with a row per place and mask that fits the text:
+    at (the place in h), i (in the text), mask, seed.  Generators keep each seed
+    a computed column, so that the tests on it stay small enough to be compiled."""
     spans = F.element_at(F.array(*(F.lit(len(m)) for m in masks)), F.col("mask") + 1)
-    return (hashed.where(F.size("h") > 0).select(key, "h", F.posexplode("h").alias("i", "_h"))
-            .select(key, "h", "i", F.posexplode(_seeds(masks)).alias("mask", "seed"))
-            .where(F.col("i") + spans <= F.size("h")))
+    return (_blocks(hashed, key, masks).select("*", F.posexplode("h").alias("at", "_h"))
+            .withColumn("i", F.col("first") + F.col("at"))
+            .where(f"i >= base and i < base + {BLOCK}")
+            .select(key, "words", "h", "at", "i", F.posexplode(_seeds(masks)).alias("mask", "seed"))
+            .where(F.col("i") + spans <= F.col("words")))
 
 
-def _around(least: int, most: int) -> Column:
-    return F.expr(f"transform(sequence(-{least}, {most}), k -> get(h, i + k))")
+def _around(masks: list[str]) -> Column:
+    return F.expr(f"transform(sequence(-{REACH}, {max(map(len, masks)) + REACH}), k -> get(h, at + k))")
 
 
 def seeds(items: DataFrame, masks: list[str]) -> DataFrame:
     """All seeds of (item_id, h): item_id, mask, seed, item_at, item_words,
     around; short items only by the masks of their length."""
     length = F.element_at(F.array(*(F.lit(len(m) if k >= len(MASKS) else 0) for k, m in enumerate(masks))), F.col("mask") + 1)
-    own = F.when(F.size("h") <= SHORT, F.size("h")).otherwise(0)
+    own = F.when(F.col("words") <= SHORT, F.col("words")).otherwise(0)
     return (_placed(items, "item_id", masks).where(length == own)
-            .select("item_id", "mask", "seed", F.col("i").alias("item_at"), F.size("h").alias("item_words"),
-                    _around(REACH, max(map(len, masks)) + REACH).alias("item_around")))
+            .select("item_id", "mask", "seed", F.col("i").alias("item_at"), F.col("words").alias("item_words"),
+                    _around(masks).alias("item_around")))
 
 
 def bit_set(seeded: DataFrame, bits: int = BITS) -> Column:
@@ -115,7 +132,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str
     masks = [*MASKS, *(m for n in lengths for m in short_masks(n, similarity))]
     items = staged(seeds(hashed, masks), "benchmark-seeds")
     found = (_placed(_hashes(docs, key, text, "doc_id"), "doc_id", masks).where(_marked(bit_set(items)))
-             .select("doc_id", "i", "mask", "seed", _around(REACH, max(map(len, masks)) + REACH).alias("around")))
+             .select("doc_id", "i", "mask", "seed", _around(masks).alias("around")))
     # agreement place by place around the seed; a run of ``w`` words begins at place o (from 1)
     agree = F.expr("transform(zip_with(around, item_around, (a, b) -> a = b), x -> if(x, 1, 0))")
     w = F.least(F.lit(span), F.col("item_words"))

@@ -87,6 +87,18 @@ def test_planted_cases(spark):
     assert kept[103] == dict(rows)[103] and len(kept[104]) < len(dict(rows)[104]) - 200
 
 
+def test_long_document_of_benchmark_passages(spark):
+    """Stage 4 finds every item in a text of 60,000 words and more (with a copy
+    of the text for each seed that may match, it ran out of memory)."""
+    rng = random.Random(14)
+    items = [r["text"] for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("text").collect()]
+    words = prose(rng, 60_000, 10**6)
+    docs = frame(spark, [(1, " ".join(words)), (2, " ".join([*words[:30_000], *items, *words[30_000:]])), (None, items[0])])
+    kept = dict(pipeline.STAGES)["benchmark_decontamination"](spark, docs, SF_SMALL)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {1, None}
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
     assert entry.queries()["pipeline"] is pipeline.run
