@@ -4,6 +4,7 @@ import random
 
 from conftest import SF_CHECK
 from llm_data import frame, prose
+from pyspark.sql import functions as F
 
 from stagewise.llm import decontamination
 
@@ -89,6 +90,43 @@ def test_short_items_equal_brute_force(spark):
     assert {i for _, i in expected} == set(range(1, 13))
 
 
+def test_seeds_of_long_texts_carry_a_block_each(spark):
+    """What a seed carries does not grow with the text that it stands in."""
+    rng = random.Random(31)
+    hashed = decontamination._hashes(frame(spark, [(1, " ".join(prose(rng, 60_000)))]), "doc_id", "text", "doc_id")
+    placed = decontamination._placed(hashed, "doc_id", list(decontamination.MASKS))
+    rows, most = placed.agg(F.count("*"), F.max(F.size("h"))).first()
+    assert rows == sum(60_000 - len(m) + 1 for m in decontamination.MASKS)
+    assert most <= 1_000
+
+
+def test_long_item_in_a_long_text(spark):
+    """A text of 60,000 words that holds an item of 6,000 (17,979 seeds that
+    match): each is verified once, the first full run is reported."""
+    rng = random.Random(37)
+    item = [f"i{k}" for k in range(6_000)]
+    words = prose(rng, 54_000)
+    docs = frame(spark, [(1, " ".join(words[:40_001] + item + words[40_001:])), (2, " ".join(words))])
+    found = decontamination.leaks(docs, spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")).collect()
+    assert [tuple(r) for r in found] == [(1, 9, 40_001, 13, 13, sum(6_000 - len(m) + 1 for m in decontamination.MASKS))]
+
+
+def test_leaks_at_every_place_of_a_block(spark):
+    """Leaks that begin, end or lie anywhere around the ends of blocks, the
+    first and last words of a text among them."""
+    rng = random.Random(41)
+    item, short = [f"i{k}" for k in range(20)], [f"s{k}" for k in range(8)]
+    rows, expected = [], set()
+    for d in range(2 * decontamination.BLOCK + 40):
+        before, after = prose(rng, d), prose(rng, rng.choice((0, 0, 1, 12, 13, 300)))
+        rows.append((d, " ".join(before + (short if d % 3 == 0 else item) + after)))
+        whole = sum(20 - len(m) + 1 for m in decontamination.MASKS)
+        expected.add((d, 2, d, 8, 8, 8) if d % 3 == 0 else (d, 1, d, 13, 13, whole))
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(short))], "item_id long, text string")
+    found = decontamination.leaks(frame(spark, rows), items)
+    assert {tuple(r) for r in found.collect()} == expected
+
+
 def test_no_python_in_the_plan(spark):
     plan = decontamination.op5_spaced_seed_decontamination(spark, SF_CHECK)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
